@@ -31,7 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # the orders run from 1995 on, so this calendar keeps every ride
 FIRST_DAY = "1995-01-01"
 # increments end before these days; the last one brings tips and no rides
-CUTS = ("1998-01-01", "2000-01-01", "2002-01-01")
+CUTS = ("1998-01-01", "2000-01-01", "2001-08-02")
 EVENT_CUTS = ("2024-01-11", "2024-01-21")
 STORED_RIDES = T.StructType(
     [*src.RIDE_SCHEMA.fields, *(T.StructField(c, T.IntegerType()) for c in ("year", "month", "day"))]

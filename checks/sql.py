@@ -244,9 +244,9 @@ GROUP BY c""",
         ),
         "earnings_incremental": _with(ALL_FACTS) + FACT_COLUMNS,
         "earnings_incremental_reference": (
-            _with(_sliced_facts(("1998-01-01", "2000-01-01", "2002-01-01"))) + FACT_COLUMNS
+            _with(_sliced_facts(("1998-01-01", "2000-01-01", "2001-08-02"))) + FACT_COLUMNS
         ),
-        "earnings_tips_only": _with(_sliced_facts(("2002-01-01",))) + FACT_COLUMNS,
+        "earnings_tips_only": _with(_sliced_facts(("2001-08-02",))) + FACT_COLUMNS,
         "gold_driver_month_year": gold + GOLD_MONTH,
         "gold_driver_year": gold + GOLD_YEAR,
         "gold_tips_by_driver": gold + GOLD_TIPS,

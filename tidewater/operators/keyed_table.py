@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tidewater import paths
 from tidewater.functions.cleaning import split_names
 from tidewater.operators.latest import latest_per_key, newest_first
+from tidewater.session import no_rows
 from tidewater.sources.change_records import DELETE, OP, UPSERT
 
 COMMIT = "_commit"
@@ -173,7 +174,7 @@ class KeyedTable:
         """Files of the named commits, with ``_op`` and ``_commit``."""
         stored = self._with((OP, T.StringType()), (COMMIT, T.LongType()))
         if not commits:
-            return self.spark.createDataFrame([], stored)
+            return no_rows(self.spark, stored)
         reader = self.spark.read.schema(stored).option("basePath", f"{self.path}/log")
         return reader.parquet(*[self.commit_path(c) for c in commits])
 
@@ -250,7 +251,7 @@ class KeyedTable:
     def before_images(self, begin: int | None, end: int | None = None) -> DataFrame:
         """Rows as of ``begin`` whose keys were written again up to ``end``."""
         if begin is None:
-            return self.spark.createDataFrame([], self.schema)
+            return no_rows(self.spark, self.schema)
         changed = self.read_log(self.commits_between(begin, end))
         return self._match(self.snapshot(begin), changed, self.key, "left_semi")
 

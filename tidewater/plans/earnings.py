@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidewater import paths
 from tidewater.functions.dates import day_to_key
-from tidewater.operators.checkpoint import Checkpoint, next_increment
+from tidewater.operators.checkpoint import Checkpoint, Increment, next_increment
 from tidewater.operators.keyed_table import KeyedTable
 from tidewater.schemas import DRIVER_EARNINGS, MONEY
+from tidewater.session import shared_dir
 from tidewater.sources.change_records import DELETE, OP, UPSERT
 
 TIP_POLICIES = ("latest", "sum")
@@ -41,15 +43,18 @@ def earnings(rides: DataFrame, tips: DataFrame, dim: DataFrame, policy: str = "l
     return _join_calendar(rides.join(tips_per_ride(tips, policy), "ride_id", "left"), dim)
 
 
+def _days(dim: DataFrame) -> DataFrame:
+    return dim.select(F.col("date_key").alias("earning_date_key"))
+
+
 def _join_calendar(ridden: DataFrame, dim: DataFrame) -> DataFrame:
-    days = dim.select(F.col("date_key").alias("earning_date_key"))
     keyed = ridden.select(
         "driver_id",
         "ride_id",
         *_priced(F.col("fare"), F.col("tip_amount")),
         day_to_key(F.col("ride_date")).alias("earning_date_key"),
     )
-    return keyed.join(days, "earning_date_key").select(DRIVER_EARNINGS.fieldNames())
+    return keyed.join(_days(dim), "earning_date_key").select(DRIVER_EARNINGS.fieldNames())
 
 
 def reprice(fact: DataFrame, tips: DataFrame, policy: str = "latest") -> DataFrame:
@@ -63,7 +68,7 @@ def reprice(fact: DataFrame, tips: DataFrame, policy: str = "latest") -> DataFra
     )
 
 
-def create_fact(spark, path: str) -> KeyedTable:
+def create_fact(spark: SparkSession, path: str) -> KeyedTable:
     return KeyedTable.create(spark, path, DRIVER_EARNINGS, "driver_id,ride_id", "ride_id")
 
 
@@ -78,12 +83,14 @@ def refresh_earnings(
 ) -> int | None:
     """Bring the fact up to date with the commits since the checkpoint.
 
-    ``complete`` recomputes every ride that a changed ride or tip touches from the
-    full tables, so late, early, moved and deleted rows come out as in a full
+    ``complete`` re-prices every ride that a changed ride or tip touches with all
+    of its tips, so late, early, moved and deleted rows come out as in a full
     recompute.  ``reference`` looks at the two increments only: with new rides it
     joins them to the new tips, without any it re-prices known rides.
 
-    The checkpoint moves after the write; a failed run is simply repeated.
+    A first run, also one after the checkpoint was cleared, recomputes the whole
+    fact; clear it when the calendar has changed.  The checkpoint moves after the
+    write, so a failed run is simply repeated.
     """
     if mode not in MODES:
         raise ValueError(f"mode is one of {MODES}, not {mode!r}")
@@ -93,6 +100,8 @@ def refresh_earnings(
         return None
     if mode == "reference":
         commit = _refresh_from_slices(new_rides, new_tips, fact, dim, policy)
+    elif new_rides.begin is None:
+        commit = _rebuild(new_rides, new_tips, fact, dim, policy)
     else:
         commit = _refresh_affected(new_rides, new_tips, fact, dim, policy)
     new_rides.done(checkpoint)
@@ -100,7 +109,9 @@ def refresh_earnings(
     return commit
 
 
-def _refresh_from_slices(new_rides, new_tips, fact, dim, policy) -> int | None:
+def _refresh_from_slices(
+    new_rides: Increment, new_tips: Increment, fact: KeyedTable, dim: DataFrame, policy: str
+) -> int | None:
     ride_rows, tip_rows = new_rides.rows(), new_tips.rows()
     if not new_rides.is_empty and not ride_rows.isEmpty():
         return fact.upsert(earnings(ride_rows, tip_rows, dim, policy), unique=True)
@@ -109,42 +120,104 @@ def _refresh_from_slices(new_rides, new_tips, fact, dim, policy) -> int | None:
     return fact.upsert(reprice(fact.snapshot(), tip_rows, policy), unique=True)
 
 
-def _refresh_affected(new_rides, new_tips, fact, dim, policy) -> int | None:
-    rides_now = new_rides.table.snapshot(new_rides.end)
-    tips_now = tips_per_ride(new_tips.table.snapshot(new_tips.end), policy)
-    fact_now = fact.snapshot()
-    if new_rides.begin is not None:
-        affected = (
-            new_rides.rows(deletes=True)
-            .select("ride_id")
-            .unionByName(new_tips.rows(deletes=True).select("ride_id"))
-            # a tip that moved or went leaves a mark on the ride it had before
-            .unionByName(_before(new_tips).select("ride_id"))
-            .distinct()
-        )
-        # semi joins on the grouping key: Catalyst moves them below the tip
-        # aggregate while ``affected`` is small enough to broadcast
-        rides_now = rides_now.join(affected, "ride_id", "left_semi")
-        tips_now = tips_now.join(affected, "ride_id", "left_semi")
-        fact_now = fact_now.join(affected, "ride_id", "left_semi")
-    current = _join_calendar(rides_now.join(tips_now, "ride_id", "left"), dim)
+def _rebuild(
+    new_rides: Increment, new_tips: Increment, fact: KeyedTable, dim: DataFrame, policy: str
+) -> int | None:
+    """The whole fact; stored rows that no longer belong there are deleted."""
+    rides = new_rides.table.snapshot(new_rides.end)
+    tips = new_tips.table.snapshot(new_tips.end)
+    current = earnings(rides, tips, dim, policy)
     if fact.last_commit() is None:
         return fact.upsert(current, unique=True)
-    return fact.upsert(_difference(current, fact_now), unique=True)
-
-
-def _difference(current: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows to upsert and tombstones to write so that ``stored`` becomes ``current``."""
     names = DRIVER_EARNINGS.fieldNames()
     new = current.select(*FACT_KEY, F.struct(*names).alias("_new"))
-    old = stored.select(*FACT_KEY, F.struct(*names).alias("_old"))
+    old = fact.snapshot().select(*FACT_KEY, F.struct(*names).alias("_old"))
     both = new.join(old, list(FACT_KEY), "full_outer")
     changed = both.where(~F.col("_new").eqNullSafe(F.col("_old")))
     row = F.coalesce("_new", "_old").alias("_row")
     op = F.when(F.col("_new").isNull(), DELETE).otherwise(UPSERT).alias(OP)
-    return changed.select(row, op).select("_row.*", OP)
+    return fact.upsert(changed.select(row, op).select("_row.*", OP), unique=True)
+
+
+def _refresh_affected(
+    new_rides: Increment, new_tips: Increment, fact: KeyedTable, dim: DataFrame, policy: str
+) -> int | None:
+    """Only rides in the increments are touched; the ride table is not read.
+
+    What a ride without a new image needs is in its fact row already.  The fact
+    and the tips are each scanned once, behind a semi join with the touched rides.
+    """
+    ride_rows = new_rides.rows(deletes=True)
+    work = shared_dir(fact.spark, "touched_rides")
+    touched = (
+        ride_rows.select("ride_id")
+        .unionByName(new_tips.rows(deletes=True).select("ride_id"))
+        # a tip that moved or went leaves a mark on the ride it had before
+        .unionByName(_before(new_tips).select("ride_id"))
+        .distinct()
+    )
+    # written once: both joins below read it, and its true size decides whether
+    # Catalyst broadcasts it
+    touched.write.parquet(work)
+    try:
+        touched = fact.spark.read.schema("ride_id string").parquet(work)
+        return fact.upsert(_changes(ride_rows, touched, new_tips, fact, dim, policy), unique=True)
+    finally:
+        paths.delete(fact.spark, work)
+
+
+def _changes(
+    ride_rows: DataFrame,
+    touched: DataFrame,
+    new_tips: Increment,
+    fact: KeyedTable,
+    dim: DataFrame,
+    policy: str,
+) -> DataFrame:
+    # the semi join is on the grouping key: Catalyst moves it below the aggregate
+    # while ``touched`` is small enough to broadcast
+    tips = tips_per_ride(new_tips.table.snapshot(new_tips.end), policy).join(
+        touched, "ride_id", "left_semi"
+    )
+    stored = fact.snapshot().join(touched, "ride_id", "left_semi")
+
+    arrived = ride_rows.select(
+        "ride_id", "driver_id", "fare", OP, day_to_key(F.col("ride_date")).alias("earning_date_key")
+    ).join(_days(dim).withColumn("_in_calendar", F.lit(True)), "earning_date_key", "left")
+    live = (F.col(OP) == UPSERT) & F.col("_in_calendar").isNotNull()
+    columns = ["driver_id", "ride_id", "fare", "earning_date_key"]
+    fresh = arrived.where(live).select(*columns, F.lit(None).alias("_old_tip"), OP)
+
+    # a stored row meets the new image of its ride: replaced under its own key,
+    # deleted when the ride went or has another driver, re-priced when there is none
+    images = arrived.select(
+        "ride_id", F.lit(True).alias("_came"), F.when(live, F.col("driver_id")).alias("_driver")
+    )
+    known = (
+        stored.join(images, "ride_id", "left")
+        .where(~F.col("driver_id").eqNullSafe(F.col("_driver")))
+        .select(
+            *columns,
+            F.col("tip_amount").alias("_old_tip"),
+            F.when(F.col("_came"), DELETE).otherwise(UPSERT).alias(OP),
+        )
+    )
+    priced = (
+        fresh.unionByName(known)
+        .join(tips, "ride_id", "left")
+        .select(
+            "driver_id",
+            "ride_id",
+            *_priced(F.col("fare"), F.col("tip_amount")),
+            "earning_date_key",
+            "_old_tip",
+            OP,
+        )
+    )
+    changed = (F.col(OP) == DELETE) | ~F.col("tip_amount").eqNullSafe(F.col("_old_tip"))
+    return priced.where(changed)
 
 
-def _before(increment) -> DataFrame:
+def _before(increment: Increment) -> DataFrame:
     begin = increment.end if increment.is_empty else increment.begin
     return increment.table.before_images(begin, increment.end)

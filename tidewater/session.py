@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -38,3 +38,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="tidewater-")
     return f"{root.rstrip('/')}/tidewater/{name}-{uuid.uuid4().hex}"
+
+
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty frame that the optimizer knows to be empty and folds away.
+
+    ``createDataFrame([], schema)`` would count as a source of unknown size and
+    keep the joins above it from broadcasting.
+    """
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(1).where(F.lit(False)).select(nulls)

@@ -42,9 +42,10 @@ def decode_changes(
     if deletes not in ("tombstone", "as_rows"):
         raise ValueError(f"unknown deletes option: {deletes}")
     kept = [F.col(c) for c in df.columns if c != value]
-    parsed = df.select(
-        *kept, F.from_json(F.col(value), record_type(schema), {"mode": mode}).alias("_record")
-    )
+    record = F.from_json(F.col(value), record_type(schema), {"mode": mode})
+    # as a generator the parse runs once per row; as a plain column Catalyst would
+    # copy it into every expression and filter that looks at it
+    parsed = df.select(*kept, F.explode(F.array(record)).alias("_record"))
     event = F.lower(F.trim(F.col("_record.eventName")))
     removed = event == "remove"
     old: Column = F.col("_record.dynamodb.OldImage")

@@ -59,7 +59,9 @@ def raw_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fill_nulls(raw_rides(spark, sf_dir))
+    # the key is never null; filling it would only hide its partitioning
+    rows = raw_rides(spark, sf_dir)
+    return fill_nulls(rows, [c for c in rows.columns if c != "ride_id"])
 
 
 def raw_tips(spark: SparkSession, sf_dir: str) -> DataFrame:
