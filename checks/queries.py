@@ -345,7 +345,12 @@ def q_earnings_default_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_earnings(
-    spark: SparkSession, sf_dir: str, name: str, mode: str, cuts: Sequence[str]
+    spark: SparkSession,
+    sf_dir: str,
+    name: str,
+    mode: str,
+    cuts: Sequence[str],
+    all_tips: DataFrame | None = None,
 ) -> KeyedTable:
     """Rides and tips in increments, the fact refreshed after each."""
     path = shared_dir(spark, name)
@@ -355,7 +360,8 @@ def incremental_earnings(
     )
     fact = earn.create_fact(spark, f"{path}/driver_earnings")
     checkpoint = Checkpoint(spark, f"{path}/consumer")
-    all_rides, all_tips = src.rides(spark, sf_dir), src.raw_tips(spark, sf_dir)
+    all_rides = src.rides(spark, sf_dir)
+    all_tips = src.raw_tips(spark, sf_dir) if all_tips is None else all_tips
     for index in range(len(cuts) + 1):
         rides.upsert(between(all_rides, "ride_date", cuts, index))
         tips.upsert(between(all_tips, "tipped_on", cuts, index))

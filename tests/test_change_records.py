@@ -1,0 +1,116 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from tests.conftest import plan, rows
+from tidewater.sources.change_records import decode_changes, encode_changes, malformed_changes
+
+SCHEMA = (
+    T.StructType()
+    .add("id", T.StringType())
+    .add("amount", T.DecimalType(10, 2))
+    .add("active", T.BooleanType())
+    .add("day", T.DateType())
+    .add(
+        "place",
+        T.StructType()
+        .add("city", T.StringType())
+        .add("at", T.StructType().add("lat", T.DoubleType())),
+    )
+    .add("tags", T.ArrayType(T.StringType()))
+    .add("sizes", T.ArrayType(T.IntegerType()))
+    .add("more", T.MapType(T.StringType(), T.IntegerType()))
+    .add("note", T.StringType())
+)
+
+
+def text(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "value string")
+
+
+def test_decodes_every_kind(spark):
+    record = """{"eventName": "INSERT", "dynamodb": {"NewImage": {
+        "id": {"S": "1"}, "amount": {"N": "10.5"}, "active": {"BOOL": true}, "day": {"S": "2024-02-29"},
+        "place": {"M": {"city": {"S": "X"}, "at": {"M": {"lat": {"N": "1.25"}}}}},
+        "tags": {"SS": ["a", "b"]}, "sizes": {"L": [{"N": "1"}, {"N": "2"}]},
+        "more": {"M": {"k": {"N": "7"}}}, "note": {"NULL": true}, "ignored": {"S": "x"}}}}"""
+    row = decode_changes(text(spark, record), SCHEMA).first()
+    assert row.id == "1" and row.amount == Decimal("10.50") and row.active is True
+    assert row.day == dt.date(2024, 2, 29)
+    assert row.place.city == "X" and row.place["at"].lat == 1.25
+    assert row.tags == ["a", "b"] and row.sizes == [1, 2] and row.more == {"k": 7}
+    assert row.note is None and row._op == "U"
+
+
+def test_nested_value_in_text_column_stays_json(spark):
+    record = '{"eventName":"INSERT","dynamodb":{"NewImage":{"note":{"M":{"a":{"S":"b"}}}}}}'
+    assert decode_changes(text(spark, record), SCHEMA).first().note == '{"a":{"S":"b"}}'
+
+
+def test_event_name_is_trimmed_and_case_free(spark):
+    image = '{"NewImage":{"id":{"S":"%s"}},"OldImage":{"id":{"S":"old"}}}'
+    df = text(
+        spark,
+        '{"eventName":"  insert ","dynamodb":%s}' % image % "a",
+        '{"eventName":"Modify","dynamodb":%s}' % image % "b",
+        '{"eventName":"REMOVE","dynamodb":%s}' % image % "c",
+        '{"eventName":"TRUNCATE","dynamodb":%s}' % image % "d",
+        '{"dynamodb":%s}' % image % "e",
+        '{"eventName":"INSERT","dynamodb":{}}',
+        '{"eventName":"INSERT"}',
+    )
+    got = rows(decode_changes(df, SCHEMA).select("id", "_op"))
+    assert got == [("a", "U"), ("b", "U"), ("old", "D")]
+
+
+def test_remove_with_keys_only(spark):
+    df = text(spark, '{"eventName":"REMOVE","dynamodb":{"Keys":{"id":{"S":"9"}}}}')
+    assert rows(decode_changes(df, SCHEMA).select("id", "_op")) == [("9", "D")]
+    assert decode_changes(df, SCHEMA, deletes="as_rows").isEmpty()
+
+
+def test_remove_as_row(spark):
+    df = text(spark, '{"eventName":"REMOVE","dynamodb":{"OldImage":{"id":{"S":"9"}}}}')
+    assert rows(decode_changes(df, SCHEMA, deletes="as_rows").select("id", "_op")) == [("9", "U")]
+
+
+def test_bad_values_become_null(spark):
+    df = text(spark, '{"eventName":"INSERT","dynamodb":{"NewImage":{"id":{"S":"1"},"amount":{"S":"n/a"}}}}')
+    assert decode_changes(df, SCHEMA).first().amount is None
+
+
+def test_malformed_text(spark):
+    df = text(spark, '{"eventName":', '{"eventName":"INSERT","dynamodb":{"NewImage":{"id":{"S":"1"}}}}')
+    with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
+        decode_changes(df, SCHEMA).collect()
+    assert decode_changes(df, SCHEMA, mode="PERMISSIVE").count() == 1
+    assert [r.value for r in malformed_changes(df).collect()] == ['{"eventName":']
+
+
+def test_other_columns_are_kept(spark):
+    df = text(spark, '{"eventName":"INSERT","dynamodb":{"NewImage":{"id":{"S":"1"}}}}').withColumn(
+        "offset", F.lit(5)
+    )
+    assert decode_changes(df, SCHEMA).select("offset", "id").first() == (5, "1")
+
+
+def test_encode_then_decode_gives_the_rows_back(spark):
+    df = spark.sql(
+        """SELECT 'a' AS id, CAST(1.5 AS DECIMAL(10,2)) AS amount, true AS active,
+                  DATE'2024-01-01' AS day,
+                  struct('X' AS city, struct(CAST(2 AS DOUBLE) AS lat) AS at) AS place,
+                  array('p', 'q') AS tags, array(1, 2) AS sizes, map('k', 1) AS more,
+                  'quote " and \\u00fc' AS note
+           UNION ALL SELECT 'b', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL"""
+    )
+    names = [f.name for f in SCHEMA if f.name != "more"]
+    back = decode_changes(encode_changes(df, SCHEMA, F.lit("MODIFY")), SCHEMA)
+    assert rows(back.select(names)) == rows(df.select(names))
+    assert {r.id: r.more for r in back.collect()} == {"a": {"k": 1}, "b": None}
+
+
+def test_text_is_parsed_once_per_row(spark):
+    shown = plan(decode_changes(text(spark, "{}"), SCHEMA))
+    assert shown.count("from_json") == 1

@@ -1,0 +1,286 @@
+"""The earnings fact: hand-made edge cases, and any split equals the full recompute."""
+
+import datetime as dt
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from checks import queries
+from tests.conftest import plan, rows
+from tidewater.operators import maintenance
+from tidewater.operators.checkpoint import Checkpoint, next_increment
+from tidewater.operators.keyed_table import KeyedTable
+from tidewater.plans import earnings as earn
+from tidewater.schemas import MONEY, TIPS
+from tidewater.sources.calendar import date_dim
+from tidewater.sources import order_rides
+from tidewater.sources.order_rides import RIDE_SCHEMA
+
+DAY = dt.date(2024, 2, 29)
+
+
+def money(value):
+    return None if value is None else Decimal(value)
+
+
+class World:
+    """Ride and tip tables, the fact and its consumer."""
+
+    def __init__(self, spark, folder, mode="complete", policy="latest"):
+        self.spark, self.mode, self.policy = spark, mode, policy
+        self.rides = KeyedTable.create(spark, f"{folder}/rides", RIDE_SCHEMA, "ride_id", "ride_date")
+        self.tips = KeyedTable.create(spark, f"{folder}/tips", TIPS, "tip_id", "tip_id")
+        self.fact = earn.create_fact(spark, f"{folder}/fact")
+        self.checkpoint = Checkpoint(spark, f"{folder}/consumer")
+        self.dim = date_dim(spark)
+
+    def ride(self, *values, refresh=False):
+        """(ride, driver, fare[, day])"""
+        data = [(r, "u", d, (rest[0] if rest else DAY), "CA", money(f)) for r, d, f, *rest in values]
+        self.rides.upsert(self.spark.createDataFrame(data, RIDE_SCHEMA))
+        return self.refresh() if refresh else None
+
+    def tip(self, *values, refresh=False):
+        """(tip, ride, amount)"""
+        self.tips.upsert(self.spark.createDataFrame([(t, r, money(a)) for t, r, a in values], TIPS))
+        return self.refresh() if refresh else None
+
+    def refresh(self):
+        return earn.refresh_earnings(
+            self.rides, self.tips, self.fact, self.dim, self.checkpoint, self.mode, self.policy
+        )
+
+    def got(self):
+        fact = self.fact.snapshot().select("driver_id", "ride_id", "fare", "tip_amount", "total_amount")
+        return {(r.driver_id, r.ride_id): (r.tip_amount, r.total_amount) for r in fact.collect()}
+
+    def full(self):
+        return earn.earnings(self.rides.snapshot(), self.tips.snapshot(), self.dim, self.policy)
+
+    def check_full(self):
+        assert rows(self.fact.snapshot()) == rows(self.full())
+
+
+@pytest.fixture
+def world(spark, folder):
+    return lambda **options: World(spark, folder, **options)
+
+
+def d(tip, total):
+    return Decimal(tip), Decimal(total)
+
+
+def test_first_slice(world):
+    w = world()
+    w.ride(("r1", "d1", "10.50"), ("r2", "d1", "20.25"))
+    w.tip(("t1", "r1", "2.50"), refresh=True)
+    assert w.got() == {("d1", "r1"): d("2.50", "13.00"), ("d1", "r2"): d("0.00", "20.25")}
+    assert w.fact.snapshot().first().earning_date_key == 20240229
+
+
+@pytest.mark.parametrize("mode,expected", [("complete", "12.50"), ("reference", "10.00")])
+def test_late_tip_with_other_rides(world, mode, expected):
+    w = world(mode=mode)
+    w.ride(("r1", "d1", "10.00"), refresh=True)
+    w.ride(("r3", "d2", "5.00"))
+    w.tip(("t1", "r1", "2.50"), refresh=True)
+    assert w.got()["d1", "r1"][1] == Decimal(expected)
+    assert w.got()["d2", "r3"][1] == Decimal("5.00")
+
+
+@pytest.mark.parametrize("mode,expected", [("complete", "12.50"), ("reference", "10.00")])
+def test_early_tip(world, mode, expected):
+    w = world(mode=mode)
+    w.ride(("r0", "d1", "1.00"))
+    w.tip(("t1", "r4", "2.50"), refresh=True)
+    assert set(w.got()) == {("d1", "r0")}
+    w.ride(("r4", "d1", "10.00"), refresh=True)
+    assert w.got()["d1", "r4"][1] == Decimal(expected)
+
+
+@pytest.mark.parametrize("mode", ["complete", "reference"])
+def test_tips_only_slice(world, mode):
+    w = world(mode=mode)
+    w.ride(("r1", "d1", "10.00"), ("r2", "d1", "20.00"), refresh=True)
+    w.tip(("t1", "r1", "2.50"), ("t2", "unknown", "1.00"), refresh=True)
+    assert w.got() == {("d1", "r1"): d("2.50", "12.50"), ("d1", "r2"): d("0.00", "20.00")}
+
+
+@pytest.mark.parametrize("mode,expected", [("complete", "12.50"), ("reference", "10.00")])
+def test_redelivered_ride(world, mode, expected):
+    w = world(mode=mode)
+    w.ride(("r1", "d1", "10.00"))
+    w.tip(("t1", "r1", "2.50"), refresh=True)
+    w.ride(("r1", "d1", "10.00"), refresh=True)
+    assert w.got()["d1", "r1"][1] == Decimal(expected)
+
+
+@pytest.mark.parametrize("policy,expected", [("latest", "3.50"), ("sum", "6.00")])
+def test_two_tips_on_a_ride(world, policy, expected):
+    w = world(policy=policy)
+    w.ride(("r1", "d1", "10.00"))
+    w.tip(("t1", "r1", "2.50"), ("t2", "r1", "3.50"), refresh=True)
+    assert w.got()["d1", "r1"][0] == Decimal(expected)
+
+
+def test_ride_changes_driver(world):
+    w = world()
+    w.ride(("r1", "d1", "10.00"))
+    w.tip(("t1", "r1", "2.50"), refresh=True)
+    w.ride(("r1", "d2", "11.00"), refresh=True)
+    assert w.got() == {("d2", "r1"): d("2.50", "13.50")}
+
+
+def test_ride_leaves_and_joins_the_calendar(world):
+    w = world()
+    w.ride(("r1", "d1", "10.00"), ("r2", "d1", "1.00", dt.date(1999, 12, 31)), refresh=True)
+    assert set(w.got()) == {("d1", "r1")}
+    w.ride(("r1", "d1", "10.00", dt.date(1999, 1, 1)), ("r2", "d1", "1.00"), refresh=True)
+    assert set(w.got()) == {("d1", "r2")}
+
+
+def test_deletes_reach_the_fact(world):
+    w = world()
+    w.ride(("r1", "d1", "10.00"), ("r2", "d1", "20.00"))
+    w.tip(("t1", "r1", "2.50"), ("t2", "r1", "3.50"), refresh=True)
+    w.rides.delete("ride_id", "r2")
+    w.tips.delete("tip_id", "t2")
+    w.refresh()
+    assert w.got() == {("d1", "r1"): d("2.50", "12.50")}
+
+
+def test_tip_moves_to_another_ride(world):
+    w = world()
+    w.ride(("r1", "d1", "10.00"), ("r2", "d1", "20.00"))
+    w.tip(("t1", "r1", "2.50"), refresh=True)
+    w.tip(("t1", "r2", "2.50"), refresh=True)
+    assert w.got() == {("d1", "r1"): d("0.00", "10.00"), ("d1", "r2"): d("2.50", "22.50")}
+
+
+def test_null_amount_and_day(world):
+    w = world()
+    w.ride(("r1", "d1", None), ("r2", "d1", "5.00", None))
+    w.tip(("t1", "r1", None), refresh=True)
+    assert w.got() == {("d1", "r1"): (Decimal("0.00"), None)}
+
+
+def test_empty_increment_writes_nothing(world):
+    w = world()
+    assert w.refresh() is None
+    assert w.checkpoint.get("rides") is None
+    w.ride(("r1", "d1", "10.00"), refresh=True)
+    before = w.checkpoint.get("rides")
+    assert w.refresh() is None
+    assert w.checkpoint.get("rides") == before and w.fact.commits() == [1]
+    assert before["last_processed_commit"] == 1 and before["table_name"] == "rides"
+    assert set(before) == {"last_processed_commit", "table_name", "path", "inserted_time"}
+
+
+def test_tips_before_any_ride(world):
+    w = world()
+    w.tip(("t1", "r1", "2.50"), refresh=True)
+    assert w.got() == {}
+    w.ride(("r1", "d1", "10.00"), refresh=True)
+    assert w.got() == {("d1", "r1"): d("2.50", "12.50")}
+
+
+def test_failed_write_is_repeated(world, monkeypatch):
+    w = world()
+    w.ride(("r1", "d1", "10.00"), refresh=True)
+    w.tip(("t1", "r1", "2.50"))
+
+    def broken(*args, **kwargs):
+        raise OSError("disk gone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(w.fact, "upsert", broken)
+        with pytest.raises(OSError):
+            w.refresh()
+    w.refresh()
+    assert w.got() == {("d1", "r1"): d("2.50", "12.50")}
+
+
+def test_cleared_checkpoint_rebuilds(world):
+    w = world()
+    w.ride(("r1", "d1", "10.00"), ("r2", "d1", "1.00"), refresh=True)
+    w.rides.delete("ride_id", "r2")
+    w.checkpoint.clear("rides")
+    w.checkpoint.clear("tips")
+    w.refresh()
+    w.check_full()
+    assert set(w.got()) == {("d1", "r1")}
+
+
+def test_checkpoint_first_resumed_and_empty_run(spark, world, folder):
+    w = world()
+    w.ride(("r1", "d1", "1.00"))
+    consumer = Checkpoint(spark, f"{folder}/other")
+    first = next_increment(w.rides, "rides", consumer)
+    assert first.begin is None and first.rows().count() == 1
+    first.done(consumer)
+    w.ride(("r2", "d1", "1.00"))
+    second = next_increment(w.rides, "rides", consumer)
+    assert (second.begin, second.end) == (1, 2)
+    assert [r.ride_id for r in second.rows().collect()] == ["r2"]
+    second.done(consumer)
+    third = next_increment(w.rides, "rides", consumer)
+    assert third.is_empty and third.rows().isEmpty()
+
+
+@pytest.mark.parametrize("seed,policy", [(1, "latest"), (2, "sum")])
+def test_any_split_equals_full_recompute(world, seed, policy):
+    """Random inserts, updates, moves and deletes in random increments."""
+    rng = random.Random(seed)
+    w = world(policy=policy)
+    for step in range(4):
+        ids = [f"r{i}" for i in rng.sample(range(12), 5)]
+        days = [DAY, dt.date(2001, 1, 1), dt.date(1999, 1, 1)]
+        if rng.random() < 0.8:
+            w.ride(*[(r, f"d{rng.randrange(3)}", f"{rng.randrange(50)}.25", rng.choice(days)) for r in ids])
+        if rng.random() < 0.8:
+            w.tip(*[(f"t{i}", f"r{rng.randrange(14)}", f"{rng.randrange(9)}.50")
+                    for i in rng.sample(range(15), 6)])
+        if rng.random() < 0.5:
+            w.rides.delete("ride_id", rng.choice(ids))
+            w.tips.delete("tip_id", f"t{rng.randrange(15)}")
+        if step == 2:
+            for table in (w.rides, w.tips, w.fact):
+                maintenance.compact(table)
+        w.refresh()
+        w.check_full()
+
+
+def test_slices_of_the_given_tables(spark):
+    """Known sums for tips after each two-branch refresh of the sf0.01 data."""
+    fact = queries.incremental_earnings(
+        spark, "/root/testdata/sf0.01", "test_slices", "reference", queries.CUTS,
+        order_rides.tips(spark, "/root/testdata/sf0.01"),
+    )
+    sums = [
+        round(float(fact.snapshot(c).agg(F.sum("tip_amount")).first()[0])) for c in fact.commits()
+    ]
+    assert sums == [72069, 108375, 132889, 145233]
+    complete = queries.batch_earnings(spark, "/root/testdata/sf0.01")
+    assert round(float(complete.agg(F.sum("tip_amount")).first()[0])) == 279942
+    key = ["driver_id", "ride_id", "tip_amount"]
+    assert complete.join(fact.snapshot(), key, "left_anti").count() == 6941
+
+
+def test_tips_are_reduced_before_the_join(spark):
+    tips = spark.range(100).select(
+        F.col("id").cast("string").alias("tip_id"), F.lit("hot").alias("ride_id"),
+        F.lit(1).cast(MONEY).alias("tip_amount"))
+    shown = plan(earn.tips_per_ride(tips, "sum"))
+    assert "partial_sum" in shown
+    assert "partial_max_by" in plan(earn.tips_per_ride(tips, "latest"))
+
+
+def test_wire_strings_under_ansi(spark, world):
+    """Text amounts are typed first, so the untyped-zero trap cannot occur."""
+    w = world()
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    w.ride(("r1", "d1", "3.5"), refresh=True)
+    total = w.fact.snapshot().schema["total_amount"].dataType
+    assert total == T.DecimalType(18, 2)

@@ -1,0 +1,142 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from tests.conftest import rows
+from tidewater.functions.cleaning import MISSING
+from tidewater.operators.keyed_table import KeyedTable
+from tidewater.plans import silver
+from tidewater.sources.change_records import decode_changes
+from tidewater.sources.raw_files import land_raw, read_raw
+from tidewater.streaming.ingest import ingest_stream, new_files
+from tidewater.streaming.landing import change_stream, land_changes
+
+WIRE = T.StructType().add("ride_id", "string").add("ride_date", "string").add("fare", "string")
+STORED = (
+    T.StructType().add("ride_id", "string").add("ride_date", "date").add("fare", "decimal(18,2)")
+    .add("note", "string").add("year", "integer").add("month", "integer").add("day", "integer")
+)
+
+
+def record(name, ride, date="2024-02-29", fare="1.50"):
+    image = {"ride_id": {"S": ride}, "ride_date": {"S": date}, "fare": {"N": fare}}
+    kind = "OldImage" if name == "REMOVE" else "NewImage"
+    return json.dumps({"eventName": name, "dynamodb": {kind: image}})
+
+
+@pytest.fixture
+def table(spark, folder):
+    return KeyedTable.create(
+        spark, f"{folder}/silver", STORED, "ride_id", "ride_date", partition_fields="year,month,day"
+    )
+
+
+def ingest(spark, folder, table, **options):
+    files = new_files(spark, f"{folder}/raw", WIRE, **options)
+    ingest_stream(files, table, f"{folder}/state", silver.RIDE_PARTITIONS_SQL).awaitTermination()
+
+
+def wire(spark, *values):
+    return spark.createDataFrame(list(values), WIRE)
+
+
+def test_only_new_files_are_ingested(spark, folder, table):
+    land_raw(wire(spark, ("r1", "2024-02-29", "1.5"), ("r2", "n/a", "n/a")), f"{folder}/raw")
+    ingest(spark, folder, table)
+    assert table.commits() == [1]
+    ingest(spark, folder, table)
+    assert table.commits() == [1]
+    land_raw(wire(spark, ("r1", "2024-03-01", "2.5")), f"{folder}/raw")
+    ingest(spark, folder, table)
+    assert table.commits() == [1, 2]
+    got = {r.ride_id: r for r in table.snapshot().collect()}
+    assert str(got["r1"].fare) == "2.50" and (got["r1"].year, got["r1"].month, got["r1"].day) == (2024, 3, 1)
+    # the missing text column is filled, typed columns stay null
+    assert got["r2"].fare is None and got["r2"].ride_date is None and got["r2"].note == MISSING
+
+
+def test_stream_equals_batch(spark, folder, table):
+    values = [(f"r{i % 30}", f"2024-01-{i % 28 + 1:02d}", f"{i}.25") for i in range(100)]
+    for i in range(4):
+        wire(spark, *values[i * 25:(i + 1) * 25]).write.mode("append").parquet(f"{folder}/raw")
+    ingest(spark, folder, table)
+    other = KeyedTable.create(spark, f"{folder}/batch", STORED, "ride_id", "ride_date")
+    silver.ingest(read_raw(spark, f"{folder}/raw", "parquet", WIRE), other, silver.RIDE_PARTITIONS_SQL)
+    assert rows(table.snapshot()) == rows(other.snapshot())
+
+
+def test_small_triggers_make_several_commits(spark, folder, table):
+    for i in range(3):
+        wire(spark, (f"r{i}", "2024-01-01", "1")).coalesce(1).write.mode("append").parquet(f"{folder}/raw")
+    ingest(spark, folder, table, max_files=1)
+    assert table.commits() == [1, 2, 3] and table.snapshot().count() == 3
+
+
+def test_batch_is_repeated_after_a_crash(spark, folder, table, monkeypatch):
+    """The batch is written, then the stream dies before it can say so."""
+    land_raw(wire(spark, ("r1", "2024-01-01", "1")), f"{folder}/raw")
+    upsert = table.upsert
+
+    def crash(*args, **kwargs):
+        upsert(*args, **kwargs)
+        raise OSError("lost driver")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(table, "upsert", crash)
+        with pytest.raises(Exception, match="lost driver"):
+            ingest(spark, folder, table)
+    assert table.commits() == [1]
+    ingest(spark, folder, table)
+    assert table.commits() == [1] and table.snapshot().count() == 1
+
+
+def test_new_checkpoint_starts_over(spark, folder, table):
+    land_raw(wire(spark, ("r1", "2024-01-01", "1")), f"{folder}/raw")
+    ingest(spark, folder, table)
+    files = new_files(spark, f"{folder}/raw", WIRE)
+    ingest_stream(files, table, f"{folder}/state2").awaitTermination()
+    assert table.commits() == [1, 2] and table.snapshot().count() == 1
+
+
+def test_landing_decodes_and_partitions(spark, folder):
+    lines = [record("INSERT", "r1"), record("REMOVE", "r2"), record("other", "r3")]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(f"{folder}/changes")
+    for _ in range(2):
+        query = land_changes(
+            change_stream(spark, f"{folder}/changes"), WIRE, f"{folder}/raw", f"{folder}/state"
+        )
+        query.awaitTermination()
+    landed = spark.read.parquet(f"{folder}/raw")
+    assert rows(landed.select("ride_id", "fare", "_op")) == [("r1", "1.50", "U"), ("r2", "1.50", "D")]
+    today = spark.range(1).select(F.current_date().alias("d")).first().d
+    assert {(r.year, r.month, r.day) for r in landed.collect()} == {(today.year, today.month, today.day)}
+
+
+def test_land_appends_and_scan_ignores_date_folders(spark, folder):
+    land_raw(wire(spark, ("r1", "2024-01-01", "1")), f"{folder}/raw")
+    land_raw(wire(spark, ("r2", "2024-01-01", "1")), f"{folder}/raw")
+    scanned = read_raw(spark, f"{folder}/raw")
+    assert scanned.columns == WIRE.fieldNames() and scanned.count() == 2
+
+
+def test_json_scan(spark, folder):
+    wire(spark, ("r1", "2024-01-01", "1")).write.json(f"{folder}/raw/deep/er")
+    assert rows(read_raw(spark, f"{folder}/raw", "json", WIRE)) == [("r1", "2024-01-01", "1")]
+    assert read_raw(spark, f"{folder}/raw", "json").count() == 1
+
+
+def test_other_formats_are_refused(spark, folder):
+    with pytest.raises(ValueError, match="csv"):
+        read_raw(spark, folder, "csv")
+    with pytest.raises(ValueError, match="orc"):
+        new_files(spark, folder, WIRE, "orc")
+
+
+def test_changes_to_silver(spark, folder, table):
+    """Change records, batch by batch, deletes included."""
+    for lines in ([record("INSERT", "r1"), record("INSERT", "r2")],
+                  [record("MODIFY", "r1", fare="9"), record("REMOVE", "r2")]):
+        changes = decode_changes(spark.createDataFrame([(x,) for x in lines], "value string"), WIRE)
+        silver.ingest(changes, table, silver.RIDE_PARTITIONS_SQL)
+    assert [(r.ride_id, str(r.fare)) for r in table.snapshot().collect()] == [("r1", "9.00")]
