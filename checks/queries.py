@@ -233,6 +233,12 @@ def _rides_table(spark: SparkSession, path: str) -> KeyedTable:
     )
 
 
+def _staged(df: DataFrame, path: str) -> DataFrame:
+    """The rows written once, for plans that read them in several increments."""
+    df.write.parquet(f"{path}/source")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{path}/source")
+
+
 def _with_day_parts(rides: DataFrame) -> DataFrame:
     return rides.select("*", *day_parts(F.col("ride_date")))
 
@@ -243,7 +249,7 @@ def _rides_in_commits(
     """Rides upserted in one commit per increment."""
     path = shared_dir(spark, name)
     table = _rides_table(spark, f"{path}/rides")
-    rides = _with_day_parts(src.rides(spark, sf_dir))
+    rides = _staged(_with_day_parts(src.rides(spark, sf_dir)), path)
     for index in range(len(cuts) + 1):
         table.upsert(between(rides, "ride_date", cuts, index))
     return table, path
@@ -259,7 +265,7 @@ def q_incremental_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "incremental_resume")
     table = _rides_table(spark, f"{path}/rides")
     checkpoint = Checkpoint(spark, f"{path}/consumer")
-    rides = _with_day_parts(src.rides(spark, sf_dir))
+    rides = _staged(_with_day_parts(src.rides(spark, sf_dir)), path)
     seen = []
     for run in (1, 2, 3):
         if run < 3:
@@ -305,8 +311,9 @@ def q_clustered_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_vacuumed_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each increment is compacted; the oldest versions are then removed."""
-    table = _rides_table(spark, f"{shared_dir(spark, 'vacuumed_snapshot')}/rides")
-    rides = _with_day_parts(src.rides(spark, sf_dir))
+    path = shared_dir(spark, "vacuumed_snapshot")
+    table = _rides_table(spark, f"{path}/rides")
+    rides = _staged(_with_day_parts(src.rides(spark, sf_dir)), path)
     cuts = ("1997-01-01", "1998-01-01", "2000-01-01")
     for index in range(len(cuts) + 1):
         table.upsert(between(rides, "ride_date", cuts, index))
@@ -360,7 +367,7 @@ def incremental_earnings(
     )
     fact = earn.create_fact(spark, f"{path}/driver_earnings")
     checkpoint = Checkpoint(spark, f"{path}/consumer")
-    all_rides = src.rides(spark, sf_dir)
+    all_rides = _staged(src.rides(spark, sf_dir), path)
     all_tips = src.raw_tips(spark, sf_dir) if all_tips is None else all_tips
     for index in range(len(cuts) + 1):
         rides.upsert(between(all_rides, "ride_date", cuts, index))

@@ -182,7 +182,7 @@ def test_clustering_splits_a_hot_value(spark, make):
         F.col("id").cast("string").alias("k"),
         F.when(F.col("id") % 3 == 0, F.concat(F.lit("s"), F.col("id"))).otherwise("hot").alias("state"),
         F.col("id").cast("int").alias("v"), F.lit(1).alias("seq")))
-    base = maintenance.cluster(t, "state", target_file_bytes=paths.total_bytes(spark, t.path) // 6)
+    base = maintenance.cluster(t, "state", target_file_bytes=t.usage([1])[0] // 6)
     written = spark.read.parquet(base.path).withColumn("f", F.input_file_name())
     per_file = [r["count"] for r in written.groupBy("f").count().collect()]
     assert len(per_file) >= 5 and max(per_file) < 6000 / 3
@@ -336,3 +336,31 @@ def test_filter_and_columns_reach_the_scan(spark, make):
     shown = plan(t.snapshot().where("state = 'CA' AND v > 0").select("k"))
     assert "PartitionFilters: [isnotnull(state" in shown and "GreaterThan(v,0)" in shown
     assert "seq" not in shown.split("ReadSchema")[1]
+
+
+def test_large_log_spares_untouched_partitions(spark, make, monkeypatch):
+    t = make(partition_fields="state", scope="partition")
+    t.upsert(batch(spark, *[(f"k{i}", f"s{i % 5}", i, 1) for i in range(50)], ("n", None, 1, 1)))
+    maintenance.compact(t)
+    t.upsert(batch(spark, ("k1", "s1", -1, 2), ("k1", "s2", -2, 2), ("n", None, -3, 2)))
+    t.delete("k", "k6")
+    small = rows(t.snapshot())
+    monkeypatch.setattr(t, "_broadcast_bytes", lambda: 0)
+    assert rows(t.snapshot()) == small and len(small) == 51
+    shown = plan(t.snapshot())
+    assert shown.count("LeftSemi") == 1
+    # the semi join reads only the partitions that the log touches
+    assert "dynamicpruning" in shown
+
+
+def test_compaction_merges_small_files(spark, make):
+    t = make()
+    for i in range(4):
+        t.upsert(batch(spark, *[(f"k{j}", "CA", i, i) for j in range(i, i + 20)]))
+    assert maintenance.compact(t, min_commits=5) is None
+    base = maintenance.compact(t, min_commits=4)
+    assert len(paths.glob(spark, f"{base.path}/*.parquet")) == 1
+    t.upsert(batch(spark, ("k1", "CA", 9, 9)))
+    kept = maintenance.compact(t, small_file_bytes=1)
+    assert len(paths.glob(spark, f"{kept.path}/*.parquet")) >= 2
+    assert t.snapshot().count() == 23

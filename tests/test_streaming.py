@@ -32,9 +32,11 @@ def table(spark, folder):
     )
 
 
-def ingest(spark, folder, table, **options):
+def ingest(spark, folder, table, compact_after=None, **options):
     files = new_files(spark, f"{folder}/raw", WIRE, **options)
-    ingest_stream(files, table, f"{folder}/state", silver.RIDE_PARTITIONS_SQL).awaitTermination()
+    ingest_stream(
+        files, table, f"{folder}/state", silver.RIDE_PARTITIONS_SQL, compact_after
+    ).awaitTermination()
 
 
 def wire(spark, *values):
@@ -69,8 +71,9 @@ def test_stream_equals_batch(spark, folder, table):
 def test_small_triggers_make_several_commits(spark, folder, table):
     for i in range(3):
         wire(spark, (f"r{i}", "2024-01-01", "1")).coalesce(1).write.mode("append").parquet(f"{folder}/raw")
-    ingest(spark, folder, table, max_files=1)
+    ingest(spark, folder, table, max_files=1, compact_after=2)
     assert table.commits() == [1, 2, 3] and table.snapshot().count() == 3
+    assert [b.upto for b in table.bases()] == [2]
 
 
 def test_batch_is_repeated_after_a_crash(spark, folder, table, monkeypatch):

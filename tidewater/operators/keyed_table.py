@@ -32,6 +32,8 @@ from tidewater.sources.change_records import DELETE, OP, UPSERT
 
 COMMIT = "_commit"
 SCOPES = ("global", "partition")
+# so many partition values, a few dozen bytes each, are safe to broadcast
+BROADCAST_PARTITIONS = 50_000
 
 
 class HistoryLost(ValueError):
@@ -208,6 +210,8 @@ class KeyedTable:
         Only keys touched since the last compaction are ranked.  The base side
         meets them in an anti join against the key columns of the log, which
         Catalyst broadcasts while they are small, so the base is not shuffled.
+        A larger log of a partition-scoped table is joined to the partitions it
+        touches; the others pass by.
         """
         if as_of is not None:
             self.check_readable(as_of)
@@ -218,11 +222,46 @@ class KeyedTable:
         elif not log:
             rows = self._read_base(base)
         else:
-            rows = self._match(
-                self._read_base(base), self.read_log(log), self.key, "left_anti"
-            ).unionByName(fresh)
+            rows = self._untouched(base, log).unionByName(fresh)
         return rows if with_commit else rows.drop(COMMIT)
 
+    def _untouched(self, base: Base, log: Sequence[int]) -> DataFrame:
+        """Base rows whose key is not in the log."""
+        stored, changed = self._read_base(base), self.read_log(log)
+        if not self._spares_partitions(log):
+            return self._match(stored, changed, self.key, "left_anti")
+        # plain equality and a filter (always true here) let Spark prune partitions
+        # at run time; rows with a null partition value are few and join as touched
+        fields = [F.col(c).alias(f"_in_{c}") for c in self.partition_fields]
+        touched = changed.where(F.col(COMMIT) > base.upto).select(fields).distinct()
+        same = functools.reduce(
+            Column.__and__, [F.col(c) == F.col(f"_in_{c}") for c in self.partition_fields]
+        )
+        null = functools.reduce(Column.__or__, [F.col(c).isNull() for c in self.partition_fields])
+        elsewhere = stored.where(~null).join(F.broadcast(touched), same, "left_anti")
+        here = stored.join(F.broadcast(touched), same, "left_semi").unionByName(stored.where(null))
+        return elsewhere.unionByName(self._match(here, changed, self.key, "left_anti"))
+
+    def _spares_partitions(self, log: Sequence[int]) -> bool:
+        """A log too large to broadcast, but over a counted, small set of partitions."""
+        if self.scope != "partition" or not self.partition_fields:
+            return False
+        if self.usage(log)[0] <= self._broadcast_bytes():
+            return False
+        folders = "/".join(f"{field}=*" for field in self.partition_fields)
+        touched = sum(len(paths.glob(self.spark, f"{self.commit_path(c)}/{folders}")) for c in log)
+        return touched <= BROADCAST_PARTITIONS
+
+    def usage(self, commits: Sequence[int], base: Base | None = None) -> tuple[int, int]:
+        """Stored bytes and files of some commits and a base."""
+        folders = [*map(self.commit_path, commits), *([base.path] if base else [])]
+        sizes = [paths.usage(self.spark, folder) for folder in folders]
+        return sum(size for size, _ in sizes), sum(files for _, files in sizes)
+
+    def _broadcast_bytes(self) -> int:
+        threshold = self.spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+        return int(threshold)
+
     def incremental(
         self,
         begin: int | None = None,

@@ -13,17 +13,33 @@ from tidewater.operators.keyed_table import COMMIT, Base, KeyedTable
 from tidewater.sources.change_records import DELETE, OP, UPSERT
 
 # fixed values: default sizing and retention
+MAX_FILE_BYTES = 512 * 1024 * 1024
+SMALL_FILE_BYTES = 100 * 1024 * 1024
 CLUSTER_FILE_BYTES = 1024 * 1024 * 1024
 KEPT_VERSIONS = 3
 LISTED_COMMITS = 5
 
 
-def compact(table: KeyedTable) -> Base | None:
-    """Fold the log into a new base; None when there is nothing to fold."""
-    _, log = table.files_at(None)
-    if not log:
+def compact(
+    table: KeyedTable,
+    min_commits: int = 1,
+    max_file_bytes: int = MAX_FILE_BYTES,
+    small_file_bytes: int = SMALL_FILE_BYTES,
+) -> Base | None:
+    """Fold the log into a new base once it has ``min_commits``; None if it has not.
+
+    The base is written as it is read, without a shuffle, unless its files would
+    be small; then they are merged up to ``max_file_bytes``.
+    """
+    base, log = table.files_at(None)
+    if not log or len(log) < min_commits:
         return None
-    return table.write_base(table.snapshot(with_commit=True), log[-1])
+    rows = table.snapshot(with_commit=True)
+    stored, files = table.usage(log, base)
+    wanted = max(1, math.ceil(stored / max_file_bytes))
+    if files > wanted and stored / files < small_file_bytes:
+        rows = _in_files(rows, wanted, (*table.partition_fields, *table.key))
+    return table.write_base(rows, log[-1])
 
 
 def cluster(
@@ -31,26 +47,26 @@ def cluster(
     columns: str | Sequence[str] = (),
     target_file_bytes: int = CLUSTER_FILE_BYTES,
 ) -> Base | None:
-    """Rewrite the table as a base sorted by ``columns`` in files of a target size.
-
-    The key ends the sort order, so the ranges of a value that holds a third of
-    the rows are split like any other.
-    """
+    """Rewrite the table as a base sorted by ``columns`` in files of a target size."""
     upto = table.last_commit()
     if upto is None:
         return None
     base, log = table.files_at(None)
-    stored = sum(paths.total_bytes(table.spark, table.commit_path(c)) for c in log)
-    stored += paths.total_bytes(table.spark, base.path) if base else 0
-    files = max(1, math.ceil(stored / target_file_bytes))
-    order = list(dict.fromkeys([
+    stored, _ = table.usage(log, base)
+    order = (
         *table.partition_fields,
         *(split_names(columns) or table.cluster_columns),
         *table.key,
-    ]))
+    )
     rows = table.snapshot(with_commit=True)
-    rows = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
-    return table.write_base(rows, upto)
+    return table.write_base(_in_files(rows, math.ceil(stored / target_file_bytes), order), upto)
+
+
+def _in_files(rows: DataFrame, files: int, order: Sequence[str]) -> DataFrame:
+    """Range-partitioned and sorted; the key ends the order, so the ranges of a
+    value that holds a third of the rows are split like any other."""
+    order = list(dict.fromkeys(order))
+    return rows.repartitionByRange(max(1, files), *order).sortWithinPartitions(*order)
 
 
 def show_commits(table: KeyedTable, n: int = LISTED_COMMITS) -> DataFrame:

@@ -29,9 +29,13 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return [str(s.getPath().toString()) for s in found] if found else []
 
 
-def total_bytes(spark: SparkSession, path: str) -> int:
+def usage(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Bytes and number of files below a path."""
     fs, p = _fs(spark, path)
-    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+    if not fs.exists(p):
+        return 0, 0
+    summary = fs.getContentSummary(p)
+    return int(summary.getLength()), int(summary.getFileCount())
 
 
 def delete(spark: SparkSession, path: str) -> None:
