@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidewater.functions import cleaning
+from tidewater.functions import cleaning, dates
 from tidewater.functions.dates import day_parts
 from tidewater.operators import maintenance
 from tidewater.operators.checkpoint import Checkpoint, next_increment
@@ -21,7 +21,7 @@ from tidewater.plans import earnings as earn, gold, silver
 from tidewater.session import shared_dir
 from tidewater.sources import order_rides as src
 from tidewater.sources.calendar import date_dim
-from tidewater.sources.change_records import OP, UPSERT, decode_changes
+from tidewater.sources.change_records import OP, UPSERT, decode_changes, encode_changes
 from tidewater.sources.raw_files import land_raw, read_raw
 from tidewater.streaming.ingest import ingest_stream, new_files
 from tidewater.streaming.landing import change_stream, land_changes
@@ -83,6 +83,26 @@ def q_date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).na.fill(0, ["rides"])
 
 
+def q_date_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order days as integer keys and back, and read from text that may be no day."""
+    day = F.col("o_orderdate").cast("date")
+    text = F.when(F.col("o_orderstatus") == "P", cleaning.MISSING).otherwise(
+        F.date_format(day, dates.DAY_FORMAT)
+    )
+    return src.read_table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        dates.day_to_key(day).alias("date_key"),
+        dates.key_to_day(dates.day_to_key(day)).alias("from_key"),
+        dates.to_day(text).alias("from_text"),
+    )
+
+
+def q_cdc_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as change records."""
+    customers = src.read_table(spark, sf_dir, "customer").drop("c_acctbal")
+    return encode_changes(customers, customers.schema, F.lit("INSERT"), keys=("c_custkey",))
+
+
 def q_cdc_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _change_rows(decode_changes(src.change_records(spark, sf_dir), src.EVENT_SCHEMA))
 

@@ -173,6 +173,18 @@ SELECT CAST(STRFTIME(days.d, '%Y%m%d') AS BIGINT) AS date_key,
        DAYNAME(days.d) AS weekday, CAST(ISODOW(days.d) - 1 AS BIGINT) AS weekday_number,
        CAST(COALESCE(n, 0) AS BIGINT) AS rides
 FROM days LEFT JOIN ridden ON days.d = ridden.d""",
+        "date_keys": """
+SELECT o_orderkey, CAST(STRFTIME(o_orderdate, '%Y%m%d') AS BIGINT) AS date_key,
+       STRFTIME(o_orderdate, '%Y-%m-%d') AS from_key,
+       CASE WHEN o_orderstatus = 'P' THEN NULL ELSE STRFTIME(o_orderdate, '%Y-%m-%d') END
+         AS from_text
+FROM orders""",
+        "cdc_encode": """
+SELECT '{"eventName":"INSERT","dynamodb":{"NewImage":{"c_custkey":{"N":"' || c_custkey
+       || '"},"c_name":{"S":"' || c_name || '"},"c_nationkey":{"N":"' || c_nationkey
+       || '"},"c_mktsegment":{"S":"' || c_mktsegment || '"}},"Keys":{"c_custkey":{"N":"'
+       || c_custkey || '"}}}}' AS value
+FROM customer""",
         "cdc_decode": f"SELECT {CHANGE_COLUMNS} FROM events",
         "cdc_latest_state": f"""
 SELECT {CHANGE_COLUMNS} FROM (

@@ -182,7 +182,7 @@ def test_clustering_splits_a_hot_value(spark, make):
         F.col("id").cast("string").alias("k"),
         F.when(F.col("id") % 3 == 0, F.concat(F.lit("s"), F.col("id"))).otherwise("hot").alias("state"),
         F.col("id").cast("int").alias("v"), F.lit(1).alias("seq")))
-    base = maintenance.cluster(t, "state", target_file_bytes=t.usage([1])[0] // 6)
+    base = maintenance.cluster(t, "state", target_file_bytes=t.usage([1])[0].bytes // 6)
     written = spark.read.parquet(base.path).withColumn("f", F.input_file_name())
     per_file = [r["count"] for r in written.groupBy("f").count().collect()]
     assert len(per_file) >= 5 and max(per_file) < 6000 / 3

@@ -246,17 +246,16 @@ class KeyedTable:
         """A log too large to broadcast, but over a counted, small set of partitions."""
         if self.scope != "partition" or not self.partition_fields:
             return False
-        if self.usage(log)[0] <= self._broadcast_bytes():
+        if sum(part.bytes for part in self.usage(log)) <= self._broadcast_bytes():
             return False
         folders = "/".join(f"{field}=*" for field in self.partition_fields)
         touched = sum(len(paths.glob(self.spark, f"{self.commit_path(c)}/{folders}")) for c in log)
         return touched <= BROADCAST_PARTITIONS
 
-    def usage(self, commits: Sequence[int], base: Base | None = None) -> tuple[int, int]:
-        """Stored bytes and files of some commits and a base."""
+    def usage(self, commits: Sequence[int], base: Base | None = None) -> list[paths.Usage]:
+        """Stored size of each of some commits and of a base."""
         folders = [*map(self.commit_path, commits), *([base.path] if base else [])]
-        sizes = [paths.usage(self.spark, folder) for folder in folders]
-        return sum(size for size, _ in sizes), sum(files for _, files in sizes)
+        return [paths.usage(self.spark, folder) for folder in folders]
 
     def _broadcast_bytes(self) -> int:
         threshold = self.spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()

@@ -28,17 +28,20 @@ def compact(
 ) -> Base | None:
     """Fold the log into a new base once it has ``min_commits``; None if it has not.
 
-    The base is written as it is read, without a shuffle, unless its files would
-    be small; then they are merged up to ``max_file_bytes``.
+    The base is written as it is read, without a shuffle, unless it would come in
+    many small files; then they are merged up to ``max_file_bytes``.
     """
     base, log = table.files_at(None)
     if not log or len(log) < min_commits:
         return None
     rows = table.snapshot(with_commit=True)
-    stored, files = table.usage(log, base)
-    wanted = max(1, math.ceil(stored / max_file_bytes))
-    if files > wanted and stored / files < small_file_bytes:
-        rows = _in_files(rows, wanted, (*table.partition_fields, *table.key))
+    parts = table.usage(log, base)
+    stored, files = sum(p.bytes for p in parts), sum(p.files for p in parts)
+    tasks = math.ceil(stored / max_file_bytes)
+    # every partition folder has a file of its own in any case
+    needed = max(tasks, *(p.folders for p in parts))
+    if files > 2 * needed and stored / files < small_file_bytes:
+        rows = _in_files(rows, tasks, (*table.partition_fields, *table.key))
     return table.write_base(rows, log[-1])
 
 
@@ -52,7 +55,7 @@ def cluster(
     if upto is None:
         return None
     base, log = table.files_at(None)
-    stored, _ = table.usage(log, base)
+    stored = sum(part.bytes for part in table.usage(log, base))
     order = (
         *table.partition_fields,
         *(split_names(columns) or table.cluster_columns),

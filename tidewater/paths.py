@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from typing import NamedTuple
 
 from pyspark.sql import SparkSession
 
@@ -29,13 +30,19 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return [str(s.getPath().toString()) for s in found] if found else []
 
 
-def usage(spark: SparkSession, path: str) -> tuple[int, int]:
-    """Bytes and number of files below a path."""
+class Usage(NamedTuple):
+    bytes: int
+    files: int
+    folders: int
+
+
+def usage(spark: SparkSession, path: str) -> Usage:
+    """What lies below a path, itself included."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
-        return 0, 0
-    summary = fs.getContentSummary(p)
-    return int(summary.getLength()), int(summary.getFileCount())
+        return Usage(0, 0, 0)
+    found = fs.getContentSummary(p)
+    return Usage(found.getLength(), found.getFileCount(), found.getDirectoryCount())
 
 
 def delete(spark: SparkSession, path: str) -> None:
