@@ -100,8 +100,7 @@ def test_null_key_is_refused(spark, make):
     with pytest.raises(PySparkException, match="null in record key"):
         t.upsert(batch(spark, (None, "CA", 1, 1)))
     assert t.commits() == []
-    # the failed attempt leaves an unfinished directory, which is never read
-    assert t.upsert(batch(spark, ("a", "CA", 1, 1))) is not None
+    t.upsert(batch(spark, ("a", "CA", 1, 1)))
     assert t.snapshot().count() == 1
 
 
@@ -364,3 +363,13 @@ def test_compaction_merges_small_files(spark, make):
     kept = maintenance.compact(t, small_file_bytes=1)
     assert len(paths.glob(spark, f"{kept.path}/*.parquet")) >= 2
     assert t.snapshot().count() == 23
+
+
+def test_vacuum_removes_broken_off_commits(spark, make):
+    t = make()
+    paths.make_dir(spark, t.commit_path(1))
+    assert t.upsert(batch(spark, ("a", "CA", 1, 1))) == 2
+    paths.make_dir(spark, t.commit_path(3))
+    maintenance.compact(t)
+    assert maintenance.vacuum(t, keep=1) == [t.commit_path(1), t.commit_path(2)]
+    assert t.commits(finished=False) == [3] and t.snapshot().count() == 1

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from tests.conftest import rows
+from tidewater import paths
 from tidewater.functions.cleaning import MISSING
 from tidewater.operators.keyed_table import KeyedTable
 from tidewater.plans import silver
@@ -123,6 +124,11 @@ def test_land_appends_and_scan_ignores_date_folders(spark, folder):
     assert scanned.columns == WIRE.fieldNames() and scanned.count() == 2
 
 
+def test_empty_batch_lands_no_file(spark, folder):
+    land_raw(wire(spark, ("r1", "2024-01-01", "1")).where("false"), f"{folder}/raw")
+    assert paths.glob(spark, f"{folder}/raw/*/*/*/*.parquet") == []
+
+
 def test_json_scan(spark, folder):
     wire(spark, ("r1", "2024-01-01", "1")).write.json(f"{folder}/raw/deep/er")
     assert rows(read_raw(spark, f"{folder}/raw", "json", WIRE)) == [("r1", "2024-01-01", "1")]

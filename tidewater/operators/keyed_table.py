@@ -127,14 +127,12 @@ class KeyedTable:
     def commit_path(self, commit: int) -> str:
         return f"{self.path}/log/{COMMIT}={commit}"
 
-    def _commit_numbers(self, pattern: str) -> list[int]:
-        found = paths.glob(self.spark, f"{self.path}/log/{pattern}")
+    def commits(self, finished: bool = True) -> list[int]:
+        """Commits still in the log, oldest first; with unfinished ones on demand."""
+        marker = "/_SUCCESS" if finished else ""
+        found = paths.glob(self.spark, f"{self.path}/log/{COMMIT}=*{marker}")
         return sorted(int(re.search(rf"/{COMMIT}=(\d+)", p)[1]) for p in found)
 
-    def commits(self) -> list[int]:
-        """Complete commits still in the log, oldest first."""
-        return self._commit_numbers(f"{COMMIT}=*/_SUCCESS")
-
     def bases(self) -> list[Base]:
         """Complete compacted versions, oldest first."""
         found = []
@@ -329,7 +327,7 @@ class KeyedTable:
         return value
 
     def _next_commit(self) -> int:
-        started = self._commit_numbers(f"{COMMIT}=*")
+        started = self.commits(finished=False)
         return max([*started, *(b.upto for b in self.bases()), 0]) + 1
 
     def _reserve(self, stream: str, batch: int) -> int | None:

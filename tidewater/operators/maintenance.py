@@ -130,7 +130,9 @@ def vacuum(table: KeyedTable, keep: int = KEPT_VERSIONS) -> list[str]:
             kept.add(base)
         kept_commits.update(log)
     gone = [b.path for b in bases if b not in kept]
-    gone += [table.commit_path(c) for c in commits if c not in kept_commits]
+    # folders of broken-off writes go as well; a running one has a later number
+    started = table.commits(finished=False)
+    gone += [table.commit_path(c) for c in started if c <= floor and c not in kept_commits]
     # readers learn of the new limit before anything disappears
     paths.write_json(table.spark, f"{table.path}/retention.json", {"floor": max(floor, table.floor())})
     for path in gone:
