@@ -250,17 +250,39 @@ def test_unfinished_commit_is_invisible(spark, make):
     assert rows(t.snapshot().select("k")) == [("a",), ("b",)]
 
 
-def test_replayed_batch_keeps_its_commit(spark, make):
+def test_replayed_batch_is_written_once(spark, make):
     t = make()
     df = batch(spark, ("a", "CA", 1, 1))
     assert t.upsert(df, source=("s", 0)) == 1
     assert t.upsert(df, source=("s", 0)) is None
     assert t.upsert(batch(spark, ("a", "CA", 2, 2)), source=("s", 1)) == 2
     assert t.upsert(df, source=("s", 0)) is None
-    # the write of batch 1 was cut off: it is done again in the same place
-    paths.delete(spark, f"{t.commit_path(2)}/_SUCCESS")
-    assert t.upsert(batch(spark, ("a", "CA", 2, 2)), source=("s", 1)) == 2
-    assert t.commits() == [1, 2] and rows(t.snapshot()) == [("a", "CA", 2, 2)]
+    maintenance.compact(t)
+    maintenance.vacuum(t, keep=1)
+    assert t.upsert(df, source=("s", 1)) is None
+    assert rows(t.snapshot()) == [("a", "CA", 2, 2)]
+
+
+def test_broken_off_batch_is_repeated(spark, make, monkeypatch):
+    def broken(*args):
+        raise OSError("lost")
+
+    t = make()
+    df = batch(spark, ("a", "CA", 1, 1))
+    for attempt in range(2):
+        with monkeypatch.context() as patch:
+            patch.setattr(t, "_append", broken)
+            with pytest.raises(OSError):
+                t.upsert(df, source=("s", 0))
+    assert t.commits(finished=False) == [1]  # both attempts had the same number
+    # another commit and a compaction pass it by, so it gets a number after them
+    assert t.upsert(batch(spark, ("b", "CA", 2, 2))) == 2
+    maintenance.compact(t)
+    maintenance.vacuum(t, keep=1)
+    assert t.upsert(df, source=("s", 0)) == 3
+    assert t.upsert(df, source=("s", 0)) is None
+    assert rows(t.snapshot().select("k")) == [("a",), ("b",)]
+    assert rows(t.incremental(2).select("k")) == [("a",)]
 
 
 def test_table_definition_is_checked(spark, make):

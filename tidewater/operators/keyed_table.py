@@ -5,7 +5,7 @@ A table is a folder::
     table.json                   keys, ordering, partitioning, schema
     log/_commit=<n>/             rows of one commit plus ``_op`` (U or D)
     base/upto=<n>/rev=<k>/       compacted rows up to commit n, with their ``_commit``
-    sources/<stream>.json        last batch of a stream and the commit it got
+    sources/<stream>.json        last batch of a stream, its commit, whether it is done
     savepoints.json              name -> commit
     retention.json               commit after which the log is whole
 
@@ -303,8 +303,9 @@ class KeyedTable:
 
         The batch is reduced to the newest row per key first, unless the caller
         knows that keys are ``unique``.  A row may carry ``_op`` = ``D`` to delete
-        its key.  ``source`` names a stream and its batch: a replayed batch goes
-        to the commit it had before.  Returns the commit, or None if nothing came.
+        its key.  ``source`` names a stream and its batch, which is then written
+        once however often it is replayed.  Returns the commit, or None if nothing
+        came.
         """
         rows = df if OP in df.columns else df.withColumn(OP, F.lit(UPSERT))
         rows = rows.select(
@@ -317,7 +318,11 @@ class KeyedTable:
         if source is None:
             return self._append(rows, self._next_commit())
         commit = self._reserve(*source)
-        return None if commit is None else self._append(rows, commit)
+        if commit is None:
+            return None
+        written = self._append(rows, commit)
+        self._note_source(*source, commit, done=True)
+        return written
 
     def _typed(self, field: T.StructField) -> Column:
         value = F.col(field.name).cast(field.dataType)
@@ -331,21 +336,29 @@ class KeyedTable:
         return max([*started, *(b.upto for b in self.bases()), 0]) + 1
 
     def _reserve(self, stream: str, batch: int) -> int | None:
-        """Commit number of a stream's batch; None when that batch is in already."""
-        state_path = f"{self.path}/sources/{stream}.json"
-        state = paths.read_json(self.spark, state_path)
+        """Commit number for a stream's batch; None when that batch is in already."""
+        state = paths.read_json(self.spark, self._source_file(stream))
         if state and batch < state["batch"]:
             return None
         if state and batch == state["batch"]:
-            commit = state["commit"]
-            done = commit <= self.floor() or commit in self.commits()
-            return None if done else commit
+            if state["done"] or state["commit"] in self.commits():
+                return None
+            # a number that others have passed meanwhile would go unnoticed
+            if state["commit"] > (self.last_commit() or 0):
+                return state["commit"]
         commit = self._next_commit()
         # the empty directory keeps the number from being given out again
         paths.make_dir(self.spark, self.commit_path(commit))
-        paths.write_json(self.spark, state_path, {"batch": batch, "commit": commit})
+        self._note_source(stream, batch, commit, done=False)
         return commit
 
+    def _source_file(self, stream: str) -> str:
+        return f"{self.path}/sources/{stream}.json"
+
+    def _note_source(self, stream: str, batch: int, commit: int, done: bool) -> None:
+        state = {"batch": batch, "commit": commit, "done": done}
+        paths.write_json(self.spark, self._source_file(stream), state)
+
     def _append(self, rows: DataFrame, commit: int) -> int | None:
         self._write(rows, self.commit_path(commit), rebalance=True)
         if self.read_log([commit]).isEmpty():
