@@ -68,6 +68,7 @@ LABELLED = [
     (18, 0.0, 41, 0.0, 38, 0.0, 0, 0, 1), (70, 0.2, 55, 0.0, 5, 1.0, 0, 0, 1), (22, 0.05, 0, 0.0, 0, 0.0, 0, 0, 1),
     (14, 0.0, 45, 0.0, 36, 0.0, 0, 0, 1), (55, 0.0, 1, 1.0, 3, 1.0, 0, 0, 1), (12, 0.0, 50, 0.0, 40, 0.0, 0, 0, 1),
     # short and linked blocks outside of one
+    (1, 1.0, 0, 0.0, 1, 1.0, 0, 0, 0), (1, 1.0, 1, 1.0, 0, 0.0, 0, 0, 0), (12, 1.0, 0, 0.0, 0, 0.0, 0, 0, 0),
     (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0), (2, 1.0, 1, 1.0, 3, 1.0, 0, 0, 0), (4, 0.75, 2, 1.0, 40, 0.0, 0, 0, 0),
     (5, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0), (3, 0.0, 60, 0.0, 4, 0.5, 0, 0, 0), (20, 0.8, 15, 0.9, 12, 1.0, 0, 0, 0),
     (7, 0.4, 3, 1.0, 5, 1.0, 0, 0, 0), (30, 0.7, 2, 1.0, 2, 1.0, 0, 0, 0), (6, 0.0, 4, 0.0, 5, 0.5, 0, 0, 0),
