@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -40,6 +42,21 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/tidewater/{name}-{uuid.uuid4().hex}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, which may not have it on their path."""
+    context = spark.sparkContext
+    if getattr(context, "_tidewater_sent", False):
+        return
+    folder = Path(tempfile.mkdtemp(prefix="tidewater-"))
+    archive = folder / "tidewater-package.zip"
+    package = Path(__file__).resolve().parent
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._tidewater_sent = True
+
+
 def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """An empty frame that the optimizer knows to be empty and folds away.
 
