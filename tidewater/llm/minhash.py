@@ -31,7 +31,7 @@ from tidewater.paths import delete
 from tidewater.session import shared_dir
 
 #: Classes in one block of an exhaustive count, and rows that one task gets at a time.
-BLOCK, TASK_ROWS = 512, 4000
+BLOCK, TASK_ROWS = 512, 1500
 SIGNED = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -122,22 +122,24 @@ def components(edges: DataFrame) -> DataFrame:
     before is removed.
     """
     spark = edges.sparkSession
+    # a node and a neighbour are few bytes: an eighth of the usual partitions holds them
+    files = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
     pairs = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    path, before, known = None, None, None
+    path = None
     while True:
         new = shared_dir(spark, "stars")
-        pairs.write.parquet(new)
+        pairs.coalesce(files).write.parquet(new)
         known = spark.read.schema(EDGES).parquet(new)
-        state = known.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if path:
             delete(spark, path)
         path = new
-        if state == before or not state[0]:
+        # done when each node has one neighbour and none of those has another itself
+        named = known.select("u", F.lit(1).alias("n")).unionAll(known.select("v", F.lit(2)).distinct())
+        if named.groupBy("u").agg(F.count("*").alias("times")).where("times > 1").isEmpty():
             break
-        before = state
         both = known.unionAll(known.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         pairs = (
             large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -169,38 +171,54 @@ def _links(part: pd.DataFrame, least: int, shingles, similarity: float) -> Itera
     nodes, sides = part["node"].to_numpy(), part["side"].to_numpy()
     groups = part["component"].to_numpy()
     marks = np.vstack(part["signature"].to_numpy())
-    sets, cache = _Sets(), {}
-
-    def full(i: int) -> np.ndarray:
-        if i not in cache:
-            cache[i] = shingles(part["text"].iat[i])
-        return cache[i]
-
     left = np.flatnonzero(sides <= 0)
     right = np.flatnonzero(sides != 0) if (sides > 0).any() else left
-    found = []
+    near = []
     for i in left:
         others = right[right > i] if right is left else right
         others = others[groups[others] != groups[i]]
+        others = others[(marks[others] == marks[i]).sum(axis=1) >= least]
         if len(others):
-            same = (marks[others] == marks[i]).sum(axis=1)
-            keep = same >= least
-            found += [(-int(n), int(i), int(j)) for n, j in zip(same[keep], others[keep])]
-            if shingles is None:  # a count is all that is asked for: merge as soon as known
-                for _, i, j in found:
-                    if sets.root(groups[i]) != sets.root(groups[j]):
-                        sets.join(groups[i], groups[j])
-                        yield int(nodes[i]), int(nodes[j])
-                found.clear()
-    for _, i, j in sorted(found):
-        if sets.root(groups[i]) == sets.root(groups[j]):
-            continue
-        a, b = full(i), full(j)
-        common = len(np.intersect1d(a, b, assume_unique=True))
-        # rounded, so that 0.85 means 85 of 100 exactly
-        if common * 100 >= round(similarity * 100) * (len(a) + len(b) - common):
-            sets.join(groups[i], groups[j])
-            yield int(nodes[i]), int(nodes[j])
+            near.append((i, others))
+    if not near:
+        return
+    # a count is all that is asked for, or full sets confirm it
+    linked = _Overlap(part["text"], near, shingles, similarity) if shingles else lambda i, others: others
+    sets = _Sets()
+    for i, others in near:
+        mine = sets.root(groups[i])
+        for j in linked(i, np.array([j for j in others if sets.root(groups[j]) != mine], int)):
+            if sets.root(groups[i]) != sets.root(groups[j]):
+                sets.join(groups[i], groups[j])
+                yield int(nodes[i]), int(nodes[j])
+
+
+class _Overlap:
+    """Which of some rows overlap enough with one, on full shingle sets, all at once."""
+
+    def __init__(self, texts: pd.Series, near: list, shingles, similarity: float):
+        rows = np.unique(np.concatenate([np.append(others, i) for i, others in near]))
+        found = [shingles(texts.iat[i]) for i in rows]
+        self.percent = round(similarity * 100)  # so that 0.85 means 85 of 100 exactly
+        self.at = {int(i): k for k, i in enumerate(rows)}
+        self.size = np.array([len(f) for f in found])
+        self.start = np.concatenate([[0], np.cumsum(self.size)])
+        distinct, codes = np.unique(np.concatenate(found), return_inverse=True)
+        self.codes = codes.astype(np.uint32)
+        self.held = np.zeros(len(distinct), bool)
+
+    def __call__(self, i: int, others: np.ndarray) -> np.ndarray:
+        k = self.at[int(i)]
+        them = np.array([self.at[int(j)] for j in others], int)
+        # sizes too far apart can't overlap enough
+        low, high = np.minimum(self.size[them], self.size[k]), np.maximum(self.size[them], self.size[k])
+        keep = 100 * low >= self.percent * high
+        others, them = others[keep], them[keep]
+        own = self.codes[self.start[k] : self.start[k + 1]]
+        self.held[own] = True
+        common = np.array([np.count_nonzero(self.held[self.codes[self.start[t] : self.start[t + 1]]]) for t in them], int)
+        self.held[own] = False
+        return others[100 * common >= self.percent * (self.size[them] + self.size[k] - common)]
 
 
 def count_links(members: DataFrame, least: int, width: int | None = None, similarity: float = 0) -> DataFrame:
@@ -305,10 +323,18 @@ def near_duplicates(
         "gid", "node", F.coalesce("component", "node").alias("component"), "signature", "text"
     )
     large = inner.where(F.col("n") > BLOCK).select("gid")
-    more = stored(count_links(second.join(large, "gid", "left_semi"), least, width, similarity), "links")
-    final = components(links.unionAll(more))
-
-    named = classes.join(final, "node", "left").select("digest", "least_id", F.coalesce("component", "node").alias("component"))
+    more = count_links(second.join(large, "gid", "left_semi"), least, width, similarity)
+    of_node = known.select(F.col("node").alias("v"), F.col("component").alias("cv"))
+    # links between the components found so far, by their names
+    more = (
+        more.join(known.select(F.col("node").alias("u"), F.col("component").alias("cu")), "u", "left").join(of_node, "v", "left")
+        .select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v"))
+    )
+    merged = components(more).select(F.col("node").alias("component"), F.col("component").alias("into"))
+    nodes = classes.select("node", "digest", "least_id").join(known, "node", "left").select(
+        "digest", "least_id", F.coalesce("component", "node").alias("component")
+    )
+    named = nodes.join(merged, "component", "left").select("digest", "least_id", F.coalesce("into", "component").alias("component"))
     ids = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     of_class = named.join(ids, "component").select("digest", "component_id")
     return signed.join(of_class, "digest", "left").select(
