@@ -178,8 +178,7 @@ def check_mix(rows):
     assert all(r.source_size == sizes[r.source] for r in rows)
 
 
-def test_mixing_meets_targets(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "RANGE_ROWS", 20)  # several ranges for each source
+def test_mixing_meets_targets(spark):
     rng = random.Random(4)
     rows = [(i, "w " * rng.choice((0, 1, 5, 40, 900)), rng.choice(["a"] * 9 + ["b", "é", "Z", None])) for i in range(400)]
     rows.append((400, "w", "tiny"))

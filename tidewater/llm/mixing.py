@@ -13,12 +13,11 @@ them, so that a source with a third of all rows is spread over many tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import math
 
-from tidewater.llm.common import n_words, parts, stored
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-#: Rows of a source in one range of its shuffled order, about.
-RANGE_ROWS = 50_000
+from tidewater.llm.common import n_words, stored
 
 
 def targets(sizes: DataFrame, most: int = 3) -> DataFrame:
@@ -66,9 +65,9 @@ def served(docs: DataFrame, *, seed: int = 11, most: int = 3) -> DataFrame:
         "sizes",
     )
     goals = stored(targets(sizes, most), "targets")
-    ranges = 1 << (parts(sizes.count(), RANGE_ROWS) - 1).bit_length()
-    width = ranges.bit_length() - 1
-    part = F.shiftrightunsigned("draw", 64 - width) if width else F.lit(0).cast("long")
+    # as many ranges as rows in each, so that both steps stay small
+    width = max(1, math.isqrt(sizes.count()).bit_length())
+    part = F.shiftrightunsigned("draw", 64 - width)
     placed = sizes.withColumn("part", part)
     sums = placed.groupBy("source", "part").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 #: Documents of each label that are learned from, their characters and their lines, at most.
-PER_LABEL, MAX_CHARS, MAX_LINES = 1000, 20_000, 200
+PER_LABEL, MAX_CHARS, MAX_LINES = 1000, 20_000, 60
 _UPPER = bytes(range(65, 91))
 _LETTERS = _UPPER + bytes(range(97, 123)) + bytes(range(128, 256))
 _DIGITS = bytes(range(48, 58))
@@ -185,7 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, per_label: int = PER_LABEL, max_c
     """A field of the documents that ``labels`` (doc_id, quality) marks.
 
     Learned from a bounded sample: of each label the ``per_label`` ids with the least hash,
-    texts of at most ``max_chars`` characters and 200 lines.  Labels that are
+    texts of at most ``max_chars`` characters and 60 lines.  Labels that are
     null or neither 0 nor 1, and ids that the documents lack, are left out.
     """
     marked = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int")).where("doc_id is not null and quality in (0, 1)").distinct()
