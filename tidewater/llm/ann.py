@@ -16,7 +16,6 @@ leaves open.  Leaves with many rows are dealt on by a hash, queries come in bloc
 
 from __future__ import annotations
 
-import heapq
 import math
 
 import numpy as np
@@ -29,7 +28,7 @@ from tidewater.llm.vectors import FOUND, best, finite, matrix, nearest_first
 #: Rows of a leaf in one task, queries in one block, rows that the upper tree is cut from.
 SHARD_ROWS, BLOCK_QUERIES, SAMPLE_ROWS = 20_000, 500, 8192
 #: Rows in a bottom leaf of a task's tree.
-BOTTOM = 64
+BOTTOM = 256
 
 
 def chi_square_below(x: float, freedom: int) -> float:
@@ -72,13 +71,15 @@ def cut(points: np.ndarray, rows: np.ndarray, size: int) -> list[np.ndarray]:
 
 
 class Tree:
-    """Points of one task with boxes around the bottom leaves."""
+    """Points of one task, in the order of the bottom leaves, with a box around each leaf."""
 
     def __init__(self, low: np.ndarray, full: np.ndarray, ids: np.ndarray):
-        self.low, self.full, self.ids = low, full, ids
-        self.leaves = cut(low, np.arange(len(low)), BOTTOM)
-        self.lo = np.array([low[x].min(axis=0) for x in self.leaves])
-        self.hi = np.array([low[x].max(axis=0) for x in self.leaves])
+        leaves = cut(low, np.arange(len(low)), BOTTOM)
+        order = np.concatenate(leaves)
+        self.low, self.full, self.ids = low[order], full[order], ids[order]
+        self.start = np.concatenate([[0], np.cumsum([len(x) for x in leaves])])
+        self.lo = np.array([low[x].min(axis=0) for x in leaves])
+        self.hi = np.array([low[x].max(axis=0) for x in leaves])
 
     def search(self, low: np.ndarray, full: np.ndarray, own: int, k: int, bound: float, point: float) -> tuple[np.ndarray, np.ndarray]:
         """Ids and cosines of the ``k`` nearest; ``bound``: squared distance already known
@@ -86,35 +87,36 @@ class Tree:
         outside = np.maximum(0, np.maximum(self.lo - low, low - self.hi))
         reach = (outside * outside).sum(axis=1)
         order = np.argsort(reach, kind="stable")
-        waiting: list[tuple[float, int]] = []  # projected distance, row
+        waiting, gaps = np.empty(0, np.int64), np.empty(0)
         ids, scores = np.empty(0, np.int64), np.empty(0)
-        at = 0
-        while at < len(order) or waiting:
-            # all rows up to the frontier have been met: test before going on
+        at, step = 0, 1
+        while True:
+            # every row nearer than the frontier has been met; those beyond the limit are not needed
             frontier = reach[order[at]] if at < len(order) else math.inf
-            near = min(frontier, waiting[0][0]) if waiting else frontier
-            if near > point * bound:
-                break
-            ready = []
-            while waiting and waiting[0][0] <= frontier:
-                ready.append(heapq.heappop(waiting)[1])
-            if ready:
-                rows = np.array(ready)
-                rows = rows[self.ids[rows] != own]
+            limit = point * bound
+            ready = waiting[gaps <= min(frontier, limit)]
+            later = (gaps > frontier) & (gaps <= limit)
+            waiting, gaps = waiting[later], gaps[later]
+            ready = ready[self.ids[ready] != own]
+            if len(ready):
+                rough = self.full[ready] @ full
+                least = scores[-1] if len(ids) == k else np.partition(rough, len(rough) - k)[len(rough) - k] if len(rough) > k else -2.0
+                ready = ready[rough >= least - 1e-9]
                 # row sums in a fixed order, so equal vectors get equal scores anywhere
-                found = (self.full[rows] * full).sum(axis=1)
-                ids, scores = np.concatenate([ids, self.ids[rows]]), np.concatenate([scores, found])
+                found = (self.full[ready] * full).sum(axis=1)
+                ids, scores = np.concatenate([ids, self.ids[ready]]), np.concatenate([scores, found])
                 keep = best(scores, ids, k)
                 ids, scores = ids[keep], scores[keep]
                 if len(ids) == k:
                     bound = min(bound, max(0.0, 2 - 2 * float(scores[-1])) + 1e-12)
-            if at < len(order):
-                leaf = self.leaves[order[at]]
-                gap = self.low[leaf] - low
-                for item in zip((gap * gap).sum(axis=1).tolist(), leaf.tolist()):
-                    heapq.heappush(waiting, item)
-                at += 1
-        return ids, scores
+            # the stopping test: a neighbour that near would have been met by now
+            if frontier > point * bound:
+                return ids, scores
+            near = order[at : at + step]
+            rows = np.concatenate([np.arange(self.start[x], self.start[x + 1]) for x in near])
+            gap = self.low[rows] - low
+            waiting, gaps = np.concatenate([waiting, rows]), np.concatenate([gaps, (gap * gap).sum(axis=1)])
+            at, step = at + len(near), min(8, 2 * step)
 
 
 class Splits:
