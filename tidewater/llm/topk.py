@@ -28,41 +28,44 @@ class Lists:
 
     def __init__(self, x: np.ndarray, ids: np.ndarray):
         self.x, self.ids = x, ids
-        self.order = np.argsort(x, axis=0, kind="stable").T.copy()
-        self.sorted = np.take_along_axis(x.T, self.order, axis=1)
+        width = x.shape[1]
+        order = np.argsort(x, axis=0, kind="stable")
+        # the lists from their low ends, then the same from their high ends
+        self.order = np.vstack([order.T, order[::-1].T])
+        self.value = np.vstack([np.take_along_axis(x.T, self.order[:width], axis=1), np.take_along_axis(x.T, self.order[width:], axis=1)])
+        # where each row stands in each list: what a bound needs to know of the reading so far
+        self.place = np.empty((2 * width, len(x)), np.int32)
+        np.put_along_axis(self.place, self.order, np.arange(len(x), dtype=np.int32)[None, :], axis=1)
 
     def top(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         n = len(self.ids)
         used = np.flatnonzero(query)
         weight = query[used]
-        # from the end that gives the largest products
-        order = [self.order[j, ::-1] if w > 0 else self.order[j] for j, w in zip(used, weight)]
-        value = [w * (self.sorted[j, ::-1] if w > 0 else self.sorted[j]) for j, w in zip(used, weight)]
-        last = np.array([v[-1] for v in value])  # the least that each list can give
-        read = np.zeros(n)
-        seen = np.zeros((n, len(used)), np.float64)
+        lists = np.where(weight > 0, used + self.x.shape[1], used)  # from the end that favours the query
+        last = self.value[lists, -1] * weight  # the least that each list can give
+        low = np.full(n, last.sum())
         others = self.ids != own
-        at, step = 0, max(32, n // STRETCH)
         alive = np.flatnonzero(others)
+        at, step = 0, max(32, n // STRETCH)
         while at < n and len(used):
             end = min(n, at + step)
-            for j in range(len(used)):
-                rows = order[j][at:end]
-                read[rows] += value[j][at:end]
-                seen[rows, j] = 1
+            read = self.value[lists, at:end] * weight[:, None] - last[:, None]
+            low += np.bincount(self.order[lists, at:end].ravel(), read.ravel(), n)
             at = end
-            if at == n:
-                break
-            most = np.array([v[at] for v in value])  # the most that each list still can give
-            low = read + last.sum() - seen @ last
             candidates = low[others]
-            if len(candidates) < k:
+            if at == n or len(candidates) < k:
                 continue
+            most = self.value[lists, at] * weight  # the most that each list still can give
             kth = np.partition(candidates, len(candidates) - k)[len(candidates) - k]
-            # a row that no list has shown yet is an outsider as well: its upper bound is most.sum()
-            high = read + most.sum() - seen @ most
-            alive = np.flatnonzero(others & (high >= kth))
-            if most.sum() < kth and len(alive) <= max(4 * k, n // 8):
+            if most.sum() >= kth:
+                continue  # a row that no list has shown may still qualify
+            gain = most - last
+            near = np.flatnonzero(others & (low + gain.sum() >= kth))
+            if len(near) > n // 2:
+                continue
+            unread = self.place[np.ix_(lists, near)] >= at
+            alive = near[low[near] + gain @ unread >= kth]
+            if len(alive) <= max(4 * k, n // 8):
                 break
         scores = self.x[alive] @ query
         keep = best(scores, self.ids[alive], k)
