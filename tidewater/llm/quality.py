@@ -34,8 +34,7 @@ CUTS = {
     "lone": (0.15, 0.35),
     "marked": (0.3, 0.6),
 }
-SHORT = (2, 5)
-OWN = sum(map(len, CUTS.values())) + len(SHORT)
+OWN = sum(map(len, CUTS.values()))
 #: own features, those of both neighbours, no neighbour before or after, bias
 WIDTH = 3 * OWN + 3
 _ENDS = _LETTERS + _DIGITS + b".,;:?"
@@ -58,7 +57,6 @@ def _line(line: bytes) -> tuple | None:
         sum(a == b for a, b in zip(words, words[1:])) / n,
         sum(len(w) == 1 and w not in _LONE for w in words) / n,
         marked / n,
-        n,
         len(line),
     )
 
@@ -72,22 +70,22 @@ def lines(text: str) -> tuple[np.ndarray, np.ndarray]:
     if not found:
         return np.zeros((0, WIDTH), np.float32), np.zeros(0)
     raw = np.array(found)
-    own = np.concatenate(
-        [(raw[:, [i]] > np.array(cuts)) for i, cuts in enumerate(CUTS.values())] + [raw[:, [7]] <= np.array(SHORT)], axis=1
-    ).astype(np.float32)
+    own = np.concatenate([raw[:, [i]] > np.array(cuts) for i, cuts in enumerate(CUTS.values())], axis=1).astype(np.float32)
     blank = np.zeros((1, OWN), np.float32)
     edge = np.zeros((len(own), 3), np.float32)
     edge[0, 0] = edge[-1, 1] = 1
     edge[:, 2] = 1
-    return np.concatenate([own, np.vstack([blank, own[:-1]]), np.vstack([own[1:], blank]), edge], axis=1), raw[:, 8]
+    return np.concatenate([own, np.vstack([blank, own[:-1]]), np.vstack([own[1:], blank]), edge], axis=1), raw[:, -1]
 
 
 class Field:
-    """weights: of the good label for each feature; change: score of equal neighbours."""
+    """weights: of the good label for each feature; links: of the labels of two neighbours;
+    scale, shift: from the log odds of a document's mean to those of its label."""
 
     def __init__(self, weights: np.ndarray | None = None, links: np.ndarray | None = None):
         self.weights = np.zeros(WIDTH) if weights is None else weights
         self.links = np.zeros((2, 2)) if links is None else links
+        self.scale, self.shift = 1.0, 0.0
 
     def marginals(self, emit: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """emit: score of good, documents by lines, padded; marginals of good, of label pairs,
@@ -136,6 +134,26 @@ class Field:
         self.weights, self.links = theta[:WIDTH], theta[WIDTH:].reshape(2, 2)
         return self
 
+    def calibrated(self, mean: float) -> float:
+        return float(1 / (1 + np.exp(-np.clip(self.scale * _odds(mean) + self.shift, -50, 50))))
+
+    def calibrate(self, means: np.ndarray, labels: np.ndarray, rounds: int = 50) -> None:
+        """Newton steps on the log likelihood of the documents' labels, both labels alike in
+        weight, with a penalty that holds where they can be told apart."""
+        if labels.min() == labels.max():
+            return
+        x = np.stack([_odds(means), np.ones(len(means))], axis=1)
+        weight = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean()))
+        w = np.array([1.0, 0.0])
+        for _ in range(rounds):
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -50, 50)))
+            slope = x.T @ (weight * (labels - p)) - 0.1 * (w - [1.0, 0.0])
+            curve = (x * (weight * p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(2)
+            step = np.linalg.solve(curve, slope)
+            w = w + step * min(1.0, 1.0 / max(1e-9, np.abs(step).max()))
+        if w[0] > 0:  # a better mean never lowers the score
+            self.scale, self.shift = float(w[0]), float(w[1])
+
     def scores(self, texts: list[str | None], cells: int = 200_000) -> list[float]:
         """Score of each text; texts of like length run through the chain side by side."""
         found = [lines(t or "") for t in texts]
@@ -155,11 +173,16 @@ class Field:
             good, _, _ = self.marginals(emit, mask)
             for row, i in enumerate(group):
                 size = found[i][1]
-                out[i] = min(1.0, max(0.0, float(good[row, : len(size)] @ size / size.sum())))
+                out[i] = self.calibrated(float(good[row, : len(size)] @ size / size.sum()))
             at = end
         return out
 
 
+def _odds(mean):
+    mean = np.clip(mean, 1e-6, 1 - 1e-6)
+    return np.log(mean / (1 - mean))
+
+
 def trained(texts: list[str], labels: list[int]) -> Field:
     """A field fitted to documents and their labels, 1 for good; untrained without any."""
     found = [(lines(t), q) for t, q in zip(texts, labels)]
@@ -178,7 +201,13 @@ def trained(texts: list[str], labels: list[int]) -> Field:
     field.fit(x, mask, y)
     good, _, _ = field.marginals(x @ field.weights, mask)
     y[bad] = (good[bad] > 0.6) & mask[bad]
-    return field.fit(x, mask, y)
+    field.fit(x, mask, y)
+    good, _, _ = field.marginals(x @ field.weights, mask)
+    length = np.zeros(mask.shape)
+    for i, ((_, size), _) in enumerate(found):
+        length[i, : len(size)] = size
+    field.calibrate((good * length).sum(axis=1) / length.sum(axis=1), (~bad).astype(float))
+    return field
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, per_label: int = PER_LABEL, max_chars: int = MAX_CHARS) -> Field:
