@@ -284,3 +284,10 @@ def test_wire_strings_under_ansi(spark, world):
     w.ride(("r1", "d1", "3.5"), refresh=True)
     total = w.fact.snapshot().schema["total_amount"].dataType
     assert total == T.DecimalType(18, 2)
+
+
+def test_latest_tip_goes_by_number(spark):
+    tips = spark.createDataFrame(
+        [("r1", "9", 1.0), ("r1", "10", 2.0), ("r2", "5-2", 3.0), ("r2", "5-10", 4.0)], "ride_id string, tip_id string, tip_amount double"
+    )
+    assert {r.ride_id: float(r.tip_amount) for r in earn.tips_per_ride(tips).collect()} == {"r1": 2.0, "r2": 3.0}

@@ -91,6 +91,11 @@ def test_surrogate_key_is_sha256(spark):
     assert got == {n: hashlib.sha256(n.encode()).hexdigest() for n in ("Ann", "")}
 
 
+def test_surrogate_keys_of_several_columns_differ(spark):
+    df = spark.createDataFrame([("a", None, "b"), ("a", "b", None), ("a|b", None, None), ("a", "b", "")], "x string, y string, z string")
+    assert df.select(cleaning.surrogate_key("x", "y", "z")).distinct().count() == 4
+
+
 def test_sql_transformer_adds_partitions(spark):
     df = spark.createDataFrame([("r1", dt.date(2024, 2, 29))], "ride_id string, ride_date date")
     out = cleaning.sql_transform(df, RIDE_PARTITIONS_SQL)

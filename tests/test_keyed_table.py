@@ -1,6 +1,6 @@
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tests.conftest import plan, rows
 from tidewater import paths
@@ -395,3 +395,10 @@ def test_vacuum_removes_broken_off_commits(spark, make):
     maintenance.compact(t)
     assert maintenance.vacuum(t, keep=1) == [t.commit_path(1), t.commit_path(2)]
     assert t.commits(finished=False) == [3] and t.snapshot().count() == 1
+
+
+def test_empty_and_null_partition_values_are_one(spark, folder):
+    schema = T.StructType().add("k", "string").add("at", "integer").add("state", "string")
+    table = KeyedTable.create(spark, f"{folder}/t", schema, "k", "at", partition_fields="state", scope="partition")
+    table.upsert(spark.createDataFrame([("a", 1, ""), ("a", 2, None), ("b", 1, "CA")], schema))
+    assert sorted((r.k, r.at, r.state) for r in table.snapshot().collect()) == [("a", 2, None), ("b", 1, "CA")]

@@ -1,4 +1,8 @@
 import json
+import os
+import shutil
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -8,10 +12,10 @@ from tidewater import paths
 from tidewater.functions.cleaning import MISSING
 from tidewater.operators.keyed_table import KeyedTable
 from tidewater.plans import silver
-from tidewater.sources.change_records import decode_changes
+from tidewater.sources.change_records import decode_changes, landed_schema
 from tidewater.sources.raw_files import land_raw, read_raw
 from tidewater.streaming.ingest import ingest_stream, new_files
-from tidewater.streaming.landing import change_stream, land_changes
+from tidewater.streaming.landing import change_stream, land_changes, quarantine_changes
 
 WIRE = T.StructType().add("ride_id", "string").add("ride_date", "string").add("fare", "string")
 STORED = (
@@ -149,3 +153,58 @@ def test_changes_to_silver(spark, folder, table):
         changes = decode_changes(spark.createDataFrame([(x,) for x in lines], "value string"), WIRE)
         silver.ingest(changes, table, silver.RIDE_PARTITIONS_SQL)
     assert [(r.ride_id, str(r.fare)) for r in table.snapshot().collect()] == [("r1", "9.00")]
+
+
+def land(spark, folder, lines, name, **options):
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{folder}/changes/{name}")
+    land_changes(
+        change_stream(spark, f"{folder}/changes"), WIRE, f"{folder}/raw", f"{folder}/state", **options
+    ).awaitTermination()
+
+
+def test_change_file_that_is_a_month_older_still_lands(spark, folder):
+    land(spark, folder, [record("INSERT", "r1")], "a")
+    spark.createDataFrame([(record("INSERT", "r2"),)], "value string").coalesce(1).write.text(f"{folder}/late")
+    old = time.time() - 30 * 86400
+    for file in Path(f"{folder}/late").iterdir():
+        os.utime(file, (old, old))
+    shutil.copytree(f"{folder}/late", f"{folder}/changes/b")  # keeps the times
+    land(spark, folder, [record("INSERT", "r3")], "c")
+    assert {r.ride_id for r in spark.read.parquet(f"{folder}/raw").collect()} == {"r1", "r2", "r3"}
+
+
+def test_broken_lines_go_to_quarantine(spark, folder):
+    land(spark, folder, [record("INSERT", "r1"), "{broken"], "a", mode="PERMISSIVE")
+    assert [r.ride_id for r in spark.read.parquet(f"{folder}/raw").collect()] == ["r1"]
+    for _ in range(2):
+        quarantine_changes(change_stream(spark, f"{folder}/changes"), f"{folder}/bad", f"{folder}/state2").awaitTermination()
+    assert [r.value for r in spark.read.json(f"{folder}/bad").collect()] == ["{broken"]
+
+
+def sequenced(event, key, at, keys_only=False):
+    line = json.loads(record(event, key))
+    line["dynamodb"]["SequenceNumber"] = at
+    if keys_only:
+        line["dynamodb"] = {"Keys": {"ride_id": {"S": key}}, "SequenceNumber": at}
+    return json.dumps(line)
+
+
+@pytest.mark.parametrize("keys_only", [False, True])
+def test_insert_and_remove_in_one_batch(spark, table, keys_only):
+    """By sequence number; without one the delete wins."""
+    lines = [
+        sequenced("INSERT", "r1", "9"), sequenced("REMOVE", "r1", "10", keys_only),
+        sequenced("REMOVE", "r2", "99", keys_only), sequenced("INSERT", "r2", "100"),
+    ]
+    frame = spark.createDataFrame([(x,) for x in lines], "value string")
+    silver.ingest(decode_changes(frame, WIRE, sequence=True), table, silver.RIDE_PARTITIONS_SQL)
+    assert [r.ride_id for r in table.snapshot().collect()] == ["r2"]
+    silver.ingest(decode_changes(frame, WIRE), table, silver.RIDE_PARTITIONS_SQL)
+    assert table.snapshot().collect() == []
+
+
+def test_landed_schema_keeps_removals(spark, folder, table):
+    land(spark, folder, [sequenced("INSERT", "r1", "1"), sequenced("INSERT", "r2", "2"), sequenced("REMOVE", "r1", "3")], "a", sequence=True)
+    files = new_files(spark, f"{folder}/raw", landed_schema(WIRE, sequence=True))
+    ingest_stream(files, table, f"{folder}/state2", silver.RIDE_PARTITIONS_SQL).awaitTermination()
+    assert [r.ride_id for r in table.snapshot().collect()] == ["r2"]

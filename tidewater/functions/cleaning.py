@@ -69,11 +69,14 @@ def flatten(df: DataFrame, sep: str = "_") -> DataFrame:
     )
 
 
-def surrogate_key(*columns: str | Column, sep: str = "|") -> Column:
-    """SHA-256 hex of one column, or of several joined by ``sep``."""
-    parts = [F.col(c) if isinstance(c, str) else c for c in columns]
-    text = parts[0].cast("string") if len(parts) == 1 else F.concat_ws(sep, *parts)
-    return F.sha2(text, 256)
+def surrogate_key(*columns: str | Column) -> Column:
+    """SHA-256 hex of one column, or of the JSON list of several.
+
+    Nulls and separators inside values keep their place in the list, so different rows
+    have different texts.
+    """
+    parts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in columns]
+    return F.sha2(parts[0] if len(parts) == 1 else F.to_json(F.array(*parts)), 256)
 
 
 def sql_transform(df: DataFrame, query: str, view: str = "temp") -> DataFrame:

@@ -28,7 +28,7 @@ from tidewater import paths
 from tidewater.functions.cleaning import split_names
 from tidewater.operators.latest import latest_per_key, newest_first
 from tidewater.session import no_rows
-from tidewater.sources.change_records import DELETE, OP, UPSERT
+from tidewater.sources.change_records import DELETE, OP, SEQ, UPSERT
 
 COMMIT = "_commit"
 SCOPES = ("global", "partition")
@@ -303,18 +303,19 @@ class KeyedTable:
 
         The batch is reduced to the newest row per key first, unless the caller
         knows that keys are ``unique``.  A row may carry ``_op`` = ``D`` to delete
-        its key.  ``source`` names a stream and its batch, which is then written
+        its key, and ``_seq`` to say in which order changes of a key happened.  ``source`` names a stream and its batch, which is then written
         once however often it is replayed.  Returns the commit, or None if nothing
         came.
         """
         rows = df if OP in df.columns else df.withColumn(OP, F.lit(UPSERT))
+        ordered = [F.col(SEQ).cast("string")] if SEQ in df.columns and not unique else []
         rows = rows.select(
-            *[self._typed(f).alias(f.name) for f in self.schema], F.col(OP).cast("string")
+            *[self._typed(f).alias(f.name) for f in self.schema], F.col(OP).cast("string"), *ordered
         )
         if not unique:
             rows = latest_per_key(
                 rows, self.key, newest_first(rows, self.key, self.precombine)
-            )
+            ).drop(SEQ)
         if source is None:
             return self._append(rows, self._next_commit())
         commit = self._reserve(*source)
@@ -326,6 +327,9 @@ class KeyedTable:
 
     def _typed(self, field: T.StructField) -> Column:
         value = F.col(field.name).cast(field.dataType)
+        if field.name in self.partition_fields and isinstance(field.dataType, T.StringType):
+            # read back from a folder name the empty string is null; so it is from the start
+            value = F.nullif(value, F.lit(""))
         if field.name in self.record_key:
             missing = F.raise_error(F.lit(f"null in record key column {field.name}"))
             return F.coalesce(value, missing.cast(field.dataType))

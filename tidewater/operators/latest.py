@@ -15,14 +15,32 @@ def orderable(dtype: T.DataType) -> bool:
     return not isinstance(dtype, (T.MapType, T.VariantType))
 
 
+# as change records mark them
+OP, SEQ, DELETE = "_op", "_seq", "D"
+
+
 def newest_first(df: DataFrame, keys: Sequence[str], precombine: Sequence[str]) -> list[Column]:
     """Precombine columns descending, then every other column as a tie-break.
 
-    The order is total, so a retried task picks the same winner.
+    The order is total, so a retried task picks the same winner.  A ``_seq`` of digits
+    goes before all else.  Without it a delete wins over changes that nothing puts after
+    it: it has their precombine values, or none at all, as when it carries keys only.
     """
-    used = {*keys, *precombine}
+    used = {*keys, *precombine, SEQ, OP}
     rest = [f.name for f in df.schema if f.name not in used and orderable(f.dataType)]
-    return [F.desc_nulls_last(c) for c in (*precombine, *rest)]
+    order = []
+    if SEQ in df.columns:
+        digits = F.ltrim(F.col(SEQ), F.lit("0"))
+        order += [F.desc_nulls_last(F.length(digits)), F.desc_nulls_last(digits)]
+    if OP in df.columns:
+        gone = F.coalesce(F.col(OP) == DELETE, F.lit(False))
+        for c in precombine:
+            gone = gone & F.col(c).isNull()
+        order.append(F.desc(gone))
+    order += [F.desc_nulls_last(c) for c in precombine]
+    if OP in df.columns:
+        order += [F.desc(F.coalesce(F.col(OP) == DELETE, F.lit(False))), F.desc_nulls_last(OP)]
+    return order + [F.desc_nulls_last(c) for c in rest]
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

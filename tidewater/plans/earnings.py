@@ -20,12 +20,16 @@ FACT_KEY = ("driver_id", "ride_id")
 def tips_per_ride(tips: DataFrame, policy: str = "latest") -> DataFrame:
     """One tip row per ride: the greatest tip_id, or the sum.
 
+    Ids of digits only are ordered as numbers, before them all others as text.
+
     Both are aggregates with a partial step, so a ride that got a third of all
     tips is reduced before the shuffle and the join that follows is one to one.
     """
     if policy not in TIP_POLICIES:
         raise ValueError(f"tip policy is one of {TIP_POLICIES}, not {policy!r}")
-    amount = F.max_by("tip_amount", "tip_id") if policy == "latest" else F.sum("tip_amount")
+    digits = F.when(F.col("tip_id").rlike("^[0-9]+$"), F.ltrim(F.col("tip_id"), F.lit("0")))
+    last = F.struct(F.coalesce(F.length(digits), F.lit(-1)), F.coalesce(digits, "tip_id"), "tip_id")
+    amount = F.max_by("tip_amount", last) if policy == "latest" else F.sum("tip_amount")
     return tips.groupBy("ride_id").agg(amount.cast(MONEY).alias("tip_amount"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, types as T
 
 from tidewater.functions.cleaning import fill_nulls, sql_transform, to_schema
 from tidewater.operators.keyed_table import KeyedTable
+from tidewater.operators.latest import SEQ
 
 # fixed value: the SQL that derives the ride partitions
 RIDE_PARTITIONS_SQL = """
@@ -27,7 +28,7 @@ def prepare(raw: DataFrame, table: KeyedTable, sql: str | None = None) -> DataFr
         rows = sql_transform(rows, sql)
     rows = to_schema(rows, table.schema)
     # a null key stays null, for the upsert to refuse: filled, such rows would merge
-    return fill_nulls(rows, [c for c in rows.columns if c not in table.record_key])
+    return fill_nulls(rows, [c for c in rows.columns if c not in (*table.record_key, SEQ)])
 
 
 def ingest(

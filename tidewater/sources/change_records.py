@@ -5,16 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidewater.functions.attributes import decode_image, encode_image, wire_image
+from tidewater.operators.latest import DELETE, OP, SEQ
 
-UPSERT, DELETE = "U", "D"
-OP = "_op"
+UPSERT = "U"
+
+
+def landed_schema(schema: T.StructType, sequence: bool = False) -> T.StructType:
+    """Schema of landed changes: the columns, the operation and, on demand, the order."""
+    extra = [OP, SEQ] if sequence else [OP]
+    return T.StructType([*schema.fields, *(T.StructField(c, T.StringType()) for c in extra)])
 
 
 def record_type(schema: T.StructType) -> T.StructType:
     """Struct of one JSON record whose images carry the schema's columns."""
     image = wire_image(schema)
     images = T.StructType(
-        [T.StructField(name, image) for name in ("Keys", "NewImage", "OldImage")]
+        [
+            *(T.StructField(name, image) for name in ("Keys", "NewImage", "OldImage")),
+            T.StructField("SequenceNumber", T.StringType()),
+        ]
     )
     return T.StructType(
         [T.StructField("eventName", T.StringType()), T.StructField("dynamodb", images)]
@@ -27,6 +36,7 @@ def decode_changes(
     value: str = "value",
     deletes: str = "tombstone",
     mode: str = "FAILFAST",
+    sequence: bool = False,
 ) -> DataFrame:
     """Rows of a JSON text column, typed by ``schema``, batch or streaming.
 
@@ -37,6 +47,8 @@ def decode_changes(
 
     ``deletes="tombstone"`` also accepts a REMOVE that carries its keys only.
     ``deletes="as_rows"`` re-emits the removed row as a live one.
+    ``sequence`` adds ``_seq``, the record's place in its stream as digits; an upsert
+    of several changes of one key goes by it before anything else.
     ``mode="PERMISSIVE"`` lets broken JSON fall out; see :func:`malformed_changes`.
     """
     if deletes not in ("tombstone", "as_rows"):
@@ -55,9 +67,10 @@ def decode_changes(
         removed, old
     )
     op = F.when(removed, DELETE).otherwise(UPSERT) if deletes == "tombstone" else F.lit(UPSERT)
-    picked = parsed.select(*kept, image.alias("_image"), op.alias(OP))
+    more = [F.col("_record.dynamodb.SequenceNumber").alias(SEQ)] if sequence else []
+    picked = parsed.select(*kept, image.alias("_image"), op.alias(OP), *more)
     return picked.where(F.col("_image").isNotNull()).select(
-        *kept, *decode_image(F.col("_image"), schema), OP
+        *kept, *decode_image(F.col("_image"), schema), OP, *([SEQ] if sequence else [])
     )
 
 
