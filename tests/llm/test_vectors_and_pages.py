@@ -38,6 +38,7 @@ def test_recall(spark, table, monkeypatch, shard_rows, block):
     """Also with many leaves and blocks."""
     monkeypatch.setattr(ann, "SHARD_ROWS", shard_rows)
     monkeypatch.setattr(ann, "BLOCK_QUERIES", block)
+    monkeypatch.setattr(ann, "BLOCK_BOXES", block)
     ids, x = table
     found = op3_neighbours(spark, SF).collect()
     hits = total = 0

@@ -25,8 +25,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tidewater.llm.common import parts, stored
 from tidewater.llm.vectors import FOUND, best, finite, matrix, nearest_first
 
-#: Rows of a leaf in one task, queries in one block, rows that the upper tree is cut from.
-SHARD_ROWS, BLOCK_QUERIES, SAMPLE_ROWS = 20_000, 500, 8192
+#: Rows of a leaf in one task, queries in one block, rows that the upper tree is cut from,
+#: boxes that a query is held against at a time.
+SHARD_ROWS, BLOCK_QUERIES, SAMPLE_ROWS, BLOCK_BOXES = 20_000, 500, 8192, 256
 #: Rows in a bottom leaf of a task's tree.
 BOTTOM = 256
 
@@ -241,7 +242,12 @@ def neighbours(
         "vec_id", "unit", "low", F.coalesce("bound", everything).alias("bound"), F.col("leaf").alias("home")
     )
     outside = "aggregate(zip_with(low, zip_with(lo, hi, (a, b) -> struct(a, b)), (x, s) -> greatest(0D, s.a - x, x - s.b)), 0D, (t, d) -> t + d * d)"
-    # every leaf is a box test for every query: one row for SHARD_ROWS of the index
-    open_leaves = known.join(leaves.where(F.col("shards") > 0), (F.col("leaf") != F.col("home")) & (F.expr(outside) <= F.lit(point) * F.col("bound")))
+    # each query is held against the boxes in blocks; there is one box for SHARD_ROWS rows of the index
+    box_blocks = parts(leaves.count(), BLOCK_BOXES)
+    boxes = leaves.withColumn("box", F.pmod("leaf", F.lit(box_blocks)).cast("long"))
+    open_leaves = (
+        known.withColumn("box", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(box_blocks - 1).cast("long")))).join(boxes, "box")
+        .where((F.col("leaf") != F.col("home")) & (F.expr(outside) <= F.lit(point) * F.col("bound")))
+    )
     away = searched(open_leaves.select("vec_id", "unit", "low", "bound", "leaf", "shards"))
     return nearest_first(home.unionAll(away), k)
