@@ -236,7 +236,7 @@ def test_best_fit_like_brute_force(items, per_source):
     assert found.tolist() == brute_best_fit(sizes, sources, clusters, 20, per_source)
 
 
-def check_packing(rows, words: Counter, capacity: int, per_source: int = 2):
+def check_packing(rows, words: Counter, capacity: int, per_source: int = 4):
     assert Counter({k: v for k, v in words.items() if v}) == Counter(
         {k: v for k, v in sum((Counter({r.doc_id: r.n_words}) for r in rows), Counter()).items() if v}
     )

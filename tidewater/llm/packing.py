@@ -55,7 +55,7 @@ class Bits:
                     break
 
 
-def best_fit(sizes: np.ndarray, sources: np.ndarray, clusters: np.ndarray, capacity: int, per_source: int = 2) -> np.ndarray:
+def best_fit(sizes: np.ndarray, sources: np.ndarray, clusters: np.ndarray, capacity: int, per_source: int = 4) -> np.ndarray:
     """The bin of each piece; pieces come from large to small, none above the capacity."""
     source_bits, cluster_bits = Bits(sources, per_source), Bits(clusters, 1)
     order: list[int] = []  # residual * _BIN + bin, ascending
@@ -91,7 +91,7 @@ def copy_cluster(text: str = "text") -> Column:
 
 
 def pack(
-    docs: DataFrame, *, capacity: int = 2048, per_source: int = 2, cluster: Column | None = None,
+    docs: DataFrame, *, capacity: int = 2048, per_source: int = 4, cluster: Column | None = None,
     shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
     """``doc_id, piece, start, n_words, source, cluster, bin_id, bin_words`` of every piece.
