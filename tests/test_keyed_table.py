@@ -209,6 +209,8 @@ def test_savepoint_survives_vacuum(spark, make):
         if i == 3:
             pinned = rows(t.snapshot())
             assert maintenance.create_savepoint(t, "keep") == 3
+        if i == 7:
+            seventh = rows(t.snapshot())
         if i in (2, 5, 6, 7):
             maintenance.compact(t)
     before = rows(t.snapshot())
@@ -218,7 +220,7 @@ def test_savepoint_survives_vacuum(spark, make):
     assert t.commits() == [3, 7, 8] and len(gone) == 6
     assert rows(t.snapshot()) == before
     assert rows(t.snapshot(3)) == pinned
-    assert rows(t.snapshot(7)) == rows(t.snapshot(7))
+    assert rows(t.snapshot(7)) == seventh
     with pytest.raises(HistoryLost):
         t.snapshot(4)
     with pytest.raises(HistoryLost):
@@ -304,9 +306,92 @@ def test_register_in_catalog(spark, make, folder):
     t.upsert(batch(spark, ("b", "TX", 3, 2)))
     maintenance.register(t, "silver_test", "t")
     assert rows(spark.sql(f"SELECT k, state, v FROM {name}")) == [("a", "007", 1), ("b", "TX", 3)]
+    maintenance.unregister(t, "silver_test", "t")
+    assert not spark.catalog.tableExists(name) and t.snapshot().count() == 2
     spark.sql("DROP DATABASE silver_test CASCADE")
 
 
+@pytest.mark.parametrize("options", [{}, {"partition_fields": "state"}])
+def test_catalog_name_follows_compaction_and_retention(spark, make, folder, options):
+    t = make(name="it's", **options)
+    t.upsert(batch(spark, ("a", "CA", 1, 1)))
+    name = maintenance.register(t, "silver_follow", "t", f"{folder}/db")
+    spark.sql("CREATE OR REPLACE VIEW silver_follow.total AS SELECT sum(v) AS v FROM silver_follow.t")
+    for i in range(2, 6):
+        t.upsert(batch(spark, (f"k{i}", "TX", i, 1)))
+        maintenance.compact(t)
+        maintenance.vacuum(t, keep=1)
+        assert rows(spark.sql(f"SELECT * FROM {name}")) == rows(t.snapshot())
+    maintenance.cluster(t, "v")
+    assert spark.sql("SELECT v FROM silver_follow.total").first().v == 15
+    assert len(spark.catalog.listTables("silver_follow", "t_upto_*")) == 1
+    spark.sql("DROP DATABASE silver_follow CASCADE")
+
+
+def test_vacuum_spares_a_shown_base(spark, make):
+    t = make()
+    for i in range(1, 3):
+        t.upsert(batch(spark, ("a", "CA", i, i)))
+        maintenance.compact(t)
+    entry = {"database": "d", "name": "t", "location": None, "base": [1, 1]}
+    paths.write_json(spark, f"{t.path}/registered.json", {"`d`.`t`": entry})
+    maintenance.vacuum(t, keep=1)
+    assert [(b.upto, b.rev) for b in t.bases()] == [(1, 1), (2, 1)]
+
+
+def test_vacuum_removes_broken_off_bases(spark, make):
+    t = make()
+    t.upsert(batch(spark, ("a", "CA", 1, 1)))
+    half = f"{t.path}/base/upto=1/rev=1"
+    paths.make_dir(spark, half)
+    base = maintenance.compact(t)
+    running = f"{t.path}/base/upto=1/rev=3"
+    paths.make_dir(spark, running)
+    gone = maintenance.vacuum(t, keep=1)
+    assert base.rev == 2 and len(gone) == 2 and not paths.exists(spark, half)
+    assert paths.exists(spark, running) and t.snapshot().count() == 1
+
+
+def test_lost_retention_file_is_an_error(spark, make):
+    t = make()
+    for i in range(1, 4):
+        t.upsert(batch(spark, ("a", "CA", i, i)))
+        maintenance.compact(t)
+    maintenance.vacuum(t, keep=1)
+    paths.delete(spark, f"{t.path}/retention.json")
+    with pytest.raises(HistoryLost):
+        t.incremental(1)
+    assert t.snapshot().count() == 1
+    maintenance.vacuum(t, keep=1)
+    assert t.floor() == 3
+
+
+def test_state_is_written_in_place_on_object_stores(spark, folder, monkeypatch):
+    monkeypatch.setattr(paths, "OBJECT_STORES", ("file",))
+    for value in ({"a": 1}, {"a": 2}):
+        paths.write_json(spark, f"{folder}/deep/state.json", value)
+        assert paths.read_json(spark, f"{folder}/deep/state.json") == value
+    assert len(paths.glob(spark, f"{folder}/deep/*")) == 1
+
+
+def test_clustered_commit_has_ranges(spark, make):
+    """Files of one commit don't overlap in the clustered column, but for a hot value."""
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        t = make(cluster_columns="state")
+        t.upsert(spark.range(4000).select(
+            F.col("id").cast("string").alias("k"),
+            F.format_string("s%04d", F.hash("id") % 1000 + 1000).alias("state"),
+            F.col("id").cast("int").alias("v"), F.lit(1).alias("seq")))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    stored = t.read_log([1]).groupBy(F.input_file_name().alias("f"))
+    bounds = sorted((r.lo, r.hi) for r in stored.agg(F.min("state").alias("lo"), F.max("state").alias("hi")).collect())
+    assert len(bounds) > 1
+    assert all(left[1] <= right[0] for left, right in zip(bounds, bounds[1:]))
+
+
 def test_files_are_partitioned_and_compressed(spark, make):
     t = make(partition_fields="state", max_records_per_file=10)
     t.upsert(batch(spark, *[(f"k{i}", "CA", i, 1) for i in range(35)]))

@@ -8,6 +8,7 @@ A table is a folder::
     sources/<stream>.json        last batch of a stream, its commit, whether it is done
     savepoints.json              name -> commit
     retention.json               commit after which the log is whole
+    registered.json              catalog names and the base each of them shows
 
 Each commit holds a key once.  A directory counts only when it has its
 ``_SUCCESS`` marker, so a half-written commit is never read, and no directory is
@@ -82,8 +83,8 @@ class KeyedTable:
         """Make an empty table, or open it if it is there already.
 
         ``scope="global"`` keeps one row per record key; ``"partition"`` keeps one
-        per record key and partition.  ``cluster_columns`` sorts the files of every
-        commit.  ``max_records_per_file`` caps file length (0: no cap).
+        per record key and partition.  ``cluster_columns`` deals every commit into
+        files by ranges of them.  ``max_records_per_file`` caps file length (0: no cap).
         """
         if scope not in SCOPES:
             raise ValueError(f"scope is one of {SCOPES}, not {scope!r}")
@@ -141,6 +142,14 @@ class KeyedTable:
             found.append(Base(int(upto), int(rev), marker.rsplit("/", 1)[0]))
         return sorted(found)
 
+    def started_bases(self) -> list[Base]:
+        """Compacted versions with a folder, finished or not."""
+        found = []
+        for path in paths.glob(self.spark, f"{self.path}/base/upto=*/rev=*"):
+            upto, rev = re.search(r"/upto=(\d+)/rev=(\d+)$", path).groups()
+            found.append(Base(int(upto), int(rev), path))
+        return sorted(found)
+
     def last_commit(self) -> int | None:
         known = [*self.commits(), *(b.upto for b in self.bases())]
         return max(known, default=None)
@@ -150,8 +159,17 @@ class KeyedTable:
 
     def floor(self) -> int:
         """The log holds every commit after this one."""
-        state = paths.read_json(self.spark, f"{self.path}/retention.json") or {}
-        return int(state.get("floor", 0))
+        state = paths.read_json(self.spark, f"{self.path}/retention.json")
+        if state is None:
+            # every base ends in a commit of the log until retention removes it
+            if {b.upto for b in self.bases()} - set(self.commits()):
+                raise HistoryLost(f"{self.path}: the log has gaps and retention.json is missing")
+            return 0
+        return int(state["floor"])
+
+    def registered(self) -> dict[str, dict]:
+        """Catalog names that show this table, see :func:`maintenance.register`."""
+        return paths.read_json(self.spark, f"{self.path}/registered.json") or {}
 
     def check_readable(self, commit: int) -> None:
         if commit < self.floor() and commit not in self.savepoints().values():
@@ -372,11 +390,14 @@ class KeyedTable:
 
     def _write(self, rows: DataFrame, path: str, rebalance: bool) -> None:
         fields = self.partition_fields
-        if rebalance and fields:
+        if rebalance and self.cluster_columns:
+            # ranges, so that files differ in their bounds; the key ends the order, so a
+            # hot value is split; AQE merges small ranges
+            order = list(dict.fromkeys((*fields, *self.cluster_columns, *self.key)))
+            rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        elif rebalance and fields:
             # AQE splits a hot partition over several tasks and merges tiny ones
             rows = rows.hint("rebalance", *fields)
-        if rebalance and self.cluster_columns:
-            rows = rows.sortWithinPartitions(*fields, *self.cluster_columns)
         writer = (
             rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "static")

@@ -42,7 +42,7 @@ def compact(
     needed = max(tasks, *(p.folders for p in parts))
     if files > 2 * needed and stored / files < small_file_bytes:
         rows = _in_files(rows, tasks, (*table.partition_fields, *table.key))
-    return table.write_base(rows, log[-1])
+    return _shown(table, table.write_base(rows, log[-1]))
 
 
 def cluster(
@@ -62,7 +62,8 @@ def cluster(
         *table.key,
     )
     rows = table.snapshot(with_commit=True)
-    return table.write_base(_in_files(rows, math.ceil(stored / target_file_bytes), order), upto)
+    files = math.ceil(stored / target_file_bytes)
+    return _shown(table, table.write_base(_in_files(rows, files, order), upto))
 
 
 def _in_files(rows: DataFrame, files: int, order: Sequence[str]) -> DataFrame:
@@ -113,7 +114,8 @@ def vacuum(table: KeyedTable, keep: int = KEPT_VERSIONS) -> list[str]:
     """Keep the newest ``keep`` bases and the log after the oldest of them.
 
     What a savepoint needs stays too: the newest base at or before it and the log
-    between.  Returns the removed directories.
+    between; so do the bases that catalog names show.  Bases whose writing broke off
+    before the newest one go.  Returns the removed directories.
     """
     if keep < 1:
         raise ValueError("at least one version has to stay")
@@ -129,40 +131,89 @@ def vacuum(table: KeyedTable, keep: int = KEPT_VERSIONS) -> list[str]:
         if base:
             kept.add(base)
         kept_commits.update(log)
+    shown = [tuple(entry["base"]) for entry in table.registered().values()]
+    kept.update(b for b in bases if (b.upto, b.rev) in shown)
     gone = [b.path for b in bases if b not in kept]
+    done = {(b.upto, b.rev) for b in bases}
+    gone += [b.path for b in table.started_bases() if (b.upto, b.rev) not in done and b < bases[-1]]
     # folders of broken-off writes go as well; a running one has a later number
     started = table.commits(finished=False)
     gone += [table.commit_path(c) for c in started if c <= floor and c not in kept_commits]
-    # readers learn of the new limit before anything disappears
-    paths.write_json(table.spark, f"{table.path}/retention.json", {"floor": max(floor, table.floor())})
+    # readers learn of the new limit before anything disappears; it never goes back, since
+    # the oldest of the newest bases is never older than at the run before
+    last = paths.read_json(table.spark, f"{table.path}/retention.json") or {"floor": 0}
+    paths.write_json(
+        table.spark, f"{table.path}/retention.json", {"floor": max(floor, int(last["floor"]))}
+    )
     for path in gone:
         paths.delete(table.spark, path)
     return gone
 
 
 def register(table: KeyedTable, database: str, name: str, location: str | None = None) -> str:
-    """Expose the table in the catalog as an external Parquet table.
+    """Show the table in the catalog under a name that stays readable.
 
-    Pending commits are compacted first; the catalog table points at the newest
-    base and is moved forward by calling this again.
+    The name is a view of an external Parquet table over the newest base; pending commits
+    are compacted first.  Every later :func:`compact` or :func:`cluster` moves the view
+    on in one step, and :func:`vacuum` spares the base that it shows.
     """
-    spark = table.spark
     compact(table)
     bases = table.bases()
     if not bases:
         raise ValueError(f"{table.path} has no commit to register")
-    at = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{at}")
     full = f"`{database}`.`{name}`"
-    columns = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema] + [f"`{COMMIT}` bigint"]
-    )
+    known = table.registered().get(full, {"database": database, "name": name, "location": location})
+    _show(table, full, known, bases[-1])
+    return full
+
+
+def unregister(table: KeyedTable, database: str, name: str) -> None:
+    """Take the name out of the catalog; the table stays."""
+    full = f"`{database}`.`{name}`"
+    entries = table.registered()
+    entry = entries.pop(full)
+    table.spark.sql(f"DROP VIEW IF EXISTS {full}")
+    table.spark.sql(f"DROP TABLE IF EXISTS {_version(entry)}")
+    paths.write_json(table.spark, f"{table.path}/registered.json", entries)
+
+
+def _shown(table: KeyedTable, base: Base) -> Base:
+    """The new base, with all catalog names moved on to it."""
+    for full, entry in table.registered().items():
+        _show(table, full, entry, base)
+    return base
+
+
+def _version(entry: dict) -> str:
+    """Catalog name of the table behind a registered name."""
+    upto, rev = entry["base"]
+    return f"`{entry['database']}`.`{entry['name']}_upto_{upto}_rev_{rev}`"
+
+
+def _text(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _show(table: KeyedTable, full: str, entry: dict, base: Base) -> None:
+    spark = table.spark
+    new = {**entry, "base": [base.upto, base.rev]}
+    at = f" LOCATION {_text(entry['location'])}" if entry["location"] else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{entry['database']}`{at}")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
     fields = ", ".join(f"`{c}`" for c in table.partition_fields)
     partitioned = f" PARTITIONED BY ({fields})" if fields else ""
-    spark.sql(f"DROP TABLE IF EXISTS {full}")
+    version = _version(new)
     spark.sql(
-        f"CREATE TABLE {full} ({columns}) USING parquet{partitioned} LOCATION '{bases[-1].path}'"
+        f"CREATE TABLE IF NOT EXISTS {version} ({columns}, `{COMMIT}` bigint) USING parquet"
+        f"{partitioned} LOCATION {_text(base.path)}"
     )
     if fields:
-        spark.catalog.recoverPartitions(full)
-    return full
+        spark.catalog.recoverPartitions(version)
+    names = ", ".join(f"`{c}`" for c in table.columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {full} AS SELECT {names} FROM {version}")
+    paths.write_json(
+        spark, f"{table.path}/registered.json", {**table.registered(), full: new}
+    )
+    if "base" in entry and entry["base"] != new["base"]:
+        spark.sql(f"DROP TABLE IF EXISTS {_version(entry)}")

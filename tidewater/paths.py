@@ -13,6 +13,10 @@ from typing import NamedTuple
 from pyspark.sql import SparkSession
 
 
+# fixed values: schemes of stores that replace an object in one step
+OBJECT_STORES = ("s3", "s3a", "gs", "oss", "cosn")
+
+
 def _fs(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
@@ -63,18 +67,22 @@ def read_json(spark: SparkSession, path: str) -> dict | None:
 
 
 def write_json(spark: SparkSession, path: str, value: dict) -> None:
-    """Replace the file in one step: a reader sees the old or the new object."""
+    """Replace the file in one step: a reader sees the old or the new object.
+
+    Object stores show a file once it is closed, and their rename is a copy with a gap;
+    there the file is written in place.
+    """
     jvm = spark._jvm
     fs, target = _fs(spark, path)
+    text = bytearray(json.dumps(value, sort_keys=True).encode("utf-8"))
+    if fs.getUri().getScheme() in OBJECT_STORES:
+        _put(fs, target, text)
+        return
     fs.mkdirs(target.getParent())
     draft = jvm.org.apache.hadoop.fs.Path(
         target.getParent(), f".{target.getName()}.{uuid.uuid4().hex}"
     )
-    out = fs.create(draft, True)
-    try:
-        out.write(bytearray(json.dumps(value, sort_keys=True).encode("utf-8")))
-    finally:
-        out.close()
+    _put(fs, draft, text)
     rename = jvm.org.apache.hadoop.fs.Options.Rename
     overwrite = spark.sparkContext._gateway.new_array(rename, 1)
     overwrite[0] = rename.OVERWRITE
@@ -84,6 +92,14 @@ def write_json(spark: SparkSession, path: str, value: dict) -> None:
     context.rename(fs.makeQualified(draft), fs.makeQualified(target), overwrite)
 
 
+def _put(fs, target, text: bytearray) -> None:
+    out = fs.create(target, True)
+    try:
+        out.write(text)
+    finally:
+        out.close()
+
+
 def make_dir(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.mkdirs(p)

@@ -8,8 +8,9 @@ the result right for driver tables with several rows per driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+# fixed values: the names of the views
 VIEWS = (
     "gold_driver_earning_month_year",
     "gold_driver_earning_year",
@@ -83,3 +84,38 @@ def create_views(fact: DataFrame, dim: DataFrame, drivers: DataFrame, rides: Dat
     )
     for name, frame in zip(VIEWS, frames):
         frame.createOrReplaceTempView(name)
+
+
+_SUMS = """(
+  SELECT f.driver_id, {period}, sum(f.total_amount) AS earned
+  FROM {fact} f JOIN {dim} c ON f.earning_date_key = c.date_key
+  GROUP BY f.driver_id, {period}
+)"""
+_DEFINITIONS = (
+    f"""SELECT s.driver_id, d.name AS driver_name, month, year, sum(earned) AS total_earnings
+FROM {_SUMS.replace("{period}", "c.month, c.year")} s JOIN {{drivers}} d ON s.driver_id = d.driver_id
+GROUP BY s.driver_id, d.name, month, year ORDER BY driver_id, month, year, driver_name""",
+    f"""SELECT d.name AS driver_name, year, sum(earned) AS total_earnings
+FROM {_SUMS.replace("{period}", "c.year")} s JOIN {{drivers}} d ON s.driver_id = d.driver_id
+GROUP BY d.name, year ORDER BY driver_name, year""",
+    """SELECT s.driver_id, d.name AS driver_name, sum(tips) AS total_tips
+FROM (SELECT driver_id, sum(tip_amount) AS tips FROM {fact} GROUP BY driver_id) s
+JOIN {drivers} d ON s.driver_id = d.driver_id
+GROUP BY s.driver_id, d.name ORDER BY total_tips DESC, driver_id, driver_name""",
+    """SELECT year(ride_date) AS year, month(ride_date) AS month, count(ride_id) AS ride_count
+FROM {rides} GROUP BY year(ride_date), month(ride_date) ORDER BY year, month""",
+)
+
+
+def create_catalog_views(
+    spark: SparkSession, database: str, fact: str, dim: str, drivers: str, rides: str
+) -> None:
+    """Create or replace the four views in the catalog, over catalog names.
+
+    Over names from :func:`~tidewater.operators.maintenance.register` they show the newest
+    compacted state whenever they are read, and outlive the session where the catalog does.
+    """
+    names = {"fact": fact, "dim": dim, "drivers": drivers, "rides": rides}
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    for view, text in zip(VIEWS, _DEFINITIONS):
+        spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{view}` AS {text.format(**names)}")
