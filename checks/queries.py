@@ -21,7 +21,9 @@ from tidewater.plans import earnings as earn, gold, silver
 from tidewater.session import shared_dir
 from tidewater.sources import order_rides as src
 from tidewater.sources.calendar import date_dim
-from tidewater.sources.change_records import OP, UPSERT, decode_changes, encode_changes
+from tidewater.sources.change_records import (
+    OP, UPSERT, decode_changes, encode_changes, landed_schema,
+)
 from tidewater.sources.raw_files import land_raw, read_raw
 from tidewater.streaming.ingest import ingest_stream, new_files
 from tidewater.streaming.landing import change_stream, land_changes
@@ -98,9 +100,21 @@ def q_date_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_cdc_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as change records."""
-    customers = src.read_table(spark, sf_dir, "customer").drop("c_acctbal")
-    return encode_changes(customers, customers.schema, F.lit("INSERT"), keys=("c_custkey",))
+    """Customers as change records of all three events, with every kind of attribute."""
+    customers = src.read_table(spark, sf_dir, "customer")
+    in_debt = F.col("c_acctbal") < 0
+    rows = customers.select(
+        *customers.columns,
+        in_debt.alias("in_debt"),
+        F.when(in_debt, F.col("c_mktsegment")).alias("warned_as"),
+        F.struct(F.col("c_nationkey").alias("nation"), F.col("c_name").alias("name")).alias("home"),
+        F.array("c_mktsegment", "c_name").alias("tags"),
+    )
+    event = (
+        F.when(F.col("c_mktsegment") == "BUILDING", "INSERT")
+        .when(F.col("c_mktsegment") == "MACHINERY", "REMOVE").otherwise("MODIFY")
+    )
+    return encode_changes(rows, rows.schema, event, keys=("c_custkey",))
 
 
 def q_cdc_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,6 +135,20 @@ def q_cdc_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _change_rows(latest_per_key(rows, ["user_id"], newest).where(F.col(OP) == UPSERT))
 
 
+def q_cdc_apply_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All changes in one upsert, whose order is the records' place in their stream only."""
+    place = F.concat(F.unix_micros(F.col("ts").cast("timestamp")), F.lpad(F.col("event_id").cast("string"), 12, "0"))
+    path = shared_dir(spark, "cdc_apply_batch")
+    src.change_records(spark, sf_dir, place).write.text(f"{path}/changes")
+    land_changes(
+        change_stream(spark, f"{path}/changes"), src.EVENT_SCHEMA, f"{path}/raw", f"{path}/state",
+        sequence=True,
+    ).awaitTermination()
+    table = KeyedTable.create(spark, f"{path}/users", src.EVENT_SCHEMA, "user_id", "user_id")
+    table.upsert(spark.read.schema(landed_schema(src.EVENT_SCHEMA, sequence=True)).parquet(f"{path}/raw"))
+    return _change_rows(table.snapshot().withColumn(OP, F.lit(UPSERT)))
+
+
 def q_raw_land_and_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "raw_land_and_scan")
     rows = decode_changes(src.change_records(spark, sf_dir), src.EVENT_SCHEMA)
@@ -203,7 +231,7 @@ def q_surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _user_state(spark: SparkSession, sf_dir: str, name: str, scope: str) -> DataFrame:
     """Events as the moving state of users, in three upserts."""
     events = src.read_table(spark, sf_dir, "events").select(
-        "user_id", F.col("event_type").alias("state"), "ts", "event_id", "value"
+        "user_id", F.col("event_type").alias("state"), "ts", "event_id", "value", "props"
     )
     table = KeyedTable.create(
         spark, f"{shared_dir(spark, name)}/users", events.schema,
@@ -343,10 +371,17 @@ def q_vacuumed_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_catalog_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table, path = _rides_in_commits(spark, sf_dir, "catalog_view")
+    """A catalog name after one more commit, compaction and retention."""
+    path = shared_dir(spark, "catalog_view")
+    table = _rides_table(spark, f"{path}/rides")
+    rides = _staged(_with_day_parts(src.rides(spark, sf_dir)), path)
+    table.upsert(between(rides, "ride_date", CUTS[1:2], 0))
     database = f"silver_{uuid.uuid4().hex}"
     name = maintenance.register(table, database, "rides", f"{path}/database")
-    return spark.sql(f"SELECT * FROM {name}").drop("_commit")
+    table.upsert(between(rides, "ride_date", CUTS[1:2], 1))
+    maintenance.compact(table)
+    maintenance.vacuum(table, keep=1)
+    return spark.sql(f"SELECT * FROM {name}")
 
 
 # ---- the earnings fact ----------------------------------------------------------------
@@ -446,14 +481,82 @@ def q_gold_views(spark: SparkSession, sf_dir: str) -> DataFrame:
         batch_earnings(spark, sf_dir), calendar(spark), src.drivers(spark, sf_dir),
         src.rides(spark, sf_dir),
     )
+    return _one_line_each(spark)
+
+
+def _one_line_each(spark: SparkSession, prefix: str = "") -> DataFrame:
     measures = ("total_earnings", "total_earnings", "total_tips", "ride_count")
     return spark.sql(" UNION ALL ".join(
         f"SELECT '{view}' AS view_name, count(*) AS n, cast(sum({measure}) AS double) AS total"
-        f" FROM {view}"
+        f" FROM {prefix}{view}"
         for view, measure in zip(gold.VIEWS, measures)
     ))
 
 
+def q_gold_catalog_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four views in the catalog, made early and read after more commits and retention."""
+    path = shared_dir(spark, "gold_catalog_views")
+    database = f"lake_{uuid.uuid4().hex}"
+    rides = KeyedTable.create(spark, f"{path}/rides", src.RIDE_SCHEMA, "ride_id", "ride_date")
+    drivers = src.drivers(spark, sf_dir)
+    people = KeyedTable.create(spark, f"{path}/drivers", drivers.schema, "driver_id", "driver_id")
+    fact = earn.create_fact(spark, f"{path}/driver_earnings")
+    tables = {"rides": rides, "drivers": people, "fact": fact}
+    people.upsert(drivers)
+    all_rides = _staged(src.rides(spark, sf_dir), path)
+    tips = src.tips(spark, sf_dir)
+    for index in range(2):
+        slice_ = between(all_rides, "ride_date", CUTS[1:2], index)
+        rides.upsert(slice_)
+        fact.upsert(earn.earnings(slice_, tips, calendar(spark)), unique=True)
+        if index == 0:
+            names = {k: maintenance.register(t, database, k, f"{path}/database") for k, t in tables.items()}
+            names["dim"] = f"`{database}`.`date_dim`"
+            calendar(spark).write.option("path", f"{path}/date_dim").saveAsTable(names["dim"])
+            gold.create_catalog_views(spark, database, **names)
+    for table in tables.values():
+        maintenance.compact(table)
+        maintenance.vacuum(table, keep=1)
+    return _one_line_each(spark, f"`{database}`.")
+
+
+def q_pipeline_cdc_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change records, raw files, silver tables, stored fact, gold: three runs of all steps.
+
+    The last run removes the old rides of low priority.
+    """
+    path = shared_dir(spark, "pipeline_cdc_to_gold")
+    rides = _rides_table(spark, f"{path}/rides")
+    tips = KeyedTable.create(spark, f"{path}/tips", src.TIP_SCHEMA, "tip_id", "tipped_on,tip_amount")
+    fact = earn.create_fact(spark, f"{path}/driver_earnings")
+    checkpoint = Checkpoint(spark, f"{path}/consumer")
+    all_rides = _staged(src.rides(spark, sf_dir), path)
+    gone = all_rides.where((F.col("pick_up_state") == "5-LOW") & (F.col("ride_date") < CUTS[0]))
+    feeds = (
+        ("rides", all_rides, src.RIDE_SCHEMA, "ride_date", rides, silver.RIDE_PARTITIONS_SQL),
+        ("tips", src.raw_tips(spark, sf_dir), src.TIP_SCHEMA, "tipped_on", tips, None),
+    )
+    for index in range(3):
+        for name, rows, schema, day, table, sql in feeds:
+            changes = encode_changes(between(rows, day, CUTS[:2], index), schema, F.lit("INSERT"))
+            if index == 2 and name == "rides":
+                changes = changes.unionAll(encode_changes(gone, schema, F.lit("REMOVE"), ("ride_id",)))
+            changes.write.mode("append").text(f"{path}/changes/{name}")
+            land_changes(
+                change_stream(spark, f"{path}/changes/{name}"), schema, f"{path}/raw/{name}",
+                f"{path}/state/land_{name}",
+            ).awaitTermination()
+            ingest_stream(
+                new_files(spark, f"{path}/raw/{name}", landed_schema(schema)), table,
+                f"{path}/state/ingest_{name}", sql,
+            ).awaitTermination()
+        earn.refresh_earnings(rides, tips, fact, calendar(spark), checkpoint)
+        if index == 1:
+            maintenance.compact(rides)
+            maintenance.compact(fact)
+    return gold.driver_month_year(fact.snapshot(), calendar(spark), src.drivers(spark, sf_dir))
+
+
 def registered() -> dict[str, Query]:
     """All ``q_`` functions by name, with results in plain types."""
 

@@ -84,7 +84,7 @@ def _stored_rides(where: str = "TRUE") -> str:
 
 def _user_state(partition: str) -> str:
     return f"""
-SELECT user_id, event_type AS state, STRFTIME(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, event_id, value
+SELECT user_id, event_type AS state, STRFTIME(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, event_id, value, props
 FROM (SELECT *, ROW_NUMBER() OVER (
         PARTITION BY {partition} ORDER BY ts DESC, event_id DESC) AS rn FROM events) AS ranked
 WHERE rn = 1"""
@@ -153,6 +153,15 @@ FROM rides GROUP BY YEAR(ride_date), MONTH(ride_date)"""
 
 def registered() -> dict[str, str]:
     gold = _with(ALL_FACTS, DRIVERS)
+    views = gold + f""",
+g1 AS ({GOLD_MONTH}), g2 AS ({GOLD_YEAR}), g3 AS ({GOLD_TIPS}), g4 AS ({GOLD_RIDES})
+SELECT 'gold_driver_earning_month_year' AS view_name, COUNT(*) AS n,
+       CAST(SUM(CAST(total_earnings AS DECIMAL(18,2))) AS DOUBLE) AS total FROM g1
+UNION ALL SELECT 'gold_driver_earning_year', COUNT(*),
+       CAST(SUM(CAST(total_earnings AS DECIMAL(18,2))) AS DOUBLE) FROM g2
+UNION ALL SELECT 'gold_driver_who_made_most_money_on_tips', COUNT(*),
+       CAST(SUM(CAST(total_tips AS DECIMAL(18,2))) AS DOUBLE) FROM g3
+UNION ALL SELECT 'gold_rides_month_year', COUNT(*), CAST(SUM(ride_count) AS DOUBLE) FROM g4"""
     ride_slices = """CASE WHEN ride_date >= DATE '2000-01-01' THEN 3
                           WHEN ride_date >= DATE '1998-01-01' THEN 2 ELSE 1 END"""
     return {
@@ -180,16 +189,32 @@ SELECT o_orderkey, CAST(STRFTIME(o_orderdate, '%Y%m%d') AS BIGINT) AS date_key,
          AS from_text
 FROM orders""",
         "cdc_encode": """
-SELECT '{"eventName":"INSERT","dynamodb":{"NewImage":{"c_custkey":{"N":"' || c_custkey
-       || '"},"c_name":{"S":"' || c_name || '"},"c_nationkey":{"N":"' || c_nationkey
-       || '"},"c_mktsegment":{"S":"' || c_mktsegment || '"}},"Keys":{"c_custkey":{"N":"'
-       || c_custkey || '"}}}}' AS value
-FROM customer""",
+WITH images AS (
+  SELECT c_mktsegment AS segment, '"c_custkey":{"N":"' || c_custkey || '"}' AS id,
+         '{"c_custkey":{"N":"' || c_custkey || '"},"c_name":{"S":"' || c_name
+         || '"},"c_nationkey":{"N":"' || c_nationkey || '"},"c_acctbal":{"N":"' || c_acctbal
+         || '"},"c_mktsegment":{"S":"' || c_mktsegment || '"},"in_debt":{"BOOL":' || (c_acctbal < 0)
+         || '},"warned_as":{' || CASE WHEN c_acctbal < 0 THEN '"S":"' || c_mktsegment || '"'
+                                      ELSE '"NULL":true' END
+         || '},"home":{"M":{"nation":{"N":"' || c_nationkey || '"},"name":{"S":"' || c_name
+         || '"}}},"tags":{"L":[{"S":"' || c_mktsegment || '"},{"S":"' || c_name || '"}]}}' AS image
+  FROM customer
+)
+SELECT '{"eventName":"' || CASE segment WHEN 'BUILDING' THEN 'INSERT' WHEN 'MACHINERY' THEN 'REMOVE'
+                                        ELSE 'MODIFY' END
+       || '","dynamodb":{"' || CASE segment WHEN 'MACHINERY' THEN 'Old' ELSE 'New' END || 'Image":'
+       || image || ',"Keys":{' || id || '}}}' AS value
+FROM images""",
         "cdc_decode": f"SELECT {CHANGE_COLUMNS} FROM events",
         "cdc_latest_state": f"""
 SELECT {CHANGE_COLUMNS} FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
   FROM events) AS ranked
+WHERE rn = 1 AND event_type <> 'error'""",
+        "cdc_apply_batch": f"""
+SELECT {CHANGE_COLUMNS} FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events) AS ranked
 WHERE rn = 1 AND event_type <> 'error'""",
         "raw_land_and_scan": f"SELECT {CHANGE_COLUMNS} FROM events",
         "stream_land": f"SELECT {CHANGE_COLUMNS} FROM events",
@@ -264,13 +289,18 @@ GROUP BY c""",
         "gold_tips_by_driver": gold + GOLD_TIPS,
         "gold_top5_tips": gold + GOLD_TIPS + " ORDER BY total_tips DESC, d.driver_id LIMIT 5",
         "gold_rides_month_year": _with(RIDES) + GOLD_RIDES,
-        "gold_views": gold + f""",
-g1 AS ({GOLD_MONTH}), g2 AS ({GOLD_YEAR}), g3 AS ({GOLD_TIPS}), g4 AS ({GOLD_RIDES})
-SELECT 'gold_driver_earning_month_year' AS view_name, COUNT(*) AS n,
-       CAST(SUM(CAST(total_earnings AS DECIMAL(18,2))) AS DOUBLE) AS total FROM g1
-UNION ALL SELECT 'gold_driver_earning_year', COUNT(*),
-       CAST(SUM(CAST(total_earnings AS DECIMAL(18,2))) AS DOUBLE) FROM g2
-UNION ALL SELECT 'gold_driver_who_made_most_money_on_tips', COUNT(*),
-       CAST(SUM(CAST(total_tips AS DECIMAL(18,2))) AS DOUBLE) FROM g3
-UNION ALL SELECT 'gold_rides_month_year', COUNT(*), CAST(SUM(ride_count) AS DOUBLE) FROM g4""",
+        "gold_views": views,
+        "gold_catalog_views": views,
+        "pipeline_cdc_to_gold": (
+            _with(
+                RIDES.replace("rides AS", "all_rides AS", 1),
+                """
+rides AS (
+  SELECT * FROM all_rides
+  WHERE NOT (pick_up_state = '5-LOW' AND ride_date < DATE '1998-01-01')
+)""",
+                TIPS, _facts("last_tip"), DRIVERS,
+            )
+            + GOLD_MONTH
+        ),
     }

@@ -282,6 +282,7 @@ def test_wire_strings_under_ansi(spark, world):
     w = world()
     assert spark.conf.get("spark.sql.ansi.enabled") == "true"
     w.ride(("r1", "d1", "3.5"), refresh=True)
+    assert [float(r.total_amount) for r in w.fact.snapshot().collect()] == [3.5]
     total = w.fact.snapshot().schema["total_amount"].dataType
     assert total == T.DecimalType(18, 2)
 

@@ -149,27 +149,33 @@ def _refresh_affected(
     """Only rides in the increments are touched; the ride table is not read.
 
     What a ride without a new image needs is in its fact row already.  The fact
-    and the tips are each scanned once, behind a semi join with the touched rides.
+    is scanned once and the tips twice, before and after the increment; each scan meets
+    the touched rides or tips in a semi join.
     """
-    ride_rows = new_rides.rows(deletes=True)
     work = shared_dir(fact.spark, "touched_rides")
-    touched = (
-        ride_rows.select("ride_id")
-        .unionByName(new_tips.rows(deletes=True).select("ride_id"))
-        # a tip that moved or went leaves a mark on the ride it had before
-        .unionByName(_before(new_tips).select("ride_id"))
-        .distinct()
-    )
-    # written once: both joins below read it, and its true size decides whether
-    # Catalyst broadcasts it
-    touched.write.parquet(work)
     try:
-        touched = fact.spark.read.schema("ride_id string").parquet(work)
+        # written once: several joins read them, and their true sizes decide whether
+        # Catalyst broadcasts them
+        arrived = new_rides.rows(deletes=True).select("ride_id", "driver_id", "fare", "ride_date", OP)
+        ride_rows = _stored(arrived, f"{work}/arrived")
+        touched = (
+            ride_rows.select("ride_id")
+            .unionByName(new_tips.rows(deletes=True).select("ride_id"))
+            # a tip that moved or went leaves a mark on the ride it had before
+            .unionByName(_before(new_tips).select("ride_id"))
+            .distinct()
+        )
+        touched = _stored(touched, f"{work}/touched")
         return fact.upsert(_changes(ride_rows, touched, new_tips, fact, dim, policy), unique=True)
     finally:
         paths.delete(fact.spark, work)
 
 
+def _stored(rows: DataFrame, path: str) -> DataFrame:
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _changes(
     ride_rows: DataFrame,
     touched: DataFrame,

@@ -87,10 +87,12 @@ def encode_changes(
     event_name: Column,
     keys: tuple[str, ...] = (),
     old_image: bool = True,
+    sequence: Column | None = None,
 ) -> DataFrame:
     """Rows as change-record JSON in a ``value`` column; other columns are dropped.
 
     A REMOVE carries its old image, or only ``keys`` when ``old_image`` is off.
+    ``sequence`` gives the record's place in its stream, as digits.
     """
     row = F.struct(*encode_image(None, schema))
     removed = F.lower(F.trim(event_name)) == "remove"
@@ -100,5 +102,7 @@ def encode_changes(
     if keys:
         key_schema = T.StructType([schema[k] for k in keys])
         parts.append(F.struct(*encode_image(None, key_schema)).alias("Keys"))
+    if sequence is not None:
+        parts.append(sequence.cast("string").alias("SequenceNumber"))
     record = F.struct(event_name.alias("eventName"), F.struct(*parts).alias("dynamodb"))
     return df.select(F.to_json(record).alias("value"))

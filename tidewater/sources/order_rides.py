@@ -11,7 +11,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidewater.functions.cleaning import fill_nulls
 from tidewater.operators.latest import latest_per_key
@@ -112,8 +112,12 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events").withColumn("props", props)
 
 
-def change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def change_records(
+    spark: SparkSession, sf_dir: str, sequence: Column | None = None
+) -> DataFrame:
     """Events as change-record JSON: signups insert, errors remove, the rest modify."""
     kind = F.col("event_type")
     name = F.when(kind == "signup", "INSERT").when(kind == "error", " remove ").otherwise("Modify")
-    return encode_changes(events(spark, sf_dir), EVENT_SCHEMA, name, keys=("user_id",))
+    return encode_changes(
+        events(spark, sf_dir), EVENT_SCHEMA, name, keys=("user_id",), sequence=sequence
+    )
