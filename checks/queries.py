@@ -250,6 +250,19 @@ def q_upsert_partition_scoped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _user_state(spark, sf_dir, "upsert_partition_scoped", "partition")
 
 
+def q_upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest lines, the later ones in a log over a compacted, bucketed base."""
+    lines = src.read_table(spark, sf_dir, "lineitem")
+    table = KeyedTable.create(
+        spark, shared_dir(spark, "upsert_bucketed"), lines.schema,
+        record_key="l_orderkey,l_linenumber", precombine="l_shipdate", buckets=16, bucket_by="l_orderkey",
+    )
+    table.upsert(between(lines, "l_shipdate", CUTS[:1], 0))
+    maintenance.compact(table)
+    table.upsert(between(lines, "l_shipdate", CUTS[:1], 1))
+    return table.snapshot()
+
+
 def q_upsert_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = src.read_table(spark, sf_dir, "lineitem")
     table = KeyedTable.create(

@@ -151,6 +151,18 @@ SELECT CAST(YEAR(ride_date) AS BIGINT) AS year, CAST(MONTH(ride_date) AS BIGINT)
 FROM rides GROUP BY YEAR(ride_date), MONTH(ride_date)"""
 
 
+_NEWEST_LINES = """
+SELECT l_orderkey, l_partkey, l_suppkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity,
+       l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
+       STRFTIME(l_shipdate, '%Y-%m-%d %H:%M:%S.%f') AS l_shipdate
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber
+        ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC,
+                 l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC,
+                 l_linestatus DESC) AS rn
+      FROM lineitem) AS versions
+WHERE rn = 1"""
+
+
 def registered() -> dict[str, str]:
     gold = _with(ALL_FACTS, DRIVERS)
     views = gold + f""",
@@ -241,16 +253,8 @@ SELECT 'user' AS kind, c_name AS name, SHA256(c_name) AS id FROM customer
 UNION ALL SELECT 'driver', s_name, SHA256(s_name) FROM supplier""",
         "upsert_global": _user_state("user_id"),
         "upsert_partition_scoped": _user_state("event_type, user_id"),
-        "upsert_composite_key": """
-SELECT l_orderkey, l_partkey, l_suppkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity,
-       l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
-       STRFTIME(l_shipdate, '%Y-%m-%d %H:%M:%S.%f') AS l_shipdate
-FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber
-        ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC,
-                 l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC,
-                 l_linestatus DESC) AS rn
-      FROM lineitem) AS versions
-WHERE rn = 1""",
+        "upsert_bucketed": _NEWEST_LINES,
+        "upsert_composite_key": _NEWEST_LINES,
         "hard_delete": """
 SELECT CAST(c_custkey AS VARCHAR) AS user_id, c_name AS name, n_name AS state,
        CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS balance

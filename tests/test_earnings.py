@@ -28,11 +28,11 @@ def money(value):
 class World:
     """Ride and tip tables, the fact and its consumer."""
 
-    def __init__(self, spark, folder, mode="complete", policy="latest"):
+    def __init__(self, spark, folder, mode="complete", policy="latest", buckets=0):
         self.spark, self.mode, self.policy = spark, mode, policy
         self.rides = KeyedTable.create(spark, f"{folder}/rides", RIDE_SCHEMA, "ride_id", "ride_date")
-        self.tips = KeyedTable.create(spark, f"{folder}/tips", TIPS, "tip_id", "tip_id")
-        self.fact = earn.create_fact(spark, f"{folder}/fact")
+        self.tips = KeyedTable.create(spark, f"{folder}/tips", TIPS, "tip_id", "tip_id", buckets=buckets)
+        self.fact = earn.create_fact(spark, f"{folder}/fact", buckets)
         self.checkpoint = Checkpoint(spark, f"{folder}/consumer")
         self.dim = date_dim(spark)
 
@@ -229,11 +229,11 @@ def test_checkpoint_first_resumed_and_empty_run(spark, world, folder):
     assert third.is_empty and third.rows().isEmpty()
 
 
-@pytest.mark.parametrize("seed,policy", [(1, "latest"), (2, "sum")])
-def test_any_split_equals_full_recompute(world, seed, policy):
+@pytest.mark.parametrize("seed,policy,buckets", [(1, "latest", 0), (2, "sum", 0), (3, "latest", 3)])
+def test_any_split_equals_full_recompute(world, seed, policy, buckets):
     """Random inserts, updates, moves and deletes in random increments."""
     rng = random.Random(seed)
-    w = world(policy=policy)
+    w = world(policy=policy, buckets=buckets)
     for step in range(4):
         ids = [f"r{i}" for i in rng.sample(range(12), 5)]
         days = [DAY, dt.date(2001, 1, 1), dt.date(1999, 1, 1)]

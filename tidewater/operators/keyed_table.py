@@ -10,7 +10,8 @@ A table is a folder::
     retention.json               commit after which the log is whole
     registered.json              catalog names and the base each of them shows
 
-Each commit holds a key once.  A directory counts only when it has its
+A bucketed table has a folder ``_bucket=<b>`` for each hash value of its keys below every
+commit and base.  Each commit holds a key once.  A directory counts only when it has its
 ``_SUCCESS`` marker, so a half-written commit is never read, and no directory is
 rewritten while a plan may be reading it.  One writer per table is assumed.
 """
@@ -31,10 +32,12 @@ from tidewater.operators.latest import latest_per_key, newest_first
 from tidewater.session import no_rows
 from tidewater.sources.change_records import DELETE, OP, SEQ, UPSERT
 
-COMMIT = "_commit"
+COMMIT, BUCKET = "_commit", "_bucket"
 SCOPES = ("global", "partition")
 # so many partition values, a few dozen bytes each, are safe to broadcast
 BROADCAST_PARTITIONS = 50_000
+# a plan names the buckets that it reads, so there are not too many of them
+MOST_BUCKETS = 10_000
 
 
 class HistoryLost(ValueError):
@@ -65,6 +68,8 @@ class KeyedTable:
         self.scope = spec["scope"]
         self.codec = spec["codec"]
         self.max_records_per_file = int(spec["max_records_per_file"])
+        self.buckets = int(spec.get("buckets", 0))
+        self.bucket_by = tuple(spec.get("bucket_by", ()))
 
     @classmethod
     def create(
@@ -79,12 +84,18 @@ class KeyedTable:
         scope: str = "global",
         codec: str = "gzip",
         max_records_per_file: int = 0,
+        buckets: int = 0,
+        bucket_by: str | Sequence[str] = (),
     ) -> KeyedTable:
         """Make an empty table, or open it if it is there already.
 
         ``scope="global"`` keeps one row per record key; ``"partition"`` keeps one
         per record key and partition.  ``cluster_columns`` deals every commit into
         files by ranges of them.  ``max_records_per_file`` caps file length (0: no cap).
+
+        ``buckets`` lays a table without partition fields out by the hash of ``bucket_by``,
+        columns of its record key (all of them by default).  A key stays in its bucket, so
+        reads leave alone the buckets that a change can't be in.
         """
         if scope not in SCOPES:
             raise ValueError(f"scope is one of {SCOPES}, not {scope!r}")
@@ -98,6 +109,12 @@ class KeyedTable:
             "codec": codec,
             "max_records_per_file": max_records_per_file,
         }
+        if buckets:
+            spec |= {"buckets": buckets, "bucket_by": split_names(bucket_by) or spec["record_key"]}
+            if spec["partition_fields"] or not 0 < buckets <= MOST_BUCKETS:
+                raise ValueError(f"buckets are 1 to {MOST_BUCKETS}, on a table without partition fields")
+            if set(spec["bucket_by"]) - set(spec["record_key"]):
+                raise ValueError("a table is bucketed by columns of its record key")
         names = set(schema.fieldNames())
         roles = ("record_key", "precombine", "partition_fields", "cluster_columns")
         unknown = [c for role in roles for c in spec[role] if c not in names]
@@ -125,6 +142,33 @@ class KeyedTable:
             return (*own, *self.record_key)
         return self.record_key
 
+    @property
+    def layout(self) -> tuple[str, ...]:
+        """Columns that name the folders within a commit or base."""
+        return (BUCKET,) if self.buckets else self.partition_fields
+
+    def with_layout(self, rows: DataFrame) -> DataFrame:
+        """``rows``, with their bucket if the table has any."""
+        return rows.withColumn(BUCKET, self._bucket()) if self.buckets else rows
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int")
+
+    def buckets_of(self, keys: DataFrame) -> set[int] | None:
+        """Buckets that ``keys`` fall into, no more than the table has; None for all, as when
+        key columns are missing or of another type, so that equal ones may differ in hash."""
+        types = {f.name: f.dataType for f in keys.schema}
+        if not self.buckets or any(types.get(c) != self.schema[c].dataType for c in self.bucket_by):
+            return None
+        return {row[0] for row in keys.select(self._bucket()).distinct().collect()}
+
+    def _buckets_in(self, commits: Sequence[int]) -> set[int] | None:
+        """Buckets that commits have a folder of; None for all."""
+        if not self.buckets:
+            return None
+        found = [p for c in commits for p in paths.glob(self.spark, f"{self.commit_path(c)}/{BUCKET}=*")]
+        return {int(p.rsplit("=", 1)[1]) for p in found}
+
     def commit_path(self, commit: int) -> str:
         return f"{self.path}/log/{COMMIT}={commit}"
 
@@ -189,25 +233,32 @@ class KeyedTable:
         return T.StructType([*self.schema.fields, *(T.StructField(n, t) for n, t in extra)])
 
     def log_scan(self, commits: Sequence[int]) -> DataFrame:
-        """Files of the named commits, with ``_op`` and ``_commit``."""
-        stored = self._with((OP, T.StringType()), (COMMIT, T.LongType()))
+        """Files of the named commits, with ``_op``, ``_commit`` and a bucket."""
+        stored = self._with((OP, T.StringType()), (COMMIT, T.LongType()), *self._hidden())
         if not commits:
             return no_rows(self.spark, stored)
         reader = self.spark.read.schema(stored).option("basePath", f"{self.path}/log")
         return reader.parquet(*[self.commit_path(c) for c in commits])
 
-    def read_log(self, commits: Sequence[int]) -> DataFrame:
-        return self.log_scan(commits).select(*self.columns, OP, COMMIT)
+    def _hidden(self) -> list[tuple[str, T.DataType]]:
+        return [(BUCKET, T.IntegerType())] if self.buckets else []
 
-    def _latest(self, commits: Sequence[int]) -> DataFrame:
-        rows = self.read_log(commits)
+    def read_log(self, commits: Sequence[int], buckets: set[int] | None = None) -> DataFrame:
+        return _within(self.log_scan(commits), buckets).select(*self.columns, OP, COMMIT)
+
+    def _latest(self, commits: Sequence[int], buckets: set[int] | None = None) -> DataFrame:
+        rows = self.read_log(commits, buckets)
         if len(commits) < 2:  # a commit holds each key once
             return rows
         return latest_per_key(rows, self.key, [F.desc(COMMIT)])
 
-    def _read_base(self, base: Base) -> DataFrame:
-        reader = self.spark.read.schema(self._with((COMMIT, T.LongType())))
-        return reader.parquet(base.path).select(*self.columns, COMMIT)
+    def _read_base(self, base: Base, buckets: set[int] | None = None, but: set[int] | None = None) -> DataFrame:
+        """Rows of a base: of all buckets or the named ones, less those of ``but``."""
+        reader = self.spark.read.schema(self._with((COMMIT, T.LongType()), *self._hidden()))
+        rows = _within(reader.parquet(base.path), buckets)
+        if but is not None:
+            rows = rows.where(~F.col(BUCKET).isin(sorted(but)))
+        return rows.select(*self.columns, COMMIT)
 
     def _match(self, rows: DataFrame, others: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
         """Semi or anti join on key columns; a null partition value matches itself."""
@@ -220,29 +271,38 @@ class KeyedTable:
         ]
         return rows.join(right, functools.reduce(Column.__and__, same), how)
 
-    def snapshot(self, as_of: int | None = None, with_commit: bool = False) -> DataFrame:
-        """The table now, or as it was after commit ``as_of``.
+    def snapshot(
+        self, as_of: int | None = None, with_commit: bool = False, buckets: set[int] | None = None
+    ) -> DataFrame:
+        """The table now, or as it was after commit ``as_of``; of a bucketed table only the
+        rows in ``buckets``, if given.
 
         Only keys touched since the last compaction are ranked.  The base side
         meets them in an anti join against the key columns of the log, which
         Catalyst broadcasts while they are small, so the base is not shuffled.
         A larger log of a partition-scoped table is joined to the partitions it
-        touches; the others pass by.
+        touches, one of a bucketed table to the buckets it touches; the others pass by.
         """
         if as_of is not None:
             self.check_readable(as_of)
         base, log = self.files_at(as_of)
-        fresh = self._latest(log).where(F.col(OP) == UPSERT).drop(OP)
+        fresh = self._latest(log, buckets).where(F.col(OP) == UPSERT).drop(OP)
         if base is None:
             rows = fresh
         elif not log:
-            rows = self._read_base(base)
+            rows = self._read_base(base, buckets)
         else:
-            rows = self._untouched(base, log).unionByName(fresh)
+            rows = self._untouched(base, log, buckets).unionByName(fresh)
         return rows if with_commit else rows.drop(COMMIT)
 
-    def _untouched(self, base: Base, log: Sequence[int]) -> DataFrame:
+    def _untouched(self, base: Base, log: Sequence[int], buckets: set[int] | None) -> DataFrame:
         """Base rows whose key is not in the log."""
+        if self.buckets:
+            # known from the folders, so both scans are pruned when they are planned
+            touched = self._buckets_in(log)
+            here = self._read_base(base, touched if buckets is None else touched & buckets)
+            kept = self._match(here, self.read_log(log, buckets), self.key, "left_anti")
+            return self._read_base(base, buckets, but=touched).unionByName(kept)
         stored, changed = self._read_base(base), self.read_log(log)
         if not self._spares_partitions(log):
             return self._match(stored, changed, self.key, "left_anti")
@@ -306,8 +366,9 @@ class KeyedTable:
         """Rows as of ``begin`` whose keys were written again up to ``end``."""
         if begin is None:
             return no_rows(self.spark, self.schema)
-        changed = self.read_log(self.commits_between(begin, end))
-        return self._match(self.snapshot(begin), changed, self.key, "left_semi")
+        commits = self.commits_between(begin, end)
+        before = self.snapshot(begin, buckets=self._buckets_in(commits))
+        return self._match(before, self.read_log(commits), self.key, "left_semi")
 
     # ---- writes ----------------------------------------------------------------------
 
@@ -389,7 +450,7 @@ class KeyedTable:
         return commit
 
     def _write(self, rows: DataFrame, path: str, rebalance: bool) -> None:
-        fields = self.partition_fields
+        fields, rows = self.layout, self.with_layout(rows)
         if rebalance and self.cluster_columns:
             # ranges, so that files differ in their bounds; the key ends the order, so a
             # hot value is split; AQE merges small ranges
@@ -423,10 +484,13 @@ class KeyedTable:
 
     def delete_keys(self, keys: DataFrame) -> int | None:
         """Delete the rows whose record key occurs in ``keys``."""
-        return self._delete_rows(
-            self._match(self.snapshot(), keys, self.record_key, "left_semi")
-        )
+        rows = self.snapshot(buckets=self.buckets_of(keys))
+        return self._delete_rows(self._match(rows, keys, self.record_key, "left_semi"))
 
     def _delete_rows(self, rows: DataFrame) -> int | None:
         # tombstones carry the whole row, so that readers of deletes see what went
         return self.upsert(rows.withColumn(OP, F.lit(DELETE)), unique=True)
+
+
+def _within(rows: DataFrame, buckets: set[int] | None) -> DataFrame:
+    return rows if buckets is None else rows.where(F.col(BUCKET).isin(sorted(buckets)))

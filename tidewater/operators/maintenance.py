@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidewater import paths
 from tidewater.functions.cleaning import split_names
-from tidewater.operators.keyed_table import COMMIT, Base, KeyedTable
+from tidewater.operators.keyed_table import BUCKET, COMMIT, Base, KeyedTable
 from tidewater.sources.change_records import DELETE, OP, UPSERT
 
 # fixed values: default sizing and retention
@@ -41,7 +41,7 @@ def compact(
     # every partition folder has a file of its own in any case
     needed = max(tasks, *(p.folders for p in parts))
     if files > 2 * needed and stored / files < small_file_bytes:
-        rows = _in_files(rows, tasks, (*table.partition_fields, *table.key))
+        rows = _in_files(table.with_layout(rows), tasks, (*table.layout, *table.key))
     return _shown(table, table.write_base(rows, log[-1]))
 
 
@@ -57,11 +57,11 @@ def cluster(
     base, log = table.files_at(None)
     stored = sum(part.bytes for part in table.usage(log, base))
     order = (
-        *table.partition_fields,
+        *table.layout,
         *(split_names(columns) or table.cluster_columns),
         *table.key,
     )
-    rows = table.snapshot(with_commit=True)
+    rows = table.with_layout(table.snapshot(with_commit=True))
     files = math.ceil(stored / target_file_bytes)
     return _shown(table, table.write_base(_in_files(rows, files, order), upto))
 
@@ -201,7 +201,9 @@ def _show(table: KeyedTable, full: str, entry: dict, base: Base) -> None:
     at = f" LOCATION {_text(entry['location'])}" if entry["location"] else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{entry['database']}`{at}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
-    fields = ", ".join(f"`{c}`" for c in table.partition_fields)
+    fields = ", ".join(f"`{c}`" for c in table.layout)
+    if table.buckets:
+        columns += f", `{BUCKET}` int"
     partitioned = f" PARTITIONED BY ({fields})" if fields else ""
     version = _version(new)
     spark.sql(

@@ -72,8 +72,12 @@ def reprice(fact: DataFrame, tips: DataFrame, policy: str = "latest") -> DataFra
     )
 
 
-def create_fact(spark: SparkSession, path: str) -> KeyedTable:
-    return KeyedTable.create(spark, path, DRIVER_EARNINGS, "driver_id,ride_id", "ride_id")
+def create_fact(spark: SparkSession, path: str, buckets: int = 0) -> KeyedTable:
+    """An empty fact, or the one there; with ``buckets`` it is laid out by ride, so that a
+    refresh reads the buckets of the touched rides only."""
+    return KeyedTable.create(
+        spark, path, DRIVER_EARNINGS, "driver_id,ride_id", "ride_id", buckets=buckets, bucket_by="ride_id"
+    )
 
 
 def refresh_earnings(
@@ -150,7 +154,8 @@ def _refresh_affected(
 
     What a ride without a new image needs is in its fact row already.  The fact
     is scanned once and the tips twice, before and after the increment; each scan meets
-    the touched rides or tips in a semi join.
+    the touched rides or tips in a semi join.  Of a bucketed fact only the buckets of the
+    touched rides are read, of bucketed tips before the increment only those it touches.
     """
     work = shared_dir(fact.spark, "touched_rides")
     try:
@@ -189,7 +194,7 @@ def _changes(
     tips = tips_per_ride(new_tips.table.snapshot(new_tips.end), policy).join(
         touched, "ride_id", "left_semi"
     )
-    stored = fact.snapshot().join(touched, "ride_id", "left_semi")
+    stored = fact.snapshot(buckets=fact.buckets_of(touched)).join(touched, "ride_id", "left_semi")
 
     arrived = ride_rows.select(
         "ride_id", "driver_id", "fare", OP, day_to_key(F.col("ride_date")).alias("earning_date_key")
