@@ -268,6 +268,27 @@ def test_slices_of_the_given_tables(spark):
     assert complete.join(fact.snapshot(), key, "left_anti").count() == 6941
 
 
+def test_refresh_scans_each_side_once(spark, world):
+    """What is written reads touched buckets of the fact once, each half of the tips once, no rides."""
+    w = world(buckets=4)
+    w.ride(*[(f"r{i}", "d1", "5.00") for i in range(8)])
+    w.tip(*[(f"t{i}", f"r{i}", "1.00") for i in range(4)], refresh=True)
+    for table in (w.rides, w.tips, w.fact):
+        maintenance.compact(table)
+    w.tip(("t1", "r1", "2.00"), ("t9", "r5", "3.00"))
+    new_tips = next_increment(w.tips, "tips", w.checkpoint)
+    arrived = w.rides.snapshot().limit(0).withColumn("_op", F.lit("U"))
+    touched = new_tips.rows(deletes=True).select("ride_id").distinct()
+    changes = earn._changes(arrived, touched, new_tips, w.fact, w.dim, "latest")
+    scans = [line for line in plan(changes).splitlines() if "FileScan" in line]
+    facts = [line for line in scans if "earning_date_key" in line]
+    assert len(facts) == 1 and "_bucket" in facts[0].split("PartitionFilters: [")[1].split("]")[0]
+    assert sum("tip_id" in line for line in scans) == 4  # two halves of the base, log keys and log rows
+    assert {(r.ride_id, r.tip_amount) for r in changes.collect()} == {("r1", money("2.00")), ("r5", money("3.00"))}
+    w.refresh()
+    w.check_full()
+
+
 def test_tips_are_reduced_before_the_join(spark):
     tips = spark.range(100).select(
         F.col("id").cast("string").alias("tip_id"), F.lit("hot").alias("ride_id"),

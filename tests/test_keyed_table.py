@@ -510,6 +510,34 @@ def test_snapshot_shuffles_touched_buckets_only(spark, make, folder):
     spark.sql("DROP DATABASE bucket_test CASCADE")
 
 
+def test_added_columns_are_null_in_stored_rows(spark, make, folder):
+    wide = f"{DDL}, note string, fare decimal(9,2)"
+    t = make(partition_fields="state")
+    t.upsert(batch(spark, ("a", "CA", 1, 1), ("b", "CA", 2, 1)))
+    name = maintenance.register(t, "evolve_test", "t", f"{folder}/db")
+    with pytest.raises(ValueError, match="another definition"):
+        make(schema=wide, partition_fields="state")
+    t = make(schema=wide, partition_fields="state", cluster_columns="v", codec="zstd", evolve=True)
+    t.upsert(batch(spark, ("b", "TX", 3, 2, "new", None), schema=wide))
+    now = [("a", "CA", 1, 1, None, None), ("b", "TX", 3, 2, "new", None)]
+    assert rows(t.snapshot()) == now
+    assert rows(t.snapshot(as_of=1)) == [("a", "CA", 1, 1, None, None), ("b", "CA", 2, 1, None, None)]
+    maintenance.compact(t)
+    assert rows(t.snapshot()) == rows(spark.sql(f"SELECT k, state, v, seq, note, fare FROM {name}")) == now
+    spark.sql("DROP DATABASE evolve_test CASCADE")
+    # nothing else may change: order and types of columns, keys, partitions
+    for schema, options in (
+        (DDL, {"partition_fields": "state"}),
+        (wide.replace("v int", "v long"), {"partition_fields": "state"}),
+        (f"fresh int, {wide}", {"partition_fields": "state"}),
+        (wide, {}),
+        (wide, {"partition_fields": "state", "scope": "partition"}),
+        (f"{wide}, must int not null", {"partition_fields": "state"}),
+    ):
+        with pytest.raises(ValueError, match="another definition"):
+            make(schema=schema, evolve=True, **options)
+
+
 def test_compaction_merges_small_files(spark, make):
     t = make()
     for i in range(4):

@@ -86,6 +86,7 @@ class KeyedTable:
         max_records_per_file: int = 0,
         buckets: int = 0,
         bucket_by: str | Sequence[str] = (),
+        evolve: bool = False,
     ) -> KeyedTable:
         """Make an empty table, or open it if it is there already.
 
@@ -96,6 +97,10 @@ class KeyedTable:
         ``buckets`` lays a table without partition fields out by the hash of ``bucket_by``,
         columns of its record key (all of them by default).  A key stays in its bucket, so
         reads leave alone the buckets that a change can't be in.
+
+        A table that is there must have this definition.  With ``evolve`` it takes over
+        nullable columns added at the end of the schema, which are null in rows stored
+        before, and another clustering, codec or file length for later writes.
         """
         if scope not in SCOPES:
             raise ValueError(f"scope is one of {SCOPES}, not {scope!r}")
@@ -125,7 +130,9 @@ class KeyedTable:
         if stored is None:
             paths.write_json(spark, target, spec)
         elif stored != json.loads(json.dumps(spec)):
-            raise ValueError(f"{path} holds a table with another definition")
+            if not evolve or not _may_follow(stored, json.loads(json.dumps(spec))):
+                raise ValueError(f"{path} holds a table with another definition")
+            paths.write_json(spark, target, spec)
         return cls(spark, path)
 
     # ---- what is on storage ----------------------------------------------------------
@@ -492,5 +499,13 @@ class KeyedTable:
         return self.upsert(rows.withColumn(OP, F.lit(DELETE)), unique=True)
 
 
+def _may_follow(old: dict, new: dict) -> bool:
+    """Whether rows stored under the old definition can be read under the new one."""
+    free = ("schema", "cluster_columns", "codec", "max_records_per_file")
+    kept = {k: v for k, v in old.items() if k not in free} == {k: v for k, v in new.items() if k not in free}
+    had, has = old["schema"]["fields"], new["schema"]["fields"]
+    return kept and has[: len(had)] == had and all(f["nullable"] for f in has[len(had) :])
+
+
 def _within(rows: DataFrame, buckets: set[int] | None) -> DataFrame:
     return rows if buckets is None else rows.where(F.col(BUCKET).isin(sorted(buckets)))
