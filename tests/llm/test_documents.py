@@ -71,6 +71,38 @@ def test_near_duplicates_like_brute_force(spark, monkeypatch, width, percent, bl
     assert all(r.kept == (r.doc_id == r.component_id) for r in found)
 
 
+def edited(rng: random.Random, words: list[str], copies: int) -> list[str]:
+    """Copies that differ in one word."""
+    return [" ".join([*words[:at], f"new{i}", *words[at + 1 :]]) for i in range(copies) for at in [rng.randrange(len(words))]]
+
+
+def test_large_linked_group_in_bounded_tasks(spark, monkeypatch, tmp_path):
+    """Rows of one task group, and of all, where one group of near copies has many blocks."""
+    from pyspark.sql.group import GroupedData
+
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr(minhash, "TASK_ROWS", 32)
+    apply, log = GroupedData.applyInPandas, str(tmp_path / "rows")
+
+    def watched(self, func, schema):
+        def counted(pdf):
+            with open(log, "a") as out:
+                out.write(f"{int('text' in pdf)} {len(pdf)}\n")
+            return func(pdf)
+
+        return apply(self, counted, schema)
+
+    monkeypatch.setattr(GroupedData, "applyInPandas", watched)
+    rng = random.Random(5)
+    texts = edited(rng, [f"w{i}" for i in range(120)], 400) + edited(rng, [f"v{i}" for i in range(120)], 3)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(frame).collect()}
+    assert found == brute_components(dict(enumerate(texts)), 5, 80)
+    rows = [tuple(map(int, line.split())) for line in open(log)]
+    assert max(n for _, n in rows) <= 100  # a pair of blocks, or a block and the hubs
+    assert sum(n for text, n in rows if text) <= 5 * len(texts)  # not once for each of 25 blocks
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)], "u long, v long")
     found = {r.node: r.component for r in minhash.components(edges).collect()}

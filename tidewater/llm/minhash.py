@@ -13,7 +13,7 @@ pairs.  A pair of classes must collide in at least ``least_matches`` coordinates
 
 Counting yields groups of classes, a superset of the true ones.  Inside a group the links
 are then confirmed on full shingle sets, again in blocks, most collisions first, leaving
-out pairs that are already connected.  No cap drops a pair, no group is held whole in a task.
+out pairs that are already connected; between blocks, hubs come first.  No cap drops a pair, no group is held whole in a task.
 """
 
 from __future__ import annotations
@@ -226,30 +226,99 @@ def count_links(members: DataFrame, least: int, width: int | None = None, simila
 
     members: ``gid, node, component, signature`` and, to confirm on sets, ``text``.  Groups
     of up to ``BLOCK`` rows share a task; larger ones are cut into blocks, each pair of
-    which is a group of its own.
+    which is a group of its own.  A component of ``BLOCK`` rows or more has its own blocks,
+    which don't meet each other.
     """
-    sizes = members.groupBy("gid").agg(
-        F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")
-    ).where("lo < hi").select("gid", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    cut = members.join(sizes, "gid").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # one row for each partner block; side 0: both blocks are the same
-    cut = (
-        cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("side", F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), -1).otherwise(1))
-        .withColumn("gid", F.xxhash64("gid", F.least("block", "other"), F.greatest("block", "other")))
+    sizes = stored(
+        members.groupBy("gid").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+        .where("lo < hi").select("gid", "n"),
+        "sizes",
     )
-    with_text = width is not None
-    names = ["gid", "side", "node", "component", "signature"] + ["text"] * with_text
+    names = ["gid", "side", "node", "component", "signature"] + ["text"] * (width is not None)
     # many small groups make one task group of bounded size
-    rows = members.count()
-    cut = cut.select(F.pmod("gid", F.lit(parts(rows, TASK_ROWS))).alias("task"), *names)
+    small, large = sizes.where(F.col("n") <= BLOCK), sizes.where(F.col("n") > BLOCK)
+    tasks = parts(small.agg(F.sum("n")).first()[0] or 0, TASK_ROWS)
+    cut = members.join(small.select("gid"), "gid").withColumn("side", F.lit(0)).select(
+        F.pmod("gid", F.lit(tasks)).alias("task"), F.lit(-1).cast("long").alias("partner"), *names
+    )
+    if not large.isEmpty():
+        cut = cut.unionAll(_block_pairs(members.join(large.select("gid"), "gid")).select("task", "partner", *names))
+    return _counted(cut, least, width, similarity)
+
+
+def _block_pairs(members: DataFrame) -> DataFrame:
+    """Each row once for each block that its own has to meet: ``task, partner, side`` are added.
+
+    side 0: both blocks are the same.
+    """
+    met = members.groupBy("gid", "component").agg(F.count("*").alias("n")).withColumn(
+        "owner", F.when(F.col("n") >= BLOCK, F.col("component"))
+    )
+    met = stored(met, "met")
+    shares = stored(
+        met.groupBy("gid", "owner").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks")), "shares"
+    )
+    # 'at' is kept in a written table, so it never changes
+    blocks = stored(
+        shares.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("at", F.monotonically_increasing_id()),
+        "blocks",
+    )
+    others = blocks.select("gid", F.col("owner").alias("other_owner"), F.col("at").alias("other"))
+    meet = F.coalesce(F.col("owner") != F.col("other_owner"), F.lit(True))
+    pairs = blocks.join(others, "gid").where(meet).select(F.col("gid").alias("g"), F.col("owner").alias("o"), "blocks", "block", "at", "other")
+    owned = members.join(met.select("gid", "component", "owner"), ["gid", "component"])
+    sized = shares.select(F.col("gid").alias("g"), F.col("owner").alias("o"), F.col("blocks").alias("of"))
+    same = (F.col("gid") == F.col("g")) & F.col("owner").eqNullSafe(F.col("o"))
+    placed = owned.join(sized, same).drop("g", "o").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("of")).cast("int"))
+    side = F.when(F.col("at") == F.col("other"), 0).when(F.col("at") < F.col("other"), -1).otherwise(1)
+    return placed.join(pairs, same & (F.col("mine") == F.col("block"))).withColumns(
+        {"side": side, "task": F.least("at", "other"), "partner": F.greatest("at", "other")}
+    )
+
+
+def _hub_links(members: DataFrame, sizes: DataFrame, least: int, width: int, similarity: float) -> DataFrame:
+    """Edges between the rows of a large group and one hub of each of its blocks.
+
+    members: as for ``count_links``; sizes: ``gid, n``.  A group of rows is a block and the
+    hubs, ``BLOCK`` of them at most; what hubs don't link is left to ``count_links``.
+    """
+    names = ["gid", "side", "node", "component", "signature", "text"]
+    blocks = F.ceil(F.col("n") / BLOCK)
+    placed = members.join(sizes, "gid").withColumn("partner", F.pmod(F.xxhash64("node"), blocks).cast("long"))
+    seat = F.pmod(F.xxhash64("node"), F.least(blocks, F.lit(BLOCK)))
+    chosen = members.select("gid", "node").join(sizes, "gid").groupBy("gid", seat.alias("seat")).agg(
+        F.min_by("node", F.xxhash64("node", F.lit(1))).alias("node")
+    )
+    hubs = members.join(stored(chosen.select("node"), "hubs"), "node")
+    slices = sizes.select("gid", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("partner"))
+    cut = placed.withColumn("side", F.lit(1)).select(F.col("gid").alias("task"), "partner", *names).unionAll(
+        hubs.withColumn("side", F.lit(-1)).join(slices, "gid").select(F.col("gid").alias("task"), "partner", *names)
+    )
+    return _counted(cut, least, width, similarity)
 
+
+def _counted(cut: DataFrame, least: int, width: int | None, similarity: float) -> DataFrame:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        shingles = Shingler(width) if with_text else None
+        shingles = Shingler(width) if width is not None else None
         out = [e for _, part in pdf.groupby("gid", sort=False) if len(part) > 1 for e in _links(part, least, shingles, similarity)]
         return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
-    return cut.groupBy("task").applyInPandas(run, EDGES)
+    return cut.groupBy("task", "partner").applyInPandas(run, EDGES)
+
+
+def _merged(known: DataFrame, more: DataFrame) -> DataFrame:
+    """``known`` (node, component) with the components made one that edges ``more`` join."""
+    edges = (
+        more.join(known.select(F.col("node").alias("u"), F.col("component").alias("cu")), "u", "left")
+        .join(known.select(F.col("node").alias("v"), F.col("component").alias("cv")), "v", "left")
+        .select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v"))
+    )
+    into = components(edges).select(F.col("node").alias("component"), F.col("component").alias("into"))
+    renamed = known.join(into, "component", "left").select("node", F.coalesce("into", "component").alias("component"))
+    # nodes that had no link yet
+    added = into.select(F.col("component").alias("node"), F.col("into").alias("component")).join(known.select("node"), "node", "left_anti")
+    return stored(renamed.unionAll(added), "known")
 
 
 def near_duplicates(
@@ -319,22 +388,20 @@ def near_duplicates(
     )
     links = stored(count_links(first, least, width, similarity), "links")
     known = components(links)
-    second = members.join(known, "node", "left").select(
-        "gid", "node", F.coalesce("component", "node").alias("component"), "signature", "text"
-    )
-    large = inner.where(F.col("n") > BLOCK).select("gid")
-    more = count_links(second.join(large, "gid", "left_semi"), least, width, similarity)
-    of_node = known.select(F.col("node").alias("v"), F.col("component").alias("cv"))
-    # links between the components found so far, by their names
-    more = (
-        more.join(known.select(F.col("node").alias("u"), F.col("component").alias("cu")), "u", "left").join(of_node, "v", "left")
-        .select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v"))
-    )
-    merged = components(more).select(F.col("node").alias("component"), F.col("component").alias("into"))
-    nodes = classes.select("node", "digest", "least_id").join(known, "node", "left").select(
-        "digest", "least_id", F.coalesce("component", "node").alias("component")
-    )
-    named = nodes.join(merged, "component", "left").select("digest", "least_id", F.coalesce("into", "component").alias("component"))
+    large = stored(inner.where(F.col("n") > BLOCK), "large")
+    if not large.isEmpty():
+        held = members.join(large.select("gid"), "gid", "left_semi")
+
+        def second() -> DataFrame:
+            return held.join(known, "node", "left").select(
+                "gid", "node", F.coalesce("component", "node").alias("component"), "signature", "text"
+            )
+
+        # hubs join most, so that only members of different components are exchanged
+        known = _merged(known, _hub_links(second(), large, least, width, similarity))
+        known = _merged(known, count_links(second(), least, width, similarity))
+    nodes = classes.select("node", "digest", "least_id").join(known, "node", "left")
+    named = nodes.select("digest", "least_id", F.coalesce("component", "node").alias("component"))
     ids = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     of_class = named.join(ids, "component").select("digest", "component_id")
     return signed.join(of_class, "digest", "left").select(
