@@ -6,7 +6,7 @@ returns the columns of ``documents``; the last returns the pieces and their bins
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewater.llm import minhash, mixing, packing, pii, quality
 from tidewater.llm.common import read, stored
@@ -20,18 +20,25 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five words, similarity 0.8.
 
-    Rows that repeat an id count as one document, the least text of them stays.  Rows with a
-    null id can't be told apart; they stay.
+    Rows with equal id and text count as one document, the least of them stays; different
+    texts of a repeated id stay or go on their own links.  Rows with a null id can't be told
+    apart; they stay.
     """
-    found = minhash.near_duplicates(docs)
-    gone = found.where("doc_id is not null and not kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    twice = stored(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    found = minhash.keyed_duplicates(docs).where("doc_id is not null").withColumnsRenamed({"doc_id": "__id", "key": "__of"})
+    keyed = docs.withColumn("__key", minhash.text_key("text"))
+    same = (F.col("doc_id") == F.col("__id")) & F.col("__key").eqNullSafe(F.col("__of"))
+    found = stored(
+        found.groupBy("__id", "__of").agg(F.max("kept").alias("kept"), F.count("*").alias("times")).where("not kept or times > 1"),
+        "repeated",
+    )
+    # of what goes or is there twice; all else is left as it is
+    left = keyed.join(found.where("not kept"), same, "left_anti")
+    twice = found.where("kept").select("__id", "__of")
     if twice.isEmpty():
-        return left
-    order = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    once = left.join(twice, "doc_id", "left_semi").withColumn("__at", F.row_number().over(order)).where("__at = 1")
-    return left.join(twice, "doc_id", "left_anti").select(*docs.columns).unionAll(once.select(*docs.columns))
+        return left.select(*docs.columns)
+    row = F.struct("text", *[c for c in docs.columns if c != "text"])
+    once = left.join(twice, same, "left_semi").groupBy("doc_id", "__key").agg(F.min(row).alias("__row")).select("__row.*")
+    return left.join(twice, same, "left_anti").select(*docs.columns).unionAll(once.select(*docs.columns))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,6 +47,15 @@ def test_stage_on_awkward_tables(spark, clashing, labelled, name, stage):
         assert len(rows) == len(awkward_rows()) and any(r.text and "[EMAIL]" in r.text for r in rows)
 
 
+def test_different_texts_of_a_repeated_id(spark):
+    """Each goes on its own links: a copy of another document, the first of a group, a text of its own."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    rows = [(3, a, 1), (5, a, 1), (5, b, 2), (5, b, 1), (9, b, 1), (7, c, 1), (7, d, 1), (None, a, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    left = [tuple(r) for r in corpus_pipeline.dedup_stage(spark, docs, SF).collect()]
+    assert Counter(left) == Counter([(3, a, 1), (5, b, 1), (7, c, 1), (7, d, 1), (None, a, 1)])
+
+
 def test_stages_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     truth = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}

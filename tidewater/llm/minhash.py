@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidewater.llm.common import parts, stored
 from tidewater.paths import delete
@@ -35,6 +35,7 @@ BLOCK, TASK_ROWS = 512, 1500
 SIGNED = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
+        T.StructField("key", T.BinaryType()),
         T.StructField("n_shingles", T.LongType()),
         T.StructField("digest", T.BinaryType()),
         T.StructField("signature", T.ArrayType(T.IntegerType())),
@@ -94,17 +95,22 @@ def least_matches(coords: int, similarity: float) -> int:
     return max(1, math.floor(coords * similarity - 5 * spread))
 
 
+def text_key(text: str) -> Column:
+    """What tells the texts of a repeated id apart; null for a null text."""
+    return F.unhex(F.md5(F.col(text).cast("binary")))
+
+
 def sign(docs: DataFrame, width: int, coords: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle, signer = Shingler(width), Signer(coords)
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
+            for doc_id, key, text in zip(batch["doc_id"], batch["key"], batch["text"]):
                 doc_id = None if pd.isna(doc_id) else int(doc_id)
                 if len(found := shingle(text)):
-                    rows.append((doc_id, len(found), xxhash.xxh3_128_digest(found.tobytes()), signer(found)))
+                    rows.append((doc_id, key, len(found), xxhash.xxh3_128_digest(found.tobytes()), signer(found)))
                 else:
-                    rows.append((doc_id, 0, None, None))
+                    rows.append((doc_id, key, 0, None, None))
             out = pd.DataFrame(rows, columns=SIGNED.names)
             yield out.astype({"doc_id": "Int64"})
 
@@ -333,12 +339,29 @@ def near_duplicates(
     null component if nothing with an id has its shingles, else it takes that component; it
     can't link two different texts.  Other columns are ignored.
     """
+    found = keyed_duplicates(docs, width=width, similarity=similarity, coords=coords)
+    return found.select("doc_id", "n_shingles", "component_id").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def keyed_duplicates(
+    docs: DataFrame, *, width: int = 5, similarity: float = 0.8, coords: int = 64
+) -> DataFrame:
+    """``doc_id, key, n_shingles, component_id, kept`` for every row of ``docs``.
+
+    As ``near_duplicates``, but ``kept`` tells the texts of a repeated id apart by their
+    ``text_key``: of a component one pair of id and key is kept, the smallest.
+    """
     least = least_matches(coords, similarity)
-    signed = stored(sign(docs.select(F.col("doc_id").cast("long"), "text"), width, coords), "signed")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key("text").alias("key"), "text")
+    signed = stored(sign(texts, width, coords), "signed")
     # the id is kept in 'node' of a written table, so it never changes
     classes = stored(
         signed.where("n_shingles > 0").groupBy("digest")
-        .agg(F.min("doc_id").alias("least_id"), F.first("signature").alias("signature"))
+        .agg(
+            F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "key"))).alias("least"),
+            F.first("signature").alias("signature"),
+        )
+        .select("digest", F.col("least.doc_id").alias("least_id"), F.col("least.key").alias("least_key"), "signature")
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
@@ -373,13 +396,13 @@ def near_duplicates(
     left_over = stored(placed.join(open_groups.select("gid"), "gid", "left_semi").join(marks, "node"), "left_over")
     candidates = components(near_hub.unionAll(count_links(left_over, least)))
 
-    # full sets, for members of candidate groups only; digests tell texts of a repeated id apart
+    # full sets, for members of candidate groups only; keys tell texts of a repeated id apart
     members = (
         candidates.join(classes, "node")
-        .join(docs.select(F.col("doc_id").cast("long").alias("least_id"), "text"), "least_id")
-        .select(F.col("component").alias("gid"), "node", "signature", "digest", "text")
+        .join(texts.select(F.col("doc_id").alias("least_id"), F.col("key").alias("least_key"), "text"), ["least_id", "least_key"])
+        .select(F.col("component").alias("gid"), "node", "signature", "text")
     )
-    members = stored(_of_class(members, width), "members")
+    members = stored(members.dropDuplicates(["node"]), "members")
     inner = members.groupBy("gid").agg(F.count("*").alias("n"))
     first = members.join(inner, "gid").select(
         # within blocks first, then between them, where most are known to hang together
@@ -400,25 +423,16 @@ def near_duplicates(
         # hubs join most, so that only members of different components are exchanged
         known = _merged(known, _hub_links(second(), large, least, width, similarity))
         known = _merged(known, count_links(second(), least, width, similarity))
-    nodes = classes.select("node", "digest", "least_id").join(known, "node", "left")
-    named = nodes.select("digest", "least_id", F.coalesce("component", "node").alias("component"))
-    ids = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    of_class = named.join(ids, "component").select("digest", "component_id")
+    nodes = classes.select("node", "digest", "least_id", "least_key").join(known, "node", "left")
+    named = nodes.select("digest", "least_id", "least_key", F.coalesce("component", "node").alias("component"))
+    ids = named.groupBy("component").agg(F.min(F.struct("least_id", "least_key")).alias("first"))
+    of_class = named.join(ids, "component").select(
+        "digest", F.col("first.least_id").alias("component_id"), F.col("first.least_key").alias("kept_key")
+    )
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")) & F.col("key").eqNullSafe(F.col("kept_key"))
+    blank = F.col("n_shingles") == 0
     return signed.join(of_class, "digest", "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-
-
-def _of_class(members: DataFrame, width: int) -> DataFrame:
-    """Rows whose text has the digest of the class, one for each class."""
-    schema = T.StructType([f for f in members.schema if f.name != "digest"])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingle = Shingler(width)
-        for batch in batches:
-            same = [xxhash.xxh3_128_digest(shingle(t).tobytes()) == bytes(d) for t, d in zip(batch["text"], batch["digest"])]
-            yield batch.loc[np.array(same, bool), schema.names]
-
-    found = members.mapInPandas(run, schema)
-    return found.dropDuplicates(["node"])
+        "doc_id", "key", "n_shingles",
+        F.when(blank, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        (blank | kept).alias("kept"),
+    )
