@@ -153,6 +153,30 @@ def test_pages(tree, page, text):
     assert html_text.main_text(page, tree) == text
 
 
+PARAGRAPH = " ".join(f"word{i}" for i in range(40))
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article><p>Look</p><figure><img><figcaption>A river</figcaption></figure></article>", "Look A river"),
+        ("<article><p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p></article>", "So x=1 holds"),
+        ("<article><svg><path class='share' d='M0'/><text>Axis</text></svg><p>Text</p></article>", "Axis Text"),
+        ("<article><object>Plain</object> <canvas>words</canvas></article>", "Plain words"),
+        ("<article><fieldset><legend>Pick</legend><select><option>One<option>Two</select></fieldset></article>", "Pick One Two"),
+        ("<article><div class='entry-header'><h1>Title</h1></div><div class='search-tips'><p>Text</p></div></article>", "Title Text"),
+        ("<div class='no-sidebar'><article><p>Text</p></article></div>", "Text"),
+        ("<div class='wrap widget'><article><p>Text</p></article><p>Around it</p></div>", "Text"),
+        ("<aside><article><p>Teaser</p></article></aside><main><p>Text</p></main>", "Text"),
+        ("<div class='comments'><article class='comment'><p>First!</p></article></div><main><p>Text</p></main>", "Text"),
+        ("<div class='has-sidebar'><h2>Short heading</h2><p>" + PARAGRAPH + "</p></div>", "Short heading " + PARAGRAPH),
+        ("<div class='site-footer'><p>" + PARAGRAPH + "</p></div>", ""),
+    ],
+)
+def test_pages_keep_what_is_in_the_article(tree, page, text):
+    assert html_text.main_text(page, tree) == text
+
+
 def test_awkward_pages(spark):
     from pyspark.sql import functions as F
 

@@ -26,20 +26,40 @@ TAG = re.compile(
 HINT = re.compile(r"(?:\b(?:class|id|role)\s*=\s*)(\"[^\"]*\"|'[^']*'|[^\s>\"']+)", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 # Element names of the markup language
-RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "object", "canvas", "audio", "video"}
+RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "audio", "video", "annotation", "annotation-xml"}
 INLINE = {
     "a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label",
     "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
+    "object", "canvas", "math", "mi", "mn", "mo", "ms", "mtext", "mrow", "mfrac", "msqrt", "mroot", "msub", "msup", "msubsup",
+    "munder", "mover", "munderover", "mstyle", "mpadded", "mphantom", "menclose", "merror", "mspace", "semantics",
 }
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 MAIN = {"article", "main"}
-ASIDE = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "head", "title", "fieldset", "legend", "figcaption"}
-AROUND = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|banner|breadcrumb|breadcrumbs|comment|comments|consent|cookie|cookies|"
-    r"disclaimer|footer|header|masthead|menu|menus|modal|nav|navbar|navigation|newsletter|notice|notices|popup|promo|related|replies|"
-    r"share|sharing|sidebar|social|sponsor|sponsored|subscribe|toolbar|widget|respond|contentinfo|complementary|search)(?:$|[\s_-])",
-    re.I,
+ASIDE = {"nav", "footer", "aside", "form", "menu", "button", "head", "title"}
+# parts of an article that stand around it elsewhere
+PARTS = {"header", "dialog", "select", "fieldset", "legend", "figcaption"}
+AROUND = frozenset(
+    "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer footer "
+    "header masthead menu menus modal nav navbar navigation newsletter notice notices popup promo related replies share sharing "
+    "sidebar social sponsor sponsored subscribe toolbar widget respond contentinfo complementary search".split()
 )
+HEADS = frozenset(("header", "masthead", "banner"))
+# beginnings of class names that tell of the page, not of what is inside; and of an article's own header
+ABOUT, OWN = {"no", "has", "with", "without", "is", "not", "hide", "show"}, {"entry", "post", "article", "content", "story"}
+
+
+def stands_around(hints: str, inside: bool) -> bool:
+    """Whether class, id or role name something around an article; inside of one only whole names count."""
+    for name in hints.lower().split():
+        if inside:
+            if name in AROUND and name not in HEADS:
+                return True
+            continue
+        words = re.split("[_-]+", name)
+        found = AROUND.intersection(words)
+        if found and words[0] not in ABOUT and not (found <= HEADS and words[0] in OWN):
+            return True
+    return False
 
 
 class Block(NamedTuple):
@@ -67,6 +87,9 @@ LABELLED = [
     (48, 0.0, 30, 0.0, 52, 0.05, 0, 0, 1), (25, 0.0, 60, 0.0, 33, 0.0, 0, 0, 1), (35, 0.1, 2, 0.0, 44, 0.0, 0, 0, 1),
     (18, 0.0, 41, 0.0, 38, 0.0, 0, 0, 1), (70, 0.2, 55, 0.0, 5, 1.0, 0, 0, 1), (22, 0.05, 0, 0.0, 0, 0.0, 0, 0, 1),
     (14, 0.0, 45, 0.0, 36, 0.0, 0, 0, 1), (55, 0.0, 1, 1.0, 3, 1.0, 0, 0, 1), (12, 0.0, 50, 0.0, 40, 0.0, 0, 0, 1),
+    # and their headings
+    (4, 0.0, 1, 1.0, 40, 0.0, 0, 0, 1), (6, 0.0, 30, 0.0, 52, 0.0, 0, 0, 1), (2, 0.0, 55, 0.0, 38, 0.0, 0, 0, 1),
+    (5, 0.0, 0, 0.0, 44, 0.0, 0, 0, 1), (1, 0.0, 42, 0.0, 26, 0.05, 0, 0, 1), (3, 0.0, 2, 1.0, 24, 0.0, 0, 0, 1),
     # short and linked blocks outside of one
     (1, 1.0, 0, 0.0, 1, 1.0, 0, 0, 0), (1, 1.0, 1, 1.0, 0, 0.0, 0, 0, 0), (12, 1.0, 0, 0.0, 0, 0.0, 0, 0, 0),
     (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0), (2, 1.0, 1, 1.0, 3, 1.0, 0, 0, 0), (4, 0.75, 2, 1.0, 40, 0.0, 0, 0, 0),
@@ -121,7 +144,8 @@ def trained(table: list[tuple] = LABELLED) -> DecisionTree:
 def blocks(page: str) -> list[Block]:
     """Text blocks of a page in order; references decoded, white space made single spaces."""
     out: list[Block] = []
-    open_tags: list[tuple[str, bool, bool]] = []  # name, starts an article, stands around it
+    open_tags: list[tuple[str, int, int, int]] = []  # name, what it adds to main, around and hinted
+    hinted = 0  # of around, what only class, id or role say
     text: list[str] = []
     links: list[str] = []
     in_link, main, around = False, 0, 0
@@ -170,25 +194,29 @@ def blocks(page: str) -> list[Block]:
             if any(t[0] == name for t in open_tags):
                 while True:
                     gone = open_tags.pop()
-                    main, around = main - gone[1], around - gone[2]
+                    main, around, hinted = main - gone[1], around - gone[2], hinted - gone[3]
                     if gone[0] == name:
                         break
             continue
         if name == "body":
             while open_tags:
                 gone = open_tags.pop()
-                main, around = main - gone[1], around - gone[2]
+                main, around, hinted = main - gone[1], around - gone[2], hinted - gone[3]
         if name in ("p", "li", "dt", "dd", "option") and open_tags and open_tags[-1][0] == name:
             gone = open_tags.pop()
-            main, around = main - gone[1], around - gone[2]
+            main, around, hinted = main - gone[1], around - gone[2], hinted - gone[3]
         hints = " ".join(h.strip("\"'") for h in HINT.findall(m["rest"]))
-        aside = (
-            name in ASIDE or (name == "header" and not main) or HIDDEN.search(m["rest"]) is not None
-            or (name not in ("html", "body", *MAIN) and AROUND.search(hints) is not None)
-        )
-        mine = (name, name in MAIN or "articlebody" in hints.lower(), bool(aside))
+        if m["rest"].endswith("/") and any(t[0] == "svg" for t in open_tags):
+            continue
+        aside = name in ASIDE or (name in PARTS and not main) or HIDDEN.search(m["rest"]) is not None
+        named = name not in ("html", "body", *MAIN) and stands_around(hints, main > 0)
+        adds, hint = int(aside or named), int(named and not aside)
+        if name in MAIN and not main and not stands_around(hints, False):
+            # what a wrapper is called doesn't count within the article
+            adds, hint = adds - hinted, -hinted
+        mine = (name, int(name in MAIN or "articlebody" in hints.lower()), adds, hint)
         open_tags.append(mine)
-        main, around = main + mine[1], around + mine[2]
+        main, around, hinted = main + mine[1], around + mine[2], hinted + mine[3]
     flush()
     return out
 
