@@ -156,6 +156,26 @@ def test_checksums_and_context():
     assert pii.redact(text, pii.find(text)) == "mail [EMAIL] or [IP]"
 
 
+@pytest.mark.parametrize(
+    "text, redacted",
+    [
+        ("IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFF", "IBAN [IBAN] BIC COBADEFF"),
+        ("DE89370400440532013000 500 EUR", "[IBAN] 500 EUR"),
+        ("GB29NWBK60161331926819 A note", "[IBAN] A note"),
+        ("REF AB12 DE89 3704 0044 0532 0130 00 OK", "REF AB12 [IBAN] OK"),  # a head that is none comes before
+        ("ZZ22 3704 0044 0532 0130 00 TO PAY", "[IBAN] TO PAY"),  # no prescribed length
+    ],
+)
+def test_accounts_end_where_they_end(text, redacted):
+    assert pii.redact(text, pii.find(text)) == redacted
+
+
+def test_account_with_a_card_inside():
+    text = "pay DK58 0040 4440 1162 54 now"
+    assert [s.kind for s in pii.base_spans(text)] == ["card"]
+    assert pii.redact(text, pii.find(text)) == "pay [IBAN] now"
+
+
 @pytest.mark.parametrize("run", ["1" * 200_000, "a" * 200_000, "a@" * 50_000, "+1" * 50_000, "1." * 50_000, "AB12" * 40_000])
 def test_long_runs_stay_linear(run):
     assert isinstance(pii.find(run), list)

@@ -7,7 +7,8 @@ Base spans, leftmost and non-overlapping for each kind:
 
 added by the method, each with a score that must reach ``threshold``:
 
-* iban: mod-97 must leave 1; two letters, two digits, 11 to 30 more;
+* iban: mod-97 must leave 1; two letters, two digits, 11 to 30 more, as many as the country
+  prescribes or, if it is not known, up to the end of a group; a card may lie inside;
 * phone without a plus sign: 9 to 15 digits with separators, only near a word that names a
   telephone; ssn: three, two and four digits, only near a word that names it.
 
@@ -34,6 +35,16 @@ KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
 BASE = KINDS[:4]
 
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+IBAN_HEAD = re.compile(r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})")
+# The lengths that countries prescribe
+IBAN_LENGTH = {
+    c[:2]: int(c[2:]) for c in (
+        "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 "
+        "FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 "
+        "LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 "
+        "SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30"
+    ).split()
+}
 BARE_PHONE = re.compile(r"(?<![\w+.-])\(?[0-9]{2,5}\)?(?:[ ./-][0-9]{2,5}){1,5}(?![\w-])")
 SSN = re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])")
 # Words near a candidate that speak for a kind
@@ -80,6 +91,25 @@ def mod97(account: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def _accounts(text: str) -> Iterator[tuple[int, int]]:
+    """Spans that mod-97 confirms; after each head at most 34 letters and digits are looked at."""
+    done = 0
+    for head in IBAN_HEAD.finditer(text):
+        if head.start() < done or not (m := IBAN.match(text, head.start())):
+            continue
+        start, long = m.start(), m[0]
+        # where a group ends, the longest first
+        ends = [i for i in range(len(long), 14, -1) if i == len(long) or long[i] == " "]
+        prescribed = IBAN_LENGTH.get(long[:2])
+        if prescribed:
+            ends = [i for i in ends if len(long[:i].replace(" ", "")) == prescribed] + ends[:1]
+        for i in ends:
+            if len(account := long[:i].replace(" ", "")) >= 15 and mod97(account):
+                done = start + i
+                yield start, done
+                break
+
+
 def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
@@ -116,29 +146,32 @@ def base_spans(text: str) -> list[Span]:
 
 def added_spans(text: str, base: list[Span], threshold: float) -> list[Span]:
     """Candidates beyond the base patterns that checksum and context carry to the threshold."""
-    taken = [(s.start, s.end) for s in base]
-    starts = [s for s, _ in taken]
-    ends: list[int] = []
-    for _, end in taken:  # a span may lie inside an earlier one of another kind
-        ends.append(max(end, ends[-1]) if ends else end)
     out: list[Span] = []
 
-    def consider(kind: str, m: re.Match, score: float) -> None:
-        if CONTEXT[kind].search(text[max(0, m.start() - NEAR) : m.end() + NEAR]):
+    def taken(spans: list[Span]) -> tuple[list[int], list[int]]:
+        ends: list[int] = []
+        for s in spans:  # a span may lie inside an earlier one of another kind
+            ends.append(max(s.end, ends[-1]) if ends else s.end)
+        return [s.start for s in spans], ends
+
+    def consider(kind: str, start: int, end: int, score: float, starts: list[int], ends: list[int]) -> None:
+        if CONTEXT[kind].search(text[max(0, start - NEAR) : end + NEAR]):
             score += 0.4
-        i = bisect_right(starts, m.end() - 1)
-        free = i == 0 or ends[i - 1] <= m.start()
-        if score >= threshold and free and not any(s.end > m.start() and s.start < m.end() for s in out[-2:]):
-            out.append(Span(m.start(), KINDS.index(kind), m.end(), min(1.0, score)))
-
-    for m in IBAN.finditer(text):
-        if mod97(m[0].replace(" ", "")):
-            consider("iban", m, 0.8)
+        i = bisect_right(starts, end - 1)
+        free = i == 0 or ends[i - 1] <= start
+        if score >= threshold and free and not any(s.end > start and s.start < end for s in out[-2:]):
+            out.append(Span(start, KINDS.index(kind), end, min(1.0, score)))
+
+    # digits of an account may happen to make a card; the account covers them
+    but_cards = taken([s for s in base if s.kind != "card"])
+    for start, end in _accounts(text):
+        consider("iban", start, end, 0.8, *but_cards)
+    known = taken(sorted(base + out))
     for m in SSN.finditer(text):
-        consider("ssn", m, 0.4)
+        consider("ssn", m.start(), m.end(), 0.4, *known)
     for m in BARE_PHONE.finditer(text):
         if 9 <= len(_digits(m[0])) <= 15:
-            consider("phone", m, 0.4)
+            consider("phone", m.start(), m.end(), 0.4, *known)
     return out
 
 
