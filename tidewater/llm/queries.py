@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewater.llm import ann, html_text, language, minhash, mixing, packing, pii, quality, tokens, topk
+from tidewater.llm import (
+    ann, centroids, html_text, language, manifest, minhash, mixing, packing, passages, pii, quality, tokens, topk,
+)
 from tidewater.llm.common import held_out, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,9 +69,24 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.repeated_windows(read(spark, sf_dir, "documents"), width=35)
+    left = passages.remove_repeated(found, width=35)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.verified(manifest.document_manifest(read(spark, sf_dir, "documents")))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = topk.scaled(read(spark, sf_dir, "embeddings"), factor=64).where(F.size("components") == 64)
+    return centroids.with_totals(*centroids.lloyd(points, k=16, rounds=3, width=64, salt="1"))
+
+
 def registered() -> dict[str, Query]:
     own = (
         op1_packing, op2_pii, op3_neighbours, op4_mixing, op5_html, op6_topk, op7_language, op8_near_duplicates,
-        op9_quality, op10_tokens,
+        op9_quality, op10_tokens, op11_passages, op12_manifest, op13_centroids,
     )
     return {f.__name__: f for f in own}
