@@ -47,3 +47,9 @@ def slices(batches: Iterable[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]
     for batch in batches:
         for start in range(0, len(batch), rows):
             yield batch.iloc[start : start + rows]
+
+
+def whole_columns(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Text columns as plain objects: those of several Arrow batches can't be handed back in
+    pieces."""
+    return pdf.astype({c: object for c, kind in pdf.dtypes.items() if pd.api.types.is_string_dtype(kind)})

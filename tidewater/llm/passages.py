@@ -16,6 +16,7 @@ so a passage that a third of all rows hold makes no hot group.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,25 +24,25 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidewater.llm.common import stored
+from tidewater.llm.common import stored, whole_columns
 from tidewater.session import shared_dir
 
 #: Rows of counters, and cells in each of them for a byte of text: about eight for a window.
 ROWS, CELLS_PER_BYTE = 2, 1.25
 #: Words whose hashes a task remembers; older ones are hashed again.
 REMEMBERED = 500_000
-PASSED = "part long, ord int, doc_id string, text string, shard long, cells binary, twice binary"
+TEXTS = "part long, ord int, doc_id string, text string"
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 MIXERS = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
 class Windows:
-    """128-bit keys of all windows of a text: two sums of word hashes by powers of an odd number."""
+    """64-bit keys of all windows of a text: sums of word hashes by powers of an odd number."""
 
     def __init__(self, width: int):
         self.width = width
         self.known: dict[bytes, int] = {}
-        self.table = np.empty((1 << 12, 2), np.uint64)
+        self.table = np.empty((2, 1 << 12), np.uint64)
         self.powers(1 << 12)
 
     def powers(self, n: int) -> None:
@@ -50,36 +51,41 @@ class Windows:
             self.up = np.concatenate([[np.uint64(1)], np.cumprod(np.full(n - 1, FACTOR, np.uint64))])
             self.down = np.concatenate([[np.uint64(1)], np.cumprod(np.full(n - 1, np.uint64(inverse), np.uint64))])
 
-    def hashes(self, words: list[bytes]) -> np.ndarray:
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """The words as places in the table of their hashes."""
         known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = set(words).difference(known)
-        if len(known) + len(new) > len(self.table):
-            self.table = np.resize(self.table, (2 * (len(known) + len(new)), 2))
+        try:
+            return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        except KeyError:
+            if len(known) > REMEMBERED:
+                known.clear()
+            new = set(words).difference(known)
+        if len(known) + len(new) > self.table.shape[1]:
+            grown = np.empty((2, 2 * (len(known) + len(new))), np.uint64)
+            grown[:, : len(known)] = self.table[:, : len(known)]
+            self.table = grown
         for w in new:
-            self.table[len(known)] = np.frombuffer(hashlib.blake2b(w, digest_size=16).digest(), np.uint64)
+            self.table[:, len(known)] = np.frombuffer(hashlib.blake2b(w, digest_size=16).digest(), np.uint64)
             known[w] = len(known)
-        return self.table[np.fromiter(map(known.__getitem__, words), np.int64, len(words))]
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
-    def keys(self, words: list[bytes]) -> np.ndarray:
-        """Two columns, a row for each window; none if the text is shorter."""
-        n = len(words) - self.width + 1
+    def keys(self, numbers: np.ndarray, which: int = 0) -> np.ndarray:
+        """One of two independent keys for each window; none if the text is shorter."""
+        n = len(numbers) - self.width + 1
         if n <= 0:
-            return np.empty((0, 2), np.uint64)
-        if len(words) > len(self.up):
-            self.powers(2 * len(words))
+            return np.empty(0, np.uint64)
+        if len(numbers) > len(self.up):
+            self.powers(2 * len(numbers))
         with np.errstate(over="ignore"):
-            sums = np.zeros((len(words) + 1, 2), np.uint64)
-            np.cumsum(self.hashes(words) * self.down[: len(words), None], axis=0, out=sums[1:])
-            return (sums[self.width :] - sums[: n]) * self.up[:n, None]
+            sums = np.zeros(len(numbers) + 1, np.uint64)
+            np.cumsum(self.table[which][numbers] * self.down[: len(numbers)], out=sums[1:])
+            return (sums[self.width :] - sums[:n]) * self.up[:n]
 
 
 def cells(keys: np.ndarray, row: int, bits: int) -> np.ndarray:
     """The cell of each key in a row of 2**bits counters."""
     with np.errstate(over="ignore"):
-        k = keys[:, row].copy()
-        k ^= k >> np.uint64(31)
+        k = keys ^ (keys >> np.uint64(31))
         k *= MIXERS[row]
         k ^= k >> np.uint64(29)
         k *= FACTOR
@@ -104,7 +110,9 @@ def unpacked(data: bytes) -> np.ndarray:
 def sketch(keys: np.ndarray, bits: int, shard_bits: int) -> Iterator[tuple[int, bytes, bytes]]:
     """The sketch of a part: shard, cells that are hit, and for each whether more than once."""
     for row in range(ROWS):
-        cell, count = np.unique(cells(keys, row, bits), return_counts=True)
+        every = np.sort(cells(keys, row, bits))
+        starts = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+        cell, count = every[starts], np.diff(starts, append=len(every))
         shard = (cell >> np.uint64(shard_bits)).astype(np.int64)
         within = (cell & np.uint64((1 << shard_bits) - 1)).astype(np.int64)
         first = np.flatnonzero(np.diff(shard, prepend=-1))
@@ -145,16 +153,23 @@ def covered(n_words: int, starts: np.ndarray, width: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def _passed(**columns) -> pd.DataFrame:
-    """Rows of ``PASSED``; what is not given is null."""
-    n = max(len(c) for c in columns.values() if not isinstance(c, int))
-    whole = {"part": "Int64", "ord": "Int32", "shard": "Int64"}
-    out = {}
-    for name in (c.split()[0] for c in PASSED.split(", ")):
-        given = columns.get(name, [None] * n)
-        given = [given] * n if isinstance(given, int) else list(given)
-        out[name] = pd.Series(given, dtype=whole.get(name, object))
-    return pd.DataFrame(out)
+class _Member:
+    """Whether numbers are in a sorted set; a small table of bits answers for most that are not."""
+
+    def __init__(self, members: np.ndarray):
+        self.members = members
+        self.mask = np.int64((1 << max(10, (8 * len(members)).bit_length())) - 1)
+        self.hint = np.zeros(int(self.mask) + 1, bool)
+        self.hint[members & self.mask] = True
+
+    def __call__(self, numbers: np.ndarray) -> np.ndarray:
+        """Places of those that are."""
+        if not len(self.members):
+            return np.empty(0, np.int64)
+        near = np.flatnonzero(self.hint[numbers & self.mask])
+        found = numbers[near]
+        place = np.minimum(np.searchsorted(self.members, found), len(self.members) - 1)
+        return near[self.members[place] == found]
 
 
 def repeated_windows(docs: DataFrame, *, width: int = 35, part_bytes: int = 4_000_000, shard_bits: int = 24) -> DataFrame:
@@ -173,70 +188,80 @@ def repeated_windows(docs: DataFrame, *, width: int = 35, part_bytes: int = 4_00
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(shard_bits, int(size * CELLS_PER_BYTE).bit_length())
-
-    def first_pass(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        windows, part, filled, order = Windows(width), TaskContext.get().partitionId() << 32, 0, 0
-        keys: list[np.ndarray] = []
-
-        def close() -> Iterator[pd.DataFrame]:
-            rows = list(sketch(np.concatenate(keys), bits, shard_bits)) if keys else []
-            if rows:
-                shard, cell, twice = zip(*rows)
-                yield _passed(part=part, shard=shard, cells=cell, twice=twice)
+    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = max(shard_bits, int(n_bytes * CELLS_PER_BYTE).bit_length())
 
+    def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, filled, order = TaskContext.get().partitionId() << 32, 0, 0
         for batch in batches:
             at = []
-            for text in batch["text"]:
-                length = len(text or "")
+            for length in batch["text"].str.len().fillna(0):
                 if filled and filled + length > part_bytes:
-                    yield from close()
-                    keys, part, filled, order = [], part + 1, 0, 0
+                    part, filled, order = part + 1, 0, 0
                 at.append((part, order))
-                keys.append(windows.keys(_words(text)))
                 filled, order = filled + length, order + 1
-            if at:
-                yield _passed(part=[p for p, _ in at], ord=[o for _, o in at], doc_id=batch["doc_id"], text=batch["text"])
+            yield whole_columns(batch).assign(part=[p for p, _ in at], ord=[o for _, o in at])
+
+    # The texts by part, in a table bucketed by it, so that the second pass finds them where
+    # they are.  Ids go through pandas as text, which keeps nulls and large numbers apart.
+    rows = docs.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(dealt, TEXTS)
+    name = f"tidewater_texts_{uuid.uuid4().hex}"
+    (
+        rows.write.option("path", shared_dir(spark, "texts")).option("compression", "zstd")
+        .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "part").sortBy("part", "ord").saveAsTable(name)
+    )
+    texts = spark.table(name)
+
+    def sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        windows, part, held = Windows(width), None, []
+
+        def close() -> Iterator[pd.DataFrame]:
+            keys = np.concatenate(held) if held else []
+            if len(keys):
+                shard, cell, twice = zip(*sketch(keys, bits, shard_bits))
+                yield pd.DataFrame({"part": part, "shard": shard, "cells": cell, "twice": twice})
+
+        for batch in batches:
+            for at, text in zip(batch["part"].tolist(), batch["text"]):
+                # rows of a part stand together; where a part comes in pieces, so does its sketch
+                if at != part:
+                    yield from close()
+                    part, held = at, []
+                held.append(windows.keys(windows.numbers(_words(text))))
         yield from close()
 
-    # one pass writes the texts with their parts, and the sketches of the parts; ids go
-    # through pandas as text, which keeps nulls and large numbers apart
-    path = shared_dir(spark, "windows")
-    passed = docs.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(first_pass, PASSED)
-    passed = passed.withColumn("is_text", F.col("ord").isNotNull())
-    passed.write.option("compression", "zstd").partitionBy("is_text").parquet(path)
-    passed = spark.read.schema(passed.schema).parquet(path)
-    texts = passed.where("is_text").select("part", "ord", "doc_id", "text")
-    sketches = passed.where("not is_text").select("part", "shard", "cells", "twice")
+    sketches = texts.select("part", "text").mapInPandas(sketched, "part long, shard long, cells binary, twice binary")
     repeated = stored(sketches.groupBy("shard").applyInPandas(merger(shard_bits), "part long, shard long, cells binary"), "repeated")
 
-    def second_pass(key: tuple, docs: pd.DataFrame, hits: pd.DataFrame) -> pd.DataFrame:
+    def estimated(key: tuple, docs: pd.DataFrame, hits: pd.DataFrame) -> pd.DataFrame:
         windows, docs = Windows(width), docs.sort_values("ord")
-        full = [np.empty(0, np.int64)] * ROWS
+        full = []
         for row in range(ROWS):
-            mine = hits[hits["shard"] & 1 == row].sort_values("shard")
-            if len(mine):
-                full[row] = np.concatenate([unpacked(d) + ((int(s) >> 1) << shard_bits) for s, d in zip(mine["shard"], mine["cells"])])
+            mine = hits[hits["shard"] % 2 == row] if len(hits) else hits
+            near = [unpacked(d) + ((int(s) >> 1) << shard_bits) for s, d in zip(mine["shard"], mine["cells"])]
+            full.append(_Member(np.unique(np.concatenate(near)) if near else np.empty(0, np.int64)))
         starts, highs, lows = [], [], []
         for text in docs["text"]:
-            keys = windows.keys(_words(text)) if all(map(len, full)) else np.empty((0, 2), np.uint64)
-            near = np.arange(len(keys))
-            for row in range(ROWS):
-                cell = cells(keys[near], row, bits).astype(np.int64)
-                place = np.minimum(np.searchsorted(full[row], cell), max(0, len(full[row]) - 1))
-                near = near[full[row][place] == cell] if len(near) else near
+            if len(hits):
+                numbers = windows.numbers(_words(text))
+                keys = windows.keys(numbers)
+                near = np.arange(len(keys))
+                for row in range(ROWS):
+                    near = near[full[row](cells(keys[near], row, bits).astype(np.int64))]
+            else:
+                near = np.empty(0, np.int64)
             starts.append(near.astype(np.int32))
-            highs.append(keys[near, 0].view(np.int64))
-            lows.append(keys[near, 1].view(np.int64))
-        return docs[["part", "ord", "doc_id", "text"]].assign(starts=starts, high=highs, low=lows)
+            highs.append(keys[near].view(np.int64) if len(near) else near)
+            lows.append(windows.keys(numbers, 1)[near].view(np.int64) if len(near) else near)
+        return whole_columns(docs[["part", "ord", "doc_id", "text"]]).assign(starts=starts, high=highs, low=lows)
 
     found = texts.groupBy("part").cogroup(repeated.groupBy("part")).applyInPandas(
-        second_pass, "part long, ord int, doc_id string, text string, starts array<int>, high array<long>, low array<long>"
+        estimated, f"{TEXTS}, starts array<int>, high array<long>, low array<long>"
     )
     path = shared_dir(spark, "estimated")
     found.write.option("compression", "zstd").parquet(path)
     found = spark.read.schema(found.schema).parquet(path)
+    spark.sql(f"DROP TABLE {name}")
     # exact groups; a window that stands alone is known by the one place that it has
     each = found.where(F.size("starts") > 0).select("part", "ord", F.explode(F.arrays_zip("starts", "high", "low")).alias("w"))
     groups = each.groupBy("w.high", "w.low").agg(F.count("*").alias("times"), F.min(F.struct("part", "ord", "w.starts")).alias("at"))
