@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tidewater.llm.common import stored
+from tidewater.llm.common import stored, whole_columns
 
 #: Levels that a builder adds; it holds 2**SIDE leaves and as many nodes above them.
 SIDE = 12
@@ -118,18 +118,14 @@ def _builder(base: int):
             # the leaves of a tier above are in the log already
             if level > base or base == 0:
                 index = np.arange(first, first + len(hashes), dtype=np.int64)
-                made.append(
-                    pd.DataFrame(
-                        {"tree": tree, "n": n, "level": level, "index": index, "at": position(n, level, index), "hash": hashes, "is_root": level == top}
-                    )
-                )
+                made += zip([level] * len(hashes), index.tolist(), position(n, level, index).tolist(), hashes)
             if level == min(base + SIDE, top):
                 break
             hashes = [digest(*hashes[i : i + 2]) for i in range(0, len(hashes), 2)]
             level, first = level + 1, first >> 1
-        if not made:
-            return pd.DataFrame({c.split()[0]: [] for c in NODES.split(", ")})
-        return pd.concat(made).sort_values("at")
+        made.sort(key=lambda node: node[2])
+        nodes = pd.DataFrame(made, columns=["level", "index", "at", "hash"], dtype=object)
+        return nodes.assign(tree=tree, n=n, is_root=nodes["level"] == top)[[c.split()[0] for c in NODES.split(", ")]]
 
     return build
 
@@ -143,7 +139,7 @@ def write_log(leaves: DataFrame) -> Log:
         block = F.shiftright("index", SIDE)
         made = stored(current.withColumn("block", block).groupBy("tree", "block").applyInPandas(_builder(tier * SIDE), NODES), "nodes")
         nodes = made if nodes is None else nodes.unionAll(made)
-        current = made.where(F.col("level") == (tier + 1) * SIDE).select("tree", "n", "index", "hash")
+        current = made.where((F.col("level") == (tier + 1) * SIDE) & ~F.col("is_root")).select("tree", "n", "index", "hash")
     return Log(nodes, tiers)
 
 
@@ -169,7 +165,7 @@ def _reader(base: int, out: list[str]):
             found[there] = np.where(sibling[there] & 1, "R", "L").astype(object) + hashes[place]
             levels.append(found)
         own = np.stack(levels, axis=1).tolist() if levels else [[] for _ in index]
-        return children.assign(path=[p + above for p in own])[out]
+        return whole_columns(children).assign(path=[p + above for p in own])[out]
 
     return read
 
@@ -193,9 +189,11 @@ def paths(log: Log, leaves: DataFrame, above: DataFrame | None = None) -> DataFr
     for tier in reversed(range(log.tiers)):
         base = tier * SIDE
         if tier:
-            children = log.nodes.where(F.col("level") == base).select("tree", "n", "index", "hash")
+            children = log.nodes.where((F.col("level") == base) & ~F.col("is_root")).select("tree", "n", "index", "hash")
         else:
             children = leaves
+        # columns of their own, as both sides of the grouping may come from the log
+        children = children.select([F.col(c).alias(c) for c in children.columns])
         inner = log.nodes.where((F.col("level") > base) & (F.col("level") < base + SIDE))
         # a block's number is its root's at the level where the tier ends
         inner = inner.select("tree", F.expr(f"shiftright(index, {base + SIDE} - level)").alias("block"), "at", "hash", F.lit(None).cast("array<string>").alias("path"))
