@@ -177,6 +177,67 @@ def test_pages_keep_what_is_in_the_article(tree, page, text):
     assert html_text.main_text(page, tree) == text
 
 
+WORDS = ["word", *(f"w{i}" for i in range(1, 40))]
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 9, 10, 20, 29, 30, 31, 40])
+@pytest.mark.parametrize("marked", [True, False])
+def test_last_paragraphs_of_any_length(tree, n, marked):
+    """Whatever follows the article, its last paragraph stays."""
+    last = " ".join(WORDS[:n])
+    body = f"<p>{PARAGRAPH}</p><p>{last}</p>"
+    page = f"<article>{body}</article>" if marked else f"<div>{body}</div>"
+    page += "<nav><a href=/>Home</a> <a href=/news>All the news</a></nav><footer><a href=/x>Imprint</a></footer>"
+    assert html_text.main_text(page, tree) == f"{PARAGRAPH} {last}"
+    if marked:
+        alone = f"<article><p>{last}</p></article><div><a href=/a>One</a></div><div><a href=/b>Two</a></div>"
+        assert html_text.main_text(alone, tree) == last
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article><p>A</p><p><a href=x>A whole sentence that is a link</a></p><p>B</p></article>", "A A whole sentence that is a link B"),
+        ("<article><p>A</p><h2>Sources</h2><ul><li><a href=x>One book</a></li><li><a href=y>Two</a></li></ul></article>", "A Sources One book Two"),
+        ("<article><ol><li><a href=x>Only links</a></ol></article><nav><a href=/>Home</a></nav>", "Only links"),
+    ],
+)
+def test_linked_blocks_of_an_article_stay(tree, page, text):
+    assert html_text.main_text(page, tree) == text
+
+
+@pytest.mark.parametrize(
+    "start",
+    [
+        "div class='ad-slot'", "div class='banner-ad'", "div class=newsletter-signup", "ol class='comment-list'", "section id=comments-section",
+        "div class='sidebar-left'", "div role=alert", "div class='x related-posts'", "div class=share_buttons", "div class='sponsored'",
+        "section class=comments", "article class='comment-body'", "article class='related'",
+    ],
+)
+def test_what_stands_in_an_article_but_is_not_of_it(tree, start):
+    name = start.split()[0]
+    page = f"<article><p>{PARAGRAPH}</p><{start}><p>{PARAGRAPH} again</p></{name}><p>The end</p></article>"
+    assert html_text.main_text(page, tree) == f"{PARAGRAPH} The end"
+
+
+@pytest.mark.parametrize("page", [
+    "<article><p>Text</p></article><section class=comments><article><p>A reader wrote this</p></article></section>",
+    "<section class=comments><article><p>A reader wrote this</p></article></section><article><p>Text</p></article>",
+    "<article><p>Text</p></article><div class=widget><article><p>Teaser of another article</p></article></div>",
+    "<article><p>Text</p><section class='comment-list'><article class=comment><p>One</p><article><p>Answer</p></article></article></section></article>",
+    "<article><p>Text</p></article><article class='comment'><p>A reader wrote this</p></article>",
+])
+def test_comments_and_teasers_in_article_elements(tree, page):
+    assert html_text.main_text(page, tree) == "Text"
+
+
+def test_tree_knows_the_article():
+    def splits(node):
+        return [node.split[0], *splits(node.split[2]), *splits(node.split[3])] if node.split else []
+
+    assert html_text.FEATURES.index("main") in splits(html_text.trained())
+
+
 def test_awkward_pages(spark):
     from pyspark.sql import functions as F
 
