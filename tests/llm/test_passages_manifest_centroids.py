@@ -70,21 +70,34 @@ def test_windows_that_overlap_themselves_and_a_hot_passage(spark):
     assert got[0][1] == 35 and got[1][1] == 36 and got[5] == (42, 40, "own3 end3") and got[-1][1] == 0
 
 
-def test_keys_tell_order_and_place(spark):
-    windows = passages.Windows(3)
+def keys_of(windows, texts, which=0):
+    counts, hashes = windows.words(texts)
+    return windows.windows(counts, passages.mixed(hashes, 1) if which else hashes)
+
+
+def test_keys_tell_order_and_place():
+    keys = passages.Keys(3)
     for which in (0, 1):
-        a, b = (windows.keys(windows.numbers(t.split()), which) for t in (b"a b c a b c", b"c b a"))
-        assert a[0] == a[3] and len(set(a.tolist())) == 3 and b[0] not in a
-    long = windows.keys(windows.numbers([b"w%d" % (i % 50) for i in range(20_000)]))
-    assert long[0] == long[19_950] and len(set(long.tolist())) == 50
+        at, a = keys_of(keys, [b"a b c a b c", b"", b"x y", b" c\tb\x0b a\n", b"ab c d"], which)
+        assert at.tolist() == [0, 1, 2, 3, 8, 11] and a[0] == a[3] and len(set(a.tolist())) == 5
+    at, a = keys_of(keys, [b" ".join(b"w%d" % (i % 50) for i in range(20_000))])
+    assert a[0] == a[19_950] and len(set(a.tolist())) == 50
+
+
+def test_keys_of_slabs(monkeypatch):
+    """Texts that are hashed together, alone and in pieces have the same keys."""
+    rng = random.Random(1)
+    texts = [b" ".join(b"v%d" % rng.randrange(90) for _ in range(n)) for n in (5, 70, 300, 0, 1, 40)] + [b"x" * 300 + b" y", b" \n"]
+    whole = keys_of(passages.Keys(4), texts)
+    monkeypatch.setattr(passages, "SLAB", 64)
+    cut = keys_of(passages.Keys(4), texts)
+    assert all((x == y).all() for x, y in zip(whole, cut))
+    assert passages.Keys(4).words(texts)[0].tolist() == [len(t.split()) for t in texts]
 
 
-def test_forgotten_words_are_hashed_again(monkeypatch):
-    windows = passages.Windows(2)
-    first = windows.keys(windows.numbers(b"a b c".split()))
-    monkeypatch.setattr(passages, "REMEMBERED", 2)
-    windows.numbers(b"d e f".split())
-    assert len(windows.known) == 3 and (windows.keys(windows.numbers(b"a b c".split())) == first).all()
+def test_packed_numbers():
+    for values in ([], [0], [5, 6, 300], [0, 70_000], [1, 2**40, 2**40 + 1]):
+        assert passages.unpacked(passages.packed(np.array(values, np.int64))).tolist() == values
 
 
 def test_texts_are_not_shuffled(spark, monkeypatch):
@@ -98,10 +111,10 @@ def test_texts_are_not_shuffled(spark, monkeypatch):
     monkeypatch.setattr(PandasCogroupedOps, "applyInPandas", lambda *a: plans.append(made(*a)) or plans[-1])
     frame = spark.createDataFrame([(i, f"some text {i}") for i in range(30)], "doc_id long, text string")
     passages.repeated_windows(frame, width=2)
-    grouped = next(p for p in reversed(plans) if isinstance(p, DataFrame) and "starts" in p.columns)
-    plan = grouped._jdf.queryExecution().sparkPlan().toString()
-    assert "CoGroup" in plan
-    assert not any("Exchange" in line and "text#" in line for line in grouped._jdf.queryExecution().executedPlan().toString().splitlines())
+    for column in ("keys", "starts"):
+        grouped = next(p for p in plans if isinstance(p, DataFrame) and column in p.columns)
+        plan = grouped._jdf.queryExecution().executedPlan().toString()
+        assert "CoGroup" in plan and "Bucketed: true" in plan
 
 
 def test_passages_on_awkward_tables(spark, clashing, no_documents):
