@@ -149,6 +149,21 @@ def q_cdc_apply_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _change_rows(table.snapshot().withColumn(OP, F.lit(UPSERT)))
 
 
+def q_cdc_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All changes, shuffled into batches: late changes and late removals change nothing."""
+    place = F.concat(F.unix_micros(F.col("ts").cast("timestamp")), F.lpad(F.col("event_id").cast("string"), 12, "0"))
+    path = shared_dir(spark, "cdc_out_of_order")
+    rows = decode_changes(src.change_records(spark, sf_dir, place), src.EVENT_SCHEMA, sequence=True)
+    rows = _staged(rows, path)
+    table = KeyedTable.create(spark, f"{path}/users", src.EVENT_SCHEMA, "user_id", "user_id", ordered=True)
+    batches = 4
+    for index in range(batches):
+        table.upsert(rows.where(F.pmod(F.xxhash64("event_id"), F.lit(batches)) == index))
+        if index == 1:
+            maintenance.compact(table)
+    return _change_rows(table.snapshot().withColumn(OP, F.lit(UPSERT)))
+
+
 def q_raw_land_and_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "raw_land_and_scan")
     rows = decode_changes(src.change_records(spark, sf_dir), src.EVENT_SCHEMA)

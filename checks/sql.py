@@ -227,6 +227,11 @@ WHERE rn = 1 AND event_type <> 'error'""",
 SELECT {CHANGE_COLUMNS} FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
   FROM events) AS ranked
+WHERE rn = 1 AND event_type <> 'error'""",
+        "cdc_out_of_order": f"""
+SELECT {CHANGE_COLUMNS} FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events) AS ranked
 WHERE rn = 1 AND event_type <> 'error'""",
         "raw_land_and_scan": f"SELECT {CHANGE_COLUMNS} FROM events",
         "stream_land": f"SELECT {CHANGE_COLUMNS} FROM events",

@@ -1,0 +1,118 @@
+"""Tables that keep the order of changes across commits."""
+
+import itertools
+import random
+
+import pytest
+from pyspark.sql import types as T
+
+from tests.conftest import plan, rows
+from tidewater.operators import maintenance
+from tidewater.operators.keyed_table import KeyedTable
+
+SCHEMA = T.StructType().add("k", "string").add("state", "string").add("v", "integer")
+CHANGES = "k string, state string, v int, _op string, _seq string"
+
+
+@pytest.fixture
+def make(spark, folder):
+    def build(name="t", **options):
+        return KeyedTable.create(spark, f"{folder}/{name}", SCHEMA, "k", "k", ordered=True, **options)
+
+    return build
+
+
+def batch(spark, *changes):
+    return spark.createDataFrame([(k, "CA", v, op, seq) for k, v, op, seq in changes], CHANGES)
+
+
+def state(table):
+    return {r.k: r.v for r in table.snapshot().collect()}
+
+
+@pytest.mark.parametrize("options", [{}, {"partition_fields": "state"}, {"buckets": 3}])
+@pytest.mark.parametrize("compacted", [False, True])
+def test_a_late_change_does_not_win(spark, make, options, compacted):
+    t = make(**options)
+    t.upsert(batch(spark, ("a", 1, "U", "200"), ("b", 1, "D", "200"), ("c", 1, "U", "9")))
+    if compacted:
+        maintenance.compact(t)
+    # a is older than stored, b was deleted later, c is newer though its text sorts first, d is new
+    t.upsert(batch(spark, ("a", 2, "U", "100"), ("b", 2, "U", "0100"), ("c", 2, "U", "10"), ("d", 2, "U", None)))
+    assert state(t) == {"a": 1, "c": 2, "d": 2}
+    if compacted:
+        maintenance.compact(t)
+    # a late delete, a late insert after a delete, and one that comes after it
+    t.upsert(batch(spark, ("a", 3, "D", "150"), ("c", 3, "D", "11"), ("b", 3, "U", "201")))
+    assert state(t) == {"a": 1, "b": 3, "d": 2}
+
+
+def test_only_stale_changes_write_nothing(spark, make):
+    t = make()
+    t.upsert(batch(spark, ("a", 1, "U", "5")))
+    assert t.upsert(batch(spark, ("a", 0, "U", "4"))) is None and t.commits() == [1]
+    # the same change again, and another with its number: the later commit counts
+    t.upsert(batch(spark, ("a", 7, "U", "5")))
+    assert state(t) == {"a": 7}
+
+
+def test_every_order_of_batches_gives_one_state(spark, make):
+    rng = random.Random(4)
+    changes = [(rng.choice("abcd"), i, rng.choice("UUD"), str(i)) for i in range(24)]
+    last = {}
+    for k, v, op, _ in changes:
+        last[k] = v if op == "U" else None
+    expected = {k: v for k, v in last.items() if v is not None}
+    for n, order in enumerate(itertools.permutations(range(3))):
+        t = make(f"t{n}")
+        for i in order:
+            t.upsert(batch(spark, *changes[i::3]))
+            if n % 2:
+                maintenance.compact(t)
+        assert state(t) == expected
+
+
+def test_rows_without_a_number_come_after_what_is_stored(spark, make):
+    t = make()
+    t.upsert(batch(spark, ("a", 1, "U", "50"), ("b", 1, "U", "50")))
+    assert t.delete("k", "a") == 2
+    t.upsert(spark.createDataFrame([("b", "CA", 2)], SCHEMA))
+    assert state(t) == {"b": 2}
+    t.upsert(batch(spark, ("a", 3, "U", "49"), ("b", 3, "U", "49")))
+    assert state(t) == {"b": 2}
+    t.upsert(batch(spark, ("a", 4, "U", "51"), ("b", 4, "U", "51")))
+    assert state(t) == {"a": 4, "b": 4}
+
+
+def test_other_reads_of_an_ordered_table(spark, make, folder):
+    t = make(partition_fields="state")
+    t.upsert(batch(spark, ("a", 1, "U", "1"), ("b", 1, "U", "2")))
+    maintenance.create_savepoint(t, "first")
+    t.upsert(batch(spark, ("a", 2, "U", "0"), ("b", 2, "D", "3"), ("c", 2, "U", "1")))
+    assert t.snapshot().columns == SCHEMA.fieldNames()
+    # a stale change is in no increment
+    assert rows(t.incremental(1).select("k", "v")) == [("c", 2)]
+    assert rows(t.incremental(1, deletes=True).select("k", "_op")) == [("b", "D"), ("c", "U")]
+    assert rows(t.before_images(1).select("k", "v")) == [("b", 1)]
+    assert rows(t.snapshot(1).select("k")) == [("a",), ("b",)]
+    maintenance.cluster(t, "v")
+    assert rows(t.snapshot(with_commit=True).select("k", "v", "_commit")) == [("a", 1, 1), ("c", 2, 2)]
+    name = maintenance.register(t, "ordered_lake", "t", f"{folder}/lake")
+    assert rows(spark.sql(f"SELECT k, v FROM {name}")) == [("a", 1), ("c", 2)]
+    assert KeyedTable(spark, t.path).ordered
+
+
+def test_definition_tells_ordered_tables_apart(spark, make, folder):
+    make()
+    with pytest.raises(ValueError, match="another definition"):
+        KeyedTable.create(spark, f"{folder}/t", SCHEMA, "k", "k")
+
+
+def test_order_is_looked_up_in_key_columns_only(spark, make):
+    t = make()
+    t.upsert(batch(spark, *(("a", i, "U", str(i)) for i in range(300)), ("b", 0, "U", "1")))
+    maintenance.compact(t)
+    known = t._not_overtaken(batch(spark, ("a", 1, "U", "7")))
+    scans = [line for line in plan(known).splitlines() if "FileScan" in line]
+    assert scans and all("ReadSchema: struct<k:string,_seq:string>" in line for line in scans)
+    assert known.count() == 0 and state(t) == {"a": 299, "b": 0}

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tidewater import paths
 from tidewater.functions.cleaning import split_names
-from tidewater.operators.latest import latest_per_key, newest_first
+from tidewater.operators.latest import latest_per_key, newest_first, place
 from tidewater.session import no_rows
 from tidewater.sources.change_records import DELETE, OP, SEQ, UPSERT
 
@@ -70,6 +70,7 @@ class KeyedTable:
         self.max_records_per_file = int(spec["max_records_per_file"])
         self.buckets = int(spec.get("buckets", 0))
         self.bucket_by = tuple(spec.get("bucket_by", ()))
+        self.ordered = bool(spec.get("ordered", False))
 
     @classmethod
     def create(
@@ -86,6 +87,7 @@ class KeyedTable:
         max_records_per_file: int = 0,
         buckets: int = 0,
         bucket_by: str | Sequence[str] = (),
+        ordered: bool = False,
         evolve: bool = False,
     ) -> KeyedTable:
         """Make an empty table, or open it if it is there already.
@@ -98,6 +100,10 @@ class KeyedTable:
         columns of its record key (all of them by default).  A key stays in its bucket, so
         reads leave alone the buckets that a change can't be in.
 
+        ``ordered`` keeps the ``_seq`` of every row and of every deleted key, and a change
+        that comes after a later one of its key, in whatever batch, is left out.  Deleted keys
+        stay in storage for that, in bases too.
+
         A table that is there must have this definition.  With ``evolve`` it takes over
         nullable columns added at the end of the schema, which are null in rows stored
         before, and another clustering, codec or file length for later writes.
@@ -120,6 +126,8 @@ class KeyedTable:
                 raise ValueError(f"buckets are 1 to {MOST_BUCKETS}, on a table without partition fields")
             if set(spec["bucket_by"]) - set(spec["record_key"]):
                 raise ValueError("a table is bucketed by columns of its record key")
+        if ordered:
+            spec |= {"ordered": True}
         names = set(schema.fieldNames())
         roles = ("record_key", "precombine", "partition_fields", "cluster_columns")
         unknown = [c for role in roles for c in spec[role] if c not in names]
@@ -240,7 +248,7 @@ class KeyedTable:
         return T.StructType([*self.schema.fields, *(T.StructField(n, t) for n, t in extra)])
 
     def log_scan(self, commits: Sequence[int]) -> DataFrame:
-        """Files of the named commits, with ``_op``, ``_commit`` and a bucket."""
+        """Files of the named commits, with ``_op``, ``_commit``, a bucket and ``_seq``."""
         stored = self._with((OP, T.StringType()), (COMMIT, T.LongType()), *self._hidden())
         if not commits:
             return no_rows(self.spark, stored)
@@ -248,10 +256,15 @@ class KeyedTable:
         return reader.parquet(*[self.commit_path(c) for c in commits])
 
     def _hidden(self) -> list[tuple[str, T.DataType]]:
-        return [(BUCKET, T.IntegerType())] if self.buckets else []
+        bucket = [(BUCKET, T.IntegerType())] if self.buckets else []
+        return bucket + ([(SEQ, T.StringType())] if self.ordered else [])
+
+    @property
+    def _order(self) -> list[str]:
+        return [SEQ] if self.ordered else []
 
     def read_log(self, commits: Sequence[int], buckets: set[int] | None = None) -> DataFrame:
-        return _within(self.log_scan(commits), buckets).select(*self.columns, OP, COMMIT)
+        return _within(self.log_scan(commits), buckets).select(*self.columns, *self._order, OP, COMMIT)
 
     def _latest(self, commits: Sequence[int], buckets: set[int] | None = None) -> DataFrame:
         rows = self.read_log(commits, buckets)
@@ -261,11 +274,12 @@ class KeyedTable:
 
     def _read_base(self, base: Base, buckets: set[int] | None = None, but: set[int] | None = None) -> DataFrame:
         """Rows of a base: of all buckets or the named ones, less those of ``but``."""
-        reader = self.spark.read.schema(self._with((COMMIT, T.LongType()), *self._hidden()))
+        marks = [(OP, T.StringType())] if self.ordered else []
+        reader = self.spark.read.schema(self._with((COMMIT, T.LongType()), *self._hidden(), *marks))
         rows = _within(reader.parquet(base.path), buckets)
         if but is not None:
             rows = rows.where(~F.col(BUCKET).isin(sorted(but)))
-        return rows.select(*self.columns, COMMIT)
+        return rows.select(*self.columns, *self._order, *(name for name, _ in marks), COMMIT)
 
     def _match(self, rows: DataFrame, others: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
         """Semi or anti join on key columns; a null partition value matches itself."""
@@ -290,17 +304,25 @@ class KeyedTable:
         A larger log of a partition-scoped table is joined to the partitions it
         touches, one of a bucketed table to the buckets it touches; the others pass by.
         """
+        rows = self.state(as_of, buckets)
+        if self.ordered:
+            rows = rows.where(F.col(OP) == UPSERT).drop(OP, SEQ)
+        return rows if with_commit else rows.drop(COMMIT)
+
+    def state(self, as_of: int | None = None, buckets: set[int] | None = None) -> DataFrame:
+        """What a base holds: rows with ``_commit``, of an ordered table also deleted keys,
+        with ``_op`` and ``_seq``."""
         if as_of is not None:
             self.check_readable(as_of)
         base, log = self.files_at(as_of)
-        fresh = self._latest(log, buckets).where(F.col(OP) == UPSERT).drop(OP)
+        fresh = self._latest(log, buckets)
+        if not self.ordered:
+            fresh = fresh.where(F.col(OP) == UPSERT).drop(OP)
         if base is None:
-            rows = fresh
-        elif not log:
-            rows = self._read_base(base, buckets)
-        else:
-            rows = self._untouched(base, log, buckets).unionByName(fresh)
-        return rows if with_commit else rows.drop(COMMIT)
+            return fresh
+        if not log:
+            return self._read_base(base, buckets)
+        return self._untouched(base, log, buckets).unionByName(fresh)
 
     def _untouched(self, base: Base, log: Sequence[int], buckets: set[int] | None) -> DataFrame:
         """Base rows whose key is not in the log."""
@@ -364,6 +386,7 @@ class KeyedTable:
             rows = self._latest(self.commits_between(begin, end))
         if not deletes:
             rows = rows.where(F.col(OP) == UPSERT).drop(OP)
+        rows = rows.drop(SEQ) if self.ordered else rows
         return rows if with_commit else rows.drop(COMMIT)
 
     def commits_between(self, begin: int, end: int | None = None) -> list[int]:
@@ -389,19 +412,20 @@ class KeyedTable:
 
         The batch is reduced to the newest row per key first, unless the caller
         knows that keys are ``unique``.  A row may carry ``_op`` = ``D`` to delete
-        its key, and ``_seq`` to say in which order changes of a key happened.  ``source`` names a stream and its batch, which is then written
-        once however often it is replayed.  Returns the commit, or None if nothing
-        came.
+        its key, and ``_seq`` to say in which order changes of a key happened: within
+        the batch, and in an ordered table against all batches before.  ``source`` names
+        a stream and its batch, which is then written once however often it is replayed.
+        Returns the commit, or None if nothing came.
         """
         rows = df if OP in df.columns else df.withColumn(OP, F.lit(UPSERT))
-        ordered = [F.col(SEQ).cast("string")] if SEQ in df.columns and not unique else []
+        seq = F.col(SEQ).cast("string") if SEQ in df.columns else F.lit(None).cast("string")
+        carried = [seq.alias(SEQ)] if self.ordered or (SEQ in df.columns and not unique) else []
         rows = rows.select(
-            *[self._typed(f).alias(f.name) for f in self.schema], F.col(OP).cast("string"), *ordered
+            *[self._typed(f).alias(f.name) for f in self.schema], F.col(OP).cast("string"), *carried
         )
         if not unique:
-            rows = latest_per_key(
-                rows, self.key, newest_first(rows, self.key, self.precombine)
-            ).drop(SEQ)
+            rows = latest_per_key(rows, self.key, newest_first(rows, self.key, self.precombine))
+        rows = self._not_overtaken(rows) if self.ordered else rows.drop(SEQ)
         if source is None:
             return self._append(rows, self._next_commit())
         commit = self._reserve(*source)
@@ -411,6 +435,25 @@ class KeyedTable:
         self._note_source(*source, commit, done=True)
         return written
 
+    def _not_overtaken(self, rows: DataFrame) -> DataFrame:
+        """Rows of a batch, one for each key, less those that a stored change of the key goes
+        before.  A row without a sequence number comes right after what is stored.
+
+        Of the table only key columns and ``_seq`` are read, and only rows of keys in the
+        batch are shuffled while Catalyst can broadcast the batch's keys.
+        """
+        buckets = self.buckets_of(rows)
+        known = self._match(self.state(buckets=buckets), rows, self.key, "left_semi")
+        known = known.select(*[F.col(c).alias(f"_at_{c}") for c in self.key], F.col(SEQ).alias("_known"), F.lit(True).alias("_there"))
+        same = [
+            F.col(c).eqNullSafe(F.col(f"_at_{c}")) if c in self.partition_fields else F.col(c) == F.col(f"_at_{c}")
+            for c in self.key
+        ]
+        both = rows.join(known, functools.reduce(Column.__and__, same), "left")
+        late = place(F.col(SEQ)) < place(F.col("_known"))
+        seq = F.coalesce(F.col(SEQ), F.col("_known"))
+        return both.where(~F.coalesce(late, F.lit(False))).select(*self.columns, OP, seq.alias(SEQ))
+
     def _typed(self, field: T.StructField) -> Column:
         value = F.col(field.name).cast(field.dataType)
         if field.name in self.partition_fields and isinstance(field.dataType, T.StringType):

@@ -19,6 +19,12 @@ def orderable(dtype: T.DataType) -> bool:
 OP, SEQ, DELETE = "_op", "_seq", "D"
 
 
+def place(seq: Column) -> Column:
+    """What sequence numbers of digits order by, null for null."""
+    digits = F.ltrim(seq, F.lit("0"))
+    return F.when(seq.isNotNull(), F.struct(F.length(digits).alias("n"), digits.alias("digits")))
+
+
 def newest_first(df: DataFrame, keys: Sequence[str], precombine: Sequence[str]) -> list[Column]:
     """Precombine columns descending, then every other column as a tie-break.
 
@@ -30,8 +36,7 @@ def newest_first(df: DataFrame, keys: Sequence[str], precombine: Sequence[str])
     rest = [f.name for f in df.schema if f.name not in used and orderable(f.dataType)]
     order = []
     if SEQ in df.columns:
-        digits = F.ltrim(F.col(SEQ), F.lit("0"))
-        order += [F.desc_nulls_last(F.length(digits)), F.desc_nulls_last(digits)]
+        order.append(F.desc_nulls_last(place(F.col(SEQ))))
     if OP in df.columns:
         gone = F.coalesce(F.col(OP) == DELETE, F.lit(False))
         for c in precombine:

@@ -34,7 +34,7 @@ def compact(
     base, log = table.files_at(None)
     if not log or len(log) < min_commits:
         return None
-    rows = table.snapshot(with_commit=True)
+    rows = table.state()
     parts = table.usage(log, base)
     stored, files = sum(p.bytes for p in parts), sum(p.files for p in parts)
     tasks = math.ceil(stored / max_file_bytes)
@@ -61,7 +61,7 @@ def cluster(
         *(split_names(columns) or table.cluster_columns),
         *table.key,
     )
-    rows = table.with_layout(table.snapshot(with_commit=True))
+    rows = table.with_layout(table.state())
     files = math.ceil(stored / target_file_bytes)
     return _shown(table, table.write_base(_in_files(rows, files, order), upto))
 
@@ -204,6 +204,9 @@ def _show(table: KeyedTable, full: str, entry: dict, base: Base) -> None:
     fields = ", ".join(f"`{c}`" for c in table.layout)
     if table.buckets:
         columns += f", `{BUCKET}` int"
+    live = ""
+    if table.ordered:
+        columns, live = columns + f", `{OP}` string", f" WHERE `{OP}` = '{UPSERT}'"
     partitioned = f" PARTITIONED BY ({fields})" if fields else ""
     version = _version(new)
     spark.sql(
@@ -213,7 +216,7 @@ def _show(table: KeyedTable, full: str, entry: dict, base: Base) -> None:
     if fields:
         spark.catalog.recoverPartitions(version)
     names = ", ".join(f"`{c}`" for c in table.columns)
-    spark.sql(f"CREATE OR REPLACE VIEW {full} AS SELECT {names} FROM {version}")
+    spark.sql(f"CREATE OR REPLACE VIEW {full} AS SELECT {names} FROM {version}{live}")
     paths.write_json(
         spark, f"{table.path}/registered.json", {**table.registered(), full: new}
     )
