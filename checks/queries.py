@@ -21,12 +21,14 @@ from tidewater.plans import earnings as earn, gold, silver
 from tidewater.session import shared_dir
 from tidewater.sources import order_rides as src
 from tidewater.sources.calendar import date_dim
+from tidewater.sources.change_outcomes import REASON, read_accounts, read_landed, read_set_aside
 from tidewater.sources.change_records import (
     OP, UPSERT, decode_changes, encode_changes, landed_schema,
 )
 from tidewater.sources.raw_files import land_raw, read_raw
 from tidewater.streaming.ingest import ingest_stream, new_files
-from tidewater.streaming.landing import change_stream, land_changes
+from tidewater.sources.whole_images import discover_schema, typed
+from tidewater.streaming.landing import change_stream, land_accounted, land_changes, land_images
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -164,6 +166,62 @@ def q_cdc_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _change_rows(table.snapshot().withColumn(OP, F.lit(UPSERT)))
 
 
+def _with_broken_lines(lines: DataFrame) -> DataFrame:
+    """Change lines (value, event_id), of 16 each one of seven kinds that can't be landed."""
+    kind = F.pmod("event_id", F.lit(16))
+    broken = (
+        F.when(kind == 0, F.concat(F.lit("{"), "value"))
+        .when(kind == 1, F.regexp_replace("value", '"eventName":"[^"]*"', '"eventName":"TRUNCATE"'))
+        .when(kind == 2, F.concat(F.lit('{"eventName":"INSERT","dynamodb":"'), F.col("event_id").cast("string"), F.lit('"}')))
+        .when(kind == 3, F.lit('{"eventName":"INSERT","dynamodb":{"NewImage":[1]}}'))
+        .when(kind == 4, F.lit('{"eventName":"INSERT","dynamodb":{"NewImage":{"user_id":{"NULL":true}}}}'))
+        .when(kind == 5, F.lit('{"eventName":"MODIFY","dynamodb":{}}'))
+        .when(kind == 6, F.lit('{"dynamodb":{"NewImage":{"user_id":{"N":"1"}}}}'))
+    )
+    return lines.select(F.coalesce(broken, "value").alias("value"))
+
+
+def q_cdc_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines by what became of them: counted while landing, and read back from storage."""
+    path = shared_dir(spark, "cdc_outcomes")
+    rows = src.events(spark, sf_dir)
+    lines = encode_changes(rows, src.EVENT_SCHEMA, src.event_name(), keys=("user_id",), kept=("event_id",))
+    _with_broken_lines(lines).repartition(4).write.text(f"{path}/changes")
+    for _ in range(2):
+        land_accounted(
+            change_stream(spark, f"{path}/changes", max_files=2), src.EVENT_SCHEMA, ["user_id"],
+            f"{path}/raw", f"{path}/accounts", f"{path}/state",
+        ).awaitTermination()
+    counted = read_accounts(spark, f"{path}/accounts").groupBy("outcome", "reason").agg(F.sum("lines").alias("lines"))
+    landed = read_landed(spark, f"{path}/raw", src.EVENT_SCHEMA).agg(
+        F.lit("landed").alias(REASON), F.count("*").alias("stored"), F.sum("event_id").alias("ids")
+    )
+    aside = read_set_aside(spark, f"{path}/raw").groupBy(REASON).agg(F.count("*").alias("stored"), F.lit(0).cast("long").alias("ids"))
+    stored = landed.unionByName(aside).withColumnRenamed(REASON, "reason")
+    return counted.join(stored, "reason")
+
+
+def q_cdc_new_attribute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes that bring more attributes half way, landed whole, under the schema they have."""
+    path = shared_dir(spark, "cdc_new_attribute")
+    rows = src.events(spark, sf_dir).select(
+        "*", F.struct(F.upper("event_type").alias("name"), (F.col("value") * 2).alias("weight")).alias("channel"),
+        F.array("event_type", F.lit("x")).alias("tags"),
+    )
+    for index in range(2):
+        part = between(rows, "ts", EVENT_CUTS[:1], index)
+        schema = rows.schema if index else src.EVENT_SCHEMA
+        encode_changes(part, schema, src.event_name(), keys=("user_id",)).write.mode("append").text(f"{path}/changes")
+        land_images(change_stream(spark, f"{path}/changes"), f"{path}/raw", f"{path}/state").awaitTermination()
+    images = spark.read.parquet(f"{path}/raw").select("image", OP)
+    found = typed(images, discover_schema(images))
+    return found.select(
+        F.col("event_id").cast("long"), "event_type", "value", F.col("props.k").cast("long").alias("k"),
+        F.col("channel.name").alias("channel"), F.col("channel.weight").alias("weight"),
+        F.array_join("tags", ",").alias("tags"), F.col(OP).alias("op"),
+    )
+
+
 def q_raw_land_and_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "raw_land_and_scan")
     rows = decode_changes(src.change_records(spark, sf_dir), src.EVENT_SCHEMA)

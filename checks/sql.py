@@ -233,6 +233,20 @@ SELECT {CHANGE_COLUMNS} FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
   FROM events) AS ranked
 WHERE rn = 1 AND event_type <> 'error'""",
+        "cdc_outcomes": """
+SELECT CASE WHEN reason = 'landed' THEN 'landed' WHEN reason IN ('other_event', 'no_image') THEN 'ignored' ELSE 'quarantined' END AS outcome,
+       reason, COUNT(*) AS lines, COUNT(*) AS stored,
+       CAST(SUM(CASE WHEN reason = 'landed' THEN event_id ELSE 0 END) AS BIGINT) AS ids
+FROM (SELECT event_id, CASE event_id % 16 WHEN 0 THEN 'malformed' WHEN 1 THEN 'other_event' WHEN 2 THEN 'malformed'
+        WHEN 3 THEN 'malformed' WHEN 4 THEN 'no_key' WHEN 5 THEN 'no_image' WHEN 6 THEN 'no_event' ELSE 'landed' END AS reason
+      FROM events) AS lines GROUP BY reason""",
+        "cdc_new_attribute": """
+SELECT event_id, event_type, value, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+       CASE WHEN ts >= TIMESTAMP '2024-01-11' THEN UPPER(event_type) END AS channel,
+       CASE WHEN ts >= TIMESTAMP '2024-01-11' THEN value * 2 END AS weight,
+       CASE WHEN ts >= TIMESTAMP '2024-01-11' THEN event_type || ',x' END AS tags,
+       CASE WHEN event_type = 'error' THEN 'D' ELSE 'U' END AS op
+FROM events""",
         "raw_land_and_scan": f"SELECT {CHANGE_COLUMNS} FROM events",
         "stream_land": f"SELECT {CHANGE_COLUMNS} FROM events",
         "stream_ingest": _stored_rides(),

@@ -39,12 +39,12 @@ def to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """
     have = set(df.columns)
     typed = [
-        F.col(f.name).try_cast(f.dataType).alias(f.name)
+        F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
         if f.name in have
         else F.lit(None).cast(f.dataType).alias(f.name)
         for f in schema
     ]
-    extra = [F.col(c) for c in df.columns if c not in set(schema.fieldNames())]
+    extra = [F.col(f"`{c}`") for c in df.columns if c not in set(schema.fieldNames())]
     return df.select(*typed, *extra)
 
 
@@ -60,12 +60,17 @@ def _leaves(schema: T.StructType, path: tuple[str, ...] = ()) -> list[tuple[str,
 
 
 def flatten(df: DataFrame, sep: str = "_") -> DataFrame:
-    """One top-level column per struct leaf, named by its path."""
+    """One top-level column per struct leaf, named by its path.
+
+    Two leaves of one name are an error: take another separator.
+    """
+    leaves = _leaves(df.schema)
+    names = [sep.join(path) for path in leaves]
+    twice = sorted({name for name in names if names.count(name) > 1})
+    if twice:
+        raise ValueError(f"several columns would be named {twice}")
     return df.select(
-        [
-            F.col(".".join(f"`{part}`" for part in path)).alias(sep.join(path))
-            for path in _leaves(df.schema)
-        ]
+        [F.col(".".join(f"`{part}`" for part in path)).alias(name) for path, name in zip(leaves, names)]
     )
 
 
@@ -80,9 +85,19 @@ def surrogate_key(*columns: str | Column) -> Column:
 
 
 def sql_transform(df: DataFrame, query: str, view: str = "temp") -> DataFrame:
-    """Run user SQL over the rows, which the query sees as view ``temp``."""
+    """Run user SQL over the rows, which the query sees as view ``temp``.
+
+    A view of that name that the caller has is there again afterwards.
+    """
+    spark = df.sparkSession
+    known = spark.catalog.tableExists(view) and spark.catalog.getTable(view).isTemporary
+    own = spark.table(view) if known else None
     df.createOrReplaceTempView(view)
-    return df.sparkSession.sql(query)
+    try:
+        # resolved here, so the result doesn't look at the view again
+        return spark.sql(query)
+    finally:
+        spark.catalog.dropTempView(view) if own is None else own.createOrReplaceTempView(view)
 
 
 def split_names(names: str | Sequence[str]) -> tuple[str, ...]:

@@ -30,6 +30,34 @@ def record_type(schema: T.StructType) -> T.StructType:
     )
 
 
+def parse_changes(df: DataFrame, schema: T.StructType, value: str, mode: str, corrupt: str | None = None) -> DataFrame:
+    """``df`` with its JSON text parsed once, as ``_record``.
+
+    ``corrupt`` names a field of the record that holds the text where it doesn't fit.
+    """
+    wanted, options = record_type(schema), {"mode": mode}
+    if corrupt:
+        wanted = T.StructType([*wanted.fields, T.StructField(corrupt, T.StringType())])
+        options["columnNameOfCorruptRecord"] = corrupt
+    record = F.from_json(F.col(value), wanted, options)
+    # as a generator the parse runs once per row; as a plain column Catalyst would
+    # copy it into every expression and filter that looks at it
+    return df.select("*", F.explode(F.array(record)).alias("_record"))
+
+
+def picked_image(event: Column, deletes: str) -> tuple[Column, Column]:
+    """The image of ``_record`` that an event asks for, and its operation."""
+    if deletes not in ("tombstone", "as_rows"):
+        raise ValueError(f"unknown deletes option: {deletes}")
+    removed = event == "remove"
+    old: Column = F.col("_record.dynamodb.OldImage")
+    if deletes == "tombstone":
+        old = F.coalesce(old, F.col("_record.dynamodb.Keys"))
+    image = F.when(event.isin("insert", "modify"), F.col("_record.dynamodb.NewImage")).when(removed, old)
+    op = F.when(removed, DELETE).otherwise(UPSERT) if deletes == "tombstone" else F.lit(UPSERT)
+    return image, op
+
+
 def decode_changes(
     df: DataFrame,
     schema: T.StructType,
@@ -49,24 +77,12 @@ def decode_changes(
     ``deletes="as_rows"`` re-emits the removed row as a live one.
     ``sequence`` adds ``_seq``, the record's place in its stream as digits; an upsert
     of several changes of one key goes by it before anything else.
-    ``mode="PERMISSIVE"`` lets broken JSON fall out; see :func:`malformed_changes`.
+    ``mode="PERMISSIVE"`` lets broken JSON fall out; ``sort_out`` keeps it and tells why.
     """
-    if deletes not in ("tombstone", "as_rows"):
-        raise ValueError(f"unknown deletes option: {deletes}")
     kept = [F.col(c) for c in df.columns if c != value]
-    record = F.from_json(F.col(value), record_type(schema), {"mode": mode})
-    # as a generator the parse runs once per row; as a plain column Catalyst would
-    # copy it into every expression and filter that looks at it
-    parsed = df.select(*kept, F.explode(F.array(record)).alias("_record"))
     event = F.lower(F.trim(F.col("_record.eventName")))
-    removed = event == "remove"
-    old: Column = F.col("_record.dynamodb.OldImage")
-    if deletes == "tombstone":
-        old = F.coalesce(old, F.col("_record.dynamodb.Keys"))
-    image = F.when(event.isin("insert", "modify"), F.col("_record.dynamodb.NewImage")).when(
-        removed, old
-    )
-    op = F.when(removed, DELETE).otherwise(UPSERT) if deletes == "tombstone" else F.lit(UPSERT)
+    image, op = picked_image(event, deletes)
+    parsed = parse_changes(df, schema, value, mode).drop(value)
     more = [F.col("_record.dynamodb.SequenceNumber").alias(SEQ)] if sequence else []
     picked = parsed.select(*kept, image.alias("_image"), op.alias(OP), *more)
     return picked.where(F.col("_image").isNotNull()).select(
@@ -88,8 +104,9 @@ def encode_changes(
     keys: tuple[str, ...] = (),
     old_image: bool = True,
     sequence: Column | None = None,
+    kept: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Rows as change-record JSON in a ``value`` column; other columns are dropped.
+    """Rows as change-record JSON in a ``value`` column; other columns but ``kept`` are dropped.
 
     A REMOVE carries its old image, or only ``keys`` when ``old_image`` is off.
     ``sequence`` gives the record's place in its stream, as digits.
@@ -105,4 +122,4 @@ def encode_changes(
     if sequence is not None:
         parts.append(sequence.cast("string").alias("SequenceNumber"))
     record = F.struct(event_name.alias("eventName"), F.struct(*parts).alias("dynamodb"))
-    return df.select(F.to_json(record).alias("value"))
+    return df.select(*kept, F.to_json(record).alias("value"))

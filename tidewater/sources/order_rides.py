@@ -112,12 +112,16 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events").withColumn("props", props)
 
 
+def event_name() -> Column:
+    """What kind of change an event is: signups insert, errors remove, the rest modify."""
+    kind = F.col("event_type")
+    return F.when(kind == "signup", "INSERT").when(kind == "error", " remove ").otherwise("Modify")
+
+
 def change_records(
     spark: SparkSession, sf_dir: str, sequence: Column | None = None
 ) -> DataFrame:
-    """Events as change-record JSON: signups insert, errors remove, the rest modify."""
-    kind = F.col("event_type")
-    name = F.when(kind == "signup", "INSERT").when(kind == "error", " remove ").otherwise("Modify")
+    """Events as change-record JSON."""
     return encode_changes(
-        events(spark, sf_dir), EVENT_SCHEMA, name, keys=("user_id",), sequence=sequence
+        events(spark, sf_dir), EVENT_SCHEMA, event_name(), keys=("user_id",), sequence=sequence
     )
