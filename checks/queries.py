@@ -18,6 +18,7 @@ from tidewater.operators.checkpoint import Checkpoint, next_increment
 from tidewater.operators.keyed_table import KeyedTable
 from tidewater.operators.latest import latest_per_key
 from tidewater.plans import earnings as earn, gold, silver
+from tidewater.plans.gold_sums import GoldSums
 from tidewater.session import shared_dir
 from tidewater.sources import order_rides as src
 from tidewater.sources.calendar import date_dim
@@ -499,8 +500,9 @@ def incremental_earnings(
     mode: str,
     cuts: Sequence[str],
     all_tips: DataFrame | None = None,
+    after: Callable[[int, KeyedTable, KeyedTable], None] | None = None,
 ) -> KeyedTable:
-    """Rides and tips in increments, the fact refreshed after each."""
+    """Rides and tips in increments, the fact refreshed after each, then ``after`` called."""
     path = shared_dir(spark, name)
     rides = KeyedTable.create(spark, f"{path}/rides", src.RIDE_SCHEMA, "ride_id", "ride_date")
     tips = KeyedTable.create(
@@ -514,6 +516,8 @@ def incremental_earnings(
         rides.upsert(between(all_rides, "ride_date", cuts, index))
         tips.upsert(between(all_tips, "tipped_on", cuts, index))
         earn.refresh_earnings(rides, tips, fact, calendar(spark), checkpoint, mode)
+        if after:
+            after(index, rides, fact)
     return fact
 
 
@@ -570,6 +574,31 @@ def q_gold_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _one_line_each(spark)
 
 
+def q_gold_by_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four views over sums that four refreshes of the fact have changed.
+
+    Old rides of low priority are removed half way, late tips change prices.
+    """
+    sums = GoldSums(spark, shared_dir(spark, "gold_by_differences"))
+    old = src.rides(spark, sf_dir).where((F.col("pick_up_state") == "5-LOW") & (F.col("ride_date") < CUTS[0]))
+
+    def after(index: int, rides: KeyedTable, fact: KeyedTable) -> None:
+        sums.refresh(fact, rides, calendar(spark))
+        if index == 1:
+            rides.delete_keys(old.select("ride_id"))
+
+    incremental_earnings(spark, sf_dir, "gold_by_differences", "complete", CUTS, after=after)
+    drivers = src.drivers(spark, sf_dir)
+    frames = (sums.driver_month_year(drivers), sums.driver_year(drivers), sums.tips_by_driver(drivers), sums.rides_month_year())
+    columns = ("driver_id", "driver_name", "year", "month")
+    out = []
+    for name, frame in zip(gold.VIEWS, frames):
+        keys = [(F.col(c) if c in frame.columns else F.lit(None)).cast("string").alias(c) for c in columns]
+        total = next(c for c in frame.columns if c not in columns)
+        out.append(frame.select(F.lit(name).alias("view_name"), *keys, F.col(total).cast("double").alias("total")))
+    return out[0].unionAll(out[1]).unionAll(out[2]).unionAll(out[3])
+
+
 def _one_line_each(spark: SparkSession, prefix: str = "") -> DataFrame:
     measures = ("total_earnings", "total_earnings", "total_tips", "ride_count")
     return spark.sql(" UNION ALL ".join(

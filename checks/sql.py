@@ -174,6 +174,16 @@ UNION ALL SELECT 'gold_driver_earning_year', COUNT(*),
 UNION ALL SELECT 'gold_driver_who_made_most_money_on_tips', COUNT(*),
        CAST(SUM(CAST(total_tips AS DECIMAL(18,2))) AS DOUBLE) FROM g3
 UNION ALL SELECT 'gold_rides_month_year', COUNT(*), CAST(SUM(ride_count) AS DOUBLE) FROM g4"""
+    # without the old rides of low priority
+    fewer = _with(
+        RIDES.replace("rides AS", "all_rides AS", 1),
+        """
+rides AS (
+  SELECT * FROM all_rides
+  WHERE NOT (pick_up_state = '5-LOW' AND ride_date < DATE '1998-01-01')
+)""",
+        TIPS, _facts("last_tip"), DRIVERS,
+    )
     ride_slices = """CASE WHEN ride_date >= DATE '2000-01-01' THEN 3
                           WHEN ride_date >= DATE '1998-01-01' THEN 2 ELSE 1 END"""
     return {
@@ -314,16 +324,12 @@ GROUP BY c""",
         "gold_rides_month_year": _with(RIDES) + GOLD_RIDES,
         "gold_views": views,
         "gold_catalog_views": views,
-        "pipeline_cdc_to_gold": (
-            _with(
-                RIDES.replace("rides AS", "all_rides AS", 1),
-                """
-rides AS (
-  SELECT * FROM all_rides
-  WHERE NOT (pick_up_state = '5-LOW' AND ride_date < DATE '1998-01-01')
-)""",
-                TIPS, _facts("last_tip"), DRIVERS,
-            )
-            + GOLD_MONTH
-        ),
+        "pipeline_cdc_to_gold": fewer + GOLD_MONTH,
+        "gold_by_differences": fewer + f""",
+g1 AS ({GOLD_MONTH}), g2 AS ({GOLD_YEAR}), g3 AS ({GOLD_TIPS}), g4 AS ({GOLD_RIDES})
+SELECT view_name, driver_id, driver_name, CAST(year AS VARCHAR) AS year, CAST(month AS VARCHAR) AS month, total FROM (
+SELECT 'gold_driver_earning_month_year' AS view_name, driver_id, driver_name, year, month, total_earnings AS total FROM g1
+UNION ALL SELECT 'gold_driver_earning_year', NULL, driver_name, year, NULL, total_earnings FROM g2
+UNION ALL SELECT 'gold_driver_who_made_most_money_on_tips', driver_id, driver_name, NULL, NULL, total_tips FROM g3
+UNION ALL SELECT 'gold_rides_month_year', NULL, NULL, year, month, CAST(ride_count AS DOUBLE) FROM g4)""",
     }

@@ -1,0 +1,169 @@
+"""Sums kept by differences against sums over the whole table."""
+
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from tests.conftest import plan, rows
+from tidewater.operators import maintenance
+from tidewater.operators.keyed_table import HistoryLost, KeyedTable
+from tidewater.operators.rollup import Rollup
+from tidewater.plans import gold
+from tidewater.plans.earnings import create_fact
+from tidewater.plans.gold_sums import GoldSums
+from tidewater.schemas import DRIVER_EARNINGS
+from tidewater.sources.calendar import date_dim
+
+DDL = "k string, who string, v decimal(18,2), _op string"
+
+
+@pytest.fixture
+def make(spark, folder):
+    def build(name="source", **options):
+        schema = T.StructType.fromDDL("k string, who string, v decimal(18,2)")
+        source = KeyedTable.create(spark, f"{folder}/{name}", schema, "k", "k", **options)
+        return source, open_sums(spark, f"{folder}/{name}_sums")
+
+    return build
+
+
+def open_sums(spark, path):
+    return Rollup(spark, path, T.StructType.fromDDL("who string"), {"v": T.DecimalType(38, 2), "n": T.LongType()})
+
+
+def shape(rows):
+    return rows.select("who", "v", F.lit(1).alias("n"))
+
+
+def batch(spark, *changes):
+    return spark.createDataFrame([(k, who, None if v is None else Decimal(v), op) for k, who, v, op in changes], DDL)
+
+
+def whole(source):
+    return rows(shape(source.snapshot()).groupBy("who").agg(F.sum("v").alias("v"), F.sum("n").alias("n")))
+
+
+def test_sums_follow_updates_moves_and_deletes(spark, make):
+    source, sums = make()
+    steps = [
+        [("a", "x", 1, "U"), ("b", "x", 2, "U"), ("c", "y", 4, "U"), ("d", None, 8, "U"), ("e", "", None, "U")],
+        [("a", "x", 10, "U"), ("b", "y", 2, "U")],           # a new price, a new group
+        [("c", "y", 4, "D"), ("b", "y", 2, "D")],            # the group goes
+        [("a", "x", None, "U"), ("e", "", 0, "U")],          # null only, and null no longer
+        [("f", "x", 3, "U"), ("f", "x", 3, "D")],            # came and went: nothing of it
+        [("c", "y", 5, "U")],                                # and is there again
+    ]
+    for step in steps:
+        source.upsert(batch(spark, *step))
+        assert sums.refresh(source, shape) is not None
+        assert rows(sums.rows()) == whole(source) and sums.upto() == source.last_commit()
+        assert sums.refresh(source, shape) is None
+
+
+def test_random_changes_compaction_and_skipped_commits(spark, make):
+    rng = random.Random(8)
+    source, sums = make()
+    for step in range(6):
+        changes = {f"k{rng.randrange(12)}": None for _ in range(6)}
+        source.upsert(batch(spark, *((k, rng.choice("xyz"), rng.randrange(100), rng.choice("UUD")) for k in changes)))
+        if step in (2, 4):
+            maintenance.compact(source)
+            maintenance.compact(sums.table)
+        if step != 3:
+            sums.refresh(source, shape)
+            assert rows(sums.rows()) == whole(source)
+
+
+def test_broken_off_refresh_counts_once(spark, make, monkeypatch, folder):
+    """Before the write, and after it."""
+    source, sums = make()
+    source.upsert(batch(spark, ("a", "x", 1, "U")))
+    sums.refresh(source, shape)
+    source.upsert(batch(spark, ("a", "x", 5, "U"), ("b", "x", 7, "U")))
+    upsert = sums.table.upsert
+
+    def crash(*args, **kwargs):
+        raise OSError("lost driver")
+
+    def write_and_crash(*args, **kwargs):
+        upsert(*args, **kwargs)
+        crash()
+
+    for broken in (crash, write_and_crash):
+        with monkeypatch.context() as patch:
+            patch.setattr(sums.table, "upsert", broken)
+            with pytest.raises(OSError):
+                sums.refresh(source, shape)
+    again = open_sums(spark, f"{folder}/source_sums")
+    assert again.refresh(source, shape) is None and rows(again.rows()) == whole(source) == [("x", Decimal(12), 2)]
+
+
+def test_rebuild_and_lost_history(spark, make):
+    source, sums = make()
+    source.upsert(batch(spark, ("a", "x", 1, "U"), ("b", "y", 1, "U")))
+    sums.refresh(source, shape)
+    source.upsert(batch(spark, ("b", "y", 1, "D"), ("c", "z", 3, "U")))
+    maintenance.compact(source)
+    source.upsert(batch(spark, ("a", "x", 2, "U")))
+    maintenance.compact(source)
+    maintenance.vacuum(source, keep=1)
+    with pytest.raises(HistoryLost):
+        sums.refresh(source, shape)
+    sums.refresh(source, shape, rebuild=True)
+    assert rows(sums.rows()) == whole(source) == [("x", Decimal(2), 1), ("z", Decimal(3), 1)]
+
+
+def test_empty_source(spark, make):
+    source, sums = make()
+    assert sums.refresh(source, shape) is None and sums.upto() is None and sums.rows().collect() == []
+    source.upsert(batch(spark, ("a", "x", 1, "U"), ("a", "x", 1, "D")))
+    sums.refresh(source, shape)
+    assert sums.rows().collect() == [] and sums.upto() == 1
+
+
+def test_refresh_leaves_the_rest_of_the_fact_alone(spark, make):
+    """Of a bucketed source only the buckets of changed keys are scanned."""
+    source, sums = make(buckets=16)
+    source.upsert(batch(spark, *((f"k{i}", f"d{i % 7}", i, "U") for i in range(400))))
+    maintenance.compact(source)
+    sums.refresh(source, shape)
+    source.upsert(batch(spark, ("k3", "d1", 1000, "U"), ("k5", "d2", 0, "D")))
+    change = sums.differences(source, shape, 1, 2)
+    # scans of the base read no operation
+    scans = [line for line in plan(change).splitlines() if "FileScan" in line and "_op#" not in line]
+    touched = source._buckets_in([2])
+    wanted = ",".join(map(str, sorted(touched)))
+    assert scans and len(touched) <= 2
+    assert all(f"IN ({wanted})" in line or len(touched) == 1 and f"= {wanted})" in line for line in scans)
+    assert rows(change.select("who")) == [("d1",), ("d2",), ("d3",), ("d5",)]
+    sums.refresh(source, shape)
+    assert rows(sums.rows()) == whole(source)
+    # a commit of the sums holds the changed groups and the marker only
+    assert sums.table.read_log([2]).count() == 5
+
+
+def test_gold_sums_equal_the_views(spark, folder):
+    fact = create_fact(spark, f"{folder}/fact")
+    rides = KeyedTable.create(spark, f"{folder}/rides", T.StructType.fromDDL("ride_id string, ride_date date"), "ride_id", "ride_id")
+    drivers = spark.createDataFrame([("d0", "Ann"), ("d1", "Ann"), ("d2", "Bo")], "driver_id string, name string")
+    sums, dim = GoldSums(spark, f"{folder}/sums"), date_dim(spark)
+    for step in range(3):
+        priced = [(f"d{i % 4}", f"r{i}", None if i == 5 else Decimal(i), Decimal(step), None if i == 5 else Decimal(i + step), 20240101 + 100 * (i % 5))
+                  for i in range(step * 4, 12 + step * 4)]
+        fact.upsert(spark.createDataFrame(priced, DRIVER_EARNINGS))
+        rides.upsert(spark.sql(f"SELECT 'r' || id AS ride_id, if(id = 3, null, date'2024-01-31' + INTERVAL '7' DAY * id) AS ride_date FROM range({12 + step * 4})"))
+        if step == 2:
+            fact.delete("driver_id", "d2")
+            rides.delete("ride_id", "r1")
+        sums.refresh(fact, rides, dim)
+        pairs = [
+            (sums.driver_month_year(drivers), gold.driver_month_year(fact.snapshot(), dim, drivers)),
+            (sums.driver_year(drivers), gold.driver_year(fact.snapshot(), dim, drivers)),
+            (sums.tips_by_driver(drivers), gold.tips_by_driver(fact.snapshot(), drivers)),
+            (sums.top_tipped_drivers(drivers, 2), gold.top_tipped_drivers(fact.snapshot(), drivers, 2)),
+            (sums.rides_month_year(), gold.rides_month_year(rides.snapshot())),
+        ]
+        for ours, theirs in pairs:
+            assert ours.columns == theirs.columns and [tuple(r) for r in ours.collect()] == [tuple(r) for r in theirs.collect()]
