@@ -30,7 +30,7 @@ def test_query_with_sql(spark, name):
 
 def test_every_query_is_registered():
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in contract.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in contract.queries()
 
 
 @pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
@@ -41,7 +41,7 @@ def test_stage_on_awkward_tables(spark, clashing, labelled, name, stage):
         assert out.columns == clashing.columns
     assert stage(spark, clashing.limit(0), labelled).collect() == []
     if name == "MinHash near-dedup":
-        # 1, 2 and 2 again are one document; rows without an id stay
+        # 1, 2 and 2 again are one document; rows without an id are documents each
         assert Counter(r.doc_id for r in rows) == {None: 2} | {i: 1 for i in (1, 3, 4, 5, 6, 7, 8)}
     if name == "PII":
         assert len(rows) == len(awkward_rows()) and any(r.text and "[EMAIL]" in r.text for r in rows)
@@ -53,7 +53,29 @@ def test_different_texts_of_a_repeated_id(spark):
     rows = [(3, a, 1), (5, a, 1), (5, b, 2), (5, b, 1), (9, b, 1), (7, c, 1), (7, d, 1), (None, a, 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
     left = [tuple(r) for r in corpus_pipeline.dedup_stage(spark, docs, SF).collect()]
-    assert Counter(left) == Counter([(3, a, 1), (5, b, 1), (7, c, 1), (7, d, 1), (None, a, 1)])
+    assert Counter(left) == Counter([(3, a, 1), (5, b, 1), (7, c, 1), (7, d, 1)])
+
+
+def test_copies_without_an_id(spark):
+    """One of a group stays, the one that has an id if there is any."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(None, a, 1), (None, a, 2), (None, a + " more", 3), (None, b, 4), (8, b, 5), (None, c, 6), (None, None, 7), (None, None, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    left = [tuple(r) for r in corpus_pipeline.dedup_stage(spark, docs, SF).collect()]
+    assert len(left) == 5 and (8, b, 5) in left and (None, c, 6) in left
+    assert sum(r[2] in (1, 2, 3) for r in left) == 1 and sum(r[1] is None for r in left) == 2
+
+
+def test_mix_of_rows_without_ids(spark):
+    """The words that come out are those of the targets, with and without ids."""
+    from tidewater.llm import mixing
+
+    for ids in (range(130), [None] * 130, [7] * 130):
+        rows = [(i, f"{n} " * 10, "a" if n < 100 else "b") for n, i in enumerate(ids)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        target = {r.source: r.target for r in mixing.served(docs).select("source", "target").distinct().collect()}
+        taken = Counter(r.source for r in corpus_pipeline.mixing_stage(spark, docs, SF).collect())
+        assert all(abs(10 * taken[s] - target[s]) <= 10 for s in target)
 
 
 def test_stages_against_brute_force(spark):

@@ -98,6 +98,39 @@ def test_top_k(spark, table, monkeypatch, shard_rows, block):
             assert own == brute(ids, whole, q, 10, lambda a, b: a @ b)
 
 
+def test_repeated_query_rows(spark):
+    """Equal rows are asked once, different ones of an id each, and every rank holds another row."""
+    rows = [(i, [float(i % 7), 1.0, float(i % 5)], 0) for i in range(60)] + [(50, [1.0, 1.0, 0.0], 0)] * 2 + [(50, [0.0, 1.0, 4.0], 1)]
+    frame = spark.createDataFrame(rows, VECTORS)
+    asked = frame.where("vec_id = 50")
+    different = asked.select("embedding").distinct().count()
+    for found in (ann.neighbours(frame, asked, k=5), topk.top_k(topk.scaled(frame), topk.scaled(asked), k=5)):
+        ranks = [r["rank"] for r in found.collect()]
+        assert sorted(ranks) == sorted([1, 2, 3, 4, 5] * different) and different > 1
+    once = frame.where("vec_id = 3")
+    twice = once.unionAll(once)
+    for search, shape in ((ann.neighbours, lambda df: df), (topk.top_k, topk.scaled)):
+        assert sorted(search(shape(frame), shape(twice)).collect()) == sorted(search(shape(frame), shape(once)).collect())
+
+
+def test_large_components(spark):
+    """Sums past what double precision holds are exact; past 64 bits the search is refused."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(-(2**29), 2**29, (40, 6))
+    x[7] = x[3]
+    x[7, 0] += 1
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, components array<long>")
+    found = topk.top_k(frame, frame.where("vec_id < 4"), k=6).collect()
+    for q in range(4):
+        score = {i: sum(int(a) * int(b) for a, b in zip(x[i], x[q])) for i in range(40) if i != q}
+        best = sorted(score, key=lambda i: (-score[i], i))[:6]
+        assert [(r.vec_id, r.score) for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == q] == [(i, score[i]) for i in best]
+    for size in (2.0**40, 1e300):
+        huge = topk.scaled(spark.createDataFrame([(1, [size]), (2, [size])], "vec_id long, embedding array<double>"))
+        with pytest.raises(ValueError, match="64 bits"):
+            topk.top_k(huge, huge)
+
+
 def test_lists_with_ties():
     rng = np.random.default_rng(2)
     x = rng.integers(-2, 3, (700, 6)).astype(float)

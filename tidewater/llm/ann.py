@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidewater.llm.common import parts, stored
-from tidewater.llm.vectors import FOUND, best, finite, matrix, nearest_first
+from tidewater.llm.vectors import FOUND, answers, best, finite, matrix, nearest_first
 
 #: Rows of a leaf in one task, queries in one block, rows that the upper tree is cut from,
 #: boxes that a query is held against at a time.
@@ -151,7 +151,8 @@ def neighbours(
     own id.  Score: cosine in double precision; ties go to the smaller id.  Vectors that are
     null, empty, zero or hold null or non-finite components, and rows with a null id, take
     no part; shorter vectors count as filled up with zeros.  With at most ``k`` candidates
-    all are returned.  Rows that repeat an id are candidates each.
+    all are returned.  Rows that repeat an id are candidates each.  Equal query rows are
+    asked once; rows of one id with different vectors each get their neighbours.
     """
     spark = vectors.sparkSession
     as_double = F.transform("embedding", lambda x: x.cast("double")).alias("embedding")
@@ -194,7 +195,7 @@ def neighbours(
     sample = project(vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS), Splits(np.empty((0, directions)), 1)).select("low").toPandas()
     splits = Splits(np.vstack(sample["low"].to_numpy()), parts(rows, SHARD_ROWS))
     index = stored(project(vectors, splits), "projected")
-    asked = stored(project(queries, splits), "asked")
+    asked = stored(project(queries.distinct(), splits).withColumn("ask", F.monotonically_increasing_id()), "asked")
     sides = [f(F.col("low")[i]).alias(f"{n}{i}") for n, f in (("lo", F.min), ("hi", F.max)) for i in range(directions)]
     leaves = index.groupBy("leaf").agg(F.count("*").alias("n"), *sides)
     leaves = stored(
@@ -207,17 +208,17 @@ def neighbours(
     point = chi_square_point(confidence, directions)
 
     def searched(routes: DataFrame) -> DataFrame:
-        """routes: vec_id, unit, low, bound, leaf, shards"""
+        """routes: ask, vec_id, unit, low, bound, leaf, shards; the query_id found is the ask"""
         sizes = routes.groupBy("leaf").agg(F.count("*").alias("m")).select("leaf", F.ceil(F.col("m") / BLOCK_QUERIES).cast("int").alias("blocks"))
         ask = (
             routes.join(sizes, "leaf")
             .withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
-            .select("leaf", "shard", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int").alias("block"), F.lit(True).alias("asks"), "vec_id", "unit", "low", "bound")
+            .select("leaf", "shard", F.pmod(F.xxhash64("ask"), "blocks").cast("int").alias("block"), F.lit(True).alias("asks"), "ask", "vec_id", "unit", "low", "bound")
         )
         have = (
             index.join(leaves.select("leaf", "shards"), "leaf").join(sizes, "leaf")
             .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("leaf", F.pmod(F.xxhash64("vec_id", F.lit(1)), "shards").cast("int").alias("shard"), "block", F.lit(False).alias("asks"), "vec_id", "unit", "low", F.lit(4.0).alias("bound"))
+            .select("leaf", F.pmod(F.xxhash64("vec_id", F.lit(1)), "shards").cast("int").alias("shard"), "block", F.lit(False).alias("asks"), F.lit(0).cast("long").alias("ask"), "vec_id", "unit", "low", F.lit(4.0).alias("bound"))
         )
 
         def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -226,9 +227,10 @@ def neighbours(
             found = []
             if len(mine) and len(theirs):
                 tree = Tree(np.vstack(theirs["low"].to_numpy()), np.vstack(theirs["unit"].to_numpy()), theirs["vec_id"].to_numpy(np.int64))
-                for q, unit, low, bound in zip(mine["vec_id"].tolist(), mine["unit"], mine["low"], mine["bound"].tolist()):
-                    ids, scores = tree.search(low, unit, q, k, bound, point)
-                    found += [(q, int(i), float(s)) for i, s in zip(ids, scores)]
+                rows = zip(mine["ask"].tolist(), mine["vec_id"].tolist(), mine["unit"], mine["low"], mine["bound"].tolist())
+                for ask, own, unit, low, bound in rows:
+                    ids, scores = tree.search(low, unit, own, k, bound, point)
+                    found += [(ask, int(i), float(s)) for i, s in zip(ids, scores)]
             return pd.DataFrame(found, columns=FOUND.names).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
         return ask.unionAll(have).groupBy("leaf", "shard", "block").applyInPandas(run, FOUND)
@@ -238,8 +240,8 @@ def neighbours(
     bounds = nearest_first(home.distinct(), k).groupBy("query_id").agg(
         F.when(F.count("*") == k, F.greatest(F.lit(0.0), 2 - 2 * F.min("score")) + 1e-12).otherwise(everything).alias("bound")
     )
-    known = asked.join(bounds.withColumnRenamed("query_id", "vec_id"), "vec_id", "left").select(
-        "vec_id", "unit", "low", F.coalesce("bound", everything).alias("bound"), F.col("leaf").alias("home")
+    known = asked.join(bounds.withColumnRenamed("query_id", "ask"), "ask", "left").select(
+        "ask", "vec_id", "unit", "low", F.coalesce("bound", everything).alias("bound"), F.col("leaf").alias("home")
     )
     outside = "aggregate(zip_with(low, zip_with(lo, hi, (a, b) -> struct(a, b)), (x, s) -> greatest(0D, s.a - x, x - s.b)), 0D, (t, d) -> t + d * d)"
     # each query is held against the boxes in blocks; there is one box for SHARD_ROWS rows of the index
@@ -249,5 +251,5 @@ def neighbours(
         known.withColumn("box", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(box_blocks - 1).cast("long")))).join(boxes, "box")
         .where((F.col("leaf") != F.col("home")) & (F.expr(outside) <= F.lit(point) * F.col("bound")))
     )
-    away = searched(open_leaves.select("vec_id", "unit", "low", "bound", "leaf", "shards"))
-    return nearest_first(home.unionAll(away), k)
+    away = searched(open_leaves.select("ask", "vec_id", "unit", "low", "bound", "leaf", "shards"))
+    return answers(nearest_first(home.unionAll(away), k), asked)

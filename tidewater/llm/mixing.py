@@ -2,8 +2,9 @@
 
 Each document of the shuffled source gets a virtual finish time: the words its source has
 sent up to and including it, divided by the target of the source.  Sources are served side
-by side in that order; the mix ends at the total budget, which is where every source has
-sent its target, at virtual time 1.  A source whose target exceeds its size starts again,
+by side in that order.  A source's words are served one after the other, at a rate of its
+target, and none runs dry before time 1, so the total budget is used up at virtual time 1,
+where every source has sent its target: the mix ends there.  A source whose target exceeds its size starts again,
 up to ``most`` times in all.  The document that the end falls into counts with the words
 before it.
 
@@ -49,9 +50,9 @@ def targets(sizes: DataFrame, most: int = 3) -> DataFrame:
     return filled.select("source", "source_size", "weight", target.alias("target"))
 
 
-def served(docs: DataFrame, *, seed: int = 11, most: int = 3) -> DataFrame:
+def served(docs: DataFrame, *, seed: int = 11, most: int = 3, kept: tuple[str, ...] = ()) -> DataFrame:
     """Per row of ``docs`` (doc_id, source, text): ``doc_id, source, size, source_size,
-    target, first_finish, whole, taken``.
+    target, first_finish, whole, taken`` and the columns ``kept``.
 
     ``first_finish``: virtual finish time of the first copy; ``whole``: whole copies that
     the mix takes; ``taken``: words it takes, those of the document at the end included.
@@ -60,8 +61,12 @@ def served(docs: DataFrame, *, seed: int = 11, most: int = 3) -> DataFrame:
     """
     sizes = stored(
         docs.select(
-            F.col("doc_id").cast("long"), F.col("source").cast("string"), n_words("text").alias("size"),
-        ).withColumn("draw", F.xxhash64(F.lit(seed), "doc_id", "source")),
+            F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+            n_words("text").alias("size"),
+            # by the text as well, so that rows without an id are spread like others
+            F.xxhash64(F.lit(seed), F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text")).alias("draw"),
+            *kept,
+        ),
         "sizes",
     )
     goals = stored(targets(sizes, most), "targets")
@@ -96,7 +101,7 @@ def served(docs: DataFrame, *, seed: int = 11, most: int = 3) -> DataFrame:
     return queue.select(
         "doc_id", "source", "size", "source_size", "target",
         F.try_divide(F.col("sent").cast("double"), "target").alias("first_finish"),
-        whole.cast("int").alias("whole"), taken.cast("long").alias("taken"),
+        whole.cast("int").alias("whole"), taken.cast("long").alias("taken"), *kept,
     )
 
 
@@ -110,27 +115,16 @@ def mix(docs: DataFrame, *, seed: int = 11, most: int = 3) -> DataFrame:
 
     Documents that the end falls into stay whole if at least half is taken.  Order: virtual
     finish time, by a range sort over all rows.  Columns are those of ``docs``.  Rows
-    without words are in no mix; an empty table gives an empty mix; rows that repeat an id
-    (null included) with the same source and size are told apart only by number.
+    without words are in no mix; an empty table gives an empty mix; each row that repeats an
+    id (null included) is taken as often as its own words are.
     """
-    plan = served(docs, seed=seed, most=most)
-    times = plan.where("size > 0").select(
-        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"),
-        "source_size", "target", "first_finish",
-        F.round(F.col("taken") / F.col("size")).cast("int").alias("copies"),
-    ).where("copies > 0")
-    # equal ids of one source and size take what is the mean of them
-    times = times.groupBy("__id", "__source", "__size").agg(
-        F.min("first_finish").alias("__finish"), F.round(F.avg("copies")).cast("int").alias("__copies"),
-        F.first("source_size").alias("__total"), F.first("target").alias("__target"),
-    )
     names = docs.columns
-    keyed = docs.withColumn("__words", n_words("text"))
-    match = (
-        F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
-        & F.col("source").cast("string").eqNullSafe(F.col("__source"))
-        & (F.col("__words") == F.col("__size"))
-    )
-    copies = keyed.join(times, match).withColumn("__copy", F.explode(F.sequence(F.lit(0), F.col("__copies") - 1)))
-    finish = F.col("__finish") + F.col("__copy") * F.col("__total") / F.col("__target")
-    return copies.withColumn("__finish", finish).orderBy("__finish", "doc_id", "__copy").select(*names)
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "mixed_rows")
+    plan = served(rows, seed=seed, most=most, kept=("__row",)).where("size > 0")
+    times = plan.select(
+        "__row", F.col("first_finish").alias("__finish"), F.round(F.col("taken") / F.col("size")).cast("int").alias("__copies"),
+        F.try_divide(F.col("source_size").cast("double"), "target").alias("__round"),
+    ).where("__copies > 0")
+    copies = rows.join(times, "__row").withColumn("__copy", F.explode(F.sequence(F.lit(0), F.col("__copies") - 1)))
+    finish = F.col("__finish") + F.col("__copy") * F.col("__round")
+    return copies.withColumn("__finish", finish).orderBy("__finish", "__row", "__copy").select(*names)

@@ -5,7 +5,8 @@ all lists in parallel from the end that favours it, a stretch at a time.  A row'
 bound is what has been read of it plus the least that the unread lists can add, its upper
 bound the same with the most.  Reading stops once no unread row can reach the k-th lower
 bound; the few rows whose upper bound does are then resolved to final scores.  All
-arithmetic is on integers, so bounds and scores are exact.
+arithmetic is on integers that double precision holds exactly.  Where components are so
+large that sums may not be held, all rows are resolved, in integers of 64 bits.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from tidewater.llm.common import parts, stored
-from tidewater.llm.vectors import FOUND, best, finite, matrix, nearest_first
+from tidewater.llm.vectors import FOUND, answers, best, finite, matrix, nearest_first
 
 #: Rows and queries that one task gets.
 SHARD_ROWS, BLOCK_QUERIES = 10_000, 500
@@ -38,6 +39,7 @@ class Lists:
         np.put_along_axis(self.place, self.order, np.arange(len(x), dtype=np.int32)[None, :], axis=1)
 
     def top(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the ``k`` best rows but those of id ``own``."""
         n = len(self.ids)
         used = np.flatnonzero(query)
         weight = query[used]
@@ -72,14 +74,23 @@ class Lists:
         return self.ids[alive][keep], scores[keep]
 
 
+def top_of_all(x: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """As ``Lists.top`` with 64-bit integers, every row resolved."""
+    others = np.flatnonzero(ids != own)
+    scores = x[others] @ query
+    keep = best(scores, ids[others], k)
+    return ids[others][keep], scores[keep]
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = 10) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` rows with the largest inner product.
 
     vectors, queries: ``vec_id, components`` (array of long).  A row is no result of the
     query with its own id; ties go to the smaller id.  Null or empty vectors, such with null
     components and rows with a null id take no part; shorter vectors count as filled up with
-    zeros.  With at most ``k`` candidates all are returned.  Components must stay below
-    2**20 in size, so that sums are exact in double precision.
+    zeros.  With at most ``k`` candidates all are returned.  Equal query rows are asked once;
+    rows of one id with different vectors are each answered.  Scores are exact at any size
+    of the components; where one may not fit in 64 bits the search is refused.
 
     The rows are dealt out in shards and the queries in blocks of bounded size; each pair
     of them is one group.
@@ -88,12 +99,19 @@ def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = 10) -> DataFrame:
         good = (F.size("components") > 0) & F.forall("components", lambda x: x.isNotNull())
         return df.select(F.col("vec_id").cast("long"), "components").where(F.col("vec_id").isNotNull() & F.coalesce(good, F.lit(False)))
 
-    vectors, queries = stored(usable(vectors), "components"), stored(usable(queries), "asked")
+    vectors = stored(usable(vectors), "components")
+    queries = stored(usable(queries).distinct().withColumn("ask", F.monotonically_increasing_id()), "asked")
+    largest = F.max(F.array_max(F.transform("components", lambda x: F.abs(x.cast("double")))))
+    (wide, high), (_, factor) = (df.agg(F.max(F.size("components")), largest).first() for df in (vectors, queries))
+    bound = (wide or 0) * (high or 0.0) * (factor or 0.0)
+    if bound >= 2.0**63 or max(high or 0.0, factor or 0.0) >= 2.0**62:
+        raise ValueError("components are so large that scores may not fit in 64 bits")
+    in_doubles = bound < 2.0**53
     shards, blocks = parts(vectors.count(), SHARD_ROWS), parts(queries.count(), BLOCK_QUERIES)
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    part = lambda n, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n)).cast("int")
-    have = vectors.select(part(shards, 1).alias("shard"), every(blocks).alias("block"), F.lit(False).alias("asks"), "vec_id", "components")
-    ask = queries.select(every(shards).alias("shard"), part(blocks, 2).alias("block"), F.lit(True).alias("asks"), "vec_id", "components")
+    part = lambda n, c: F.pmod(F.xxhash64(c, F.lit(1)), F.lit(n)).cast("int")
+    have = vectors.select(part(shards, "vec_id").alias("shard"), every(blocks).alias("block"), F.lit(False).alias("asks"), F.lit(0).cast("long").alias("ask"), "vec_id", "components")
+    ask = queries.select(every(shards).alias("shard"), part(blocks, "ask").alias("block"), F.lit(True).alias("asks"), "ask", "vec_id", "components")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         asks = pdf["asks"].to_numpy(bool)
@@ -101,14 +119,17 @@ def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = 10) -> DataFrame:
         found = []
         if len(mine) and len(theirs):
             width = int(pdf["components"].str.len().max())
-            lists = Lists(matrix(theirs["components"], width), theirs["vec_id"].to_numpy(np.int64))
-            for q, vector in zip(mine["vec_id"].tolist(), matrix(mine["components"], width)):
-                ids, scores = lists.top(vector, q, k)
-                found += [(q, int(i), float(s)) for i, s in zip(ids, scores)]
-        return pd.DataFrame(found, columns=FOUND.names).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-
-    found = have.unionAll(ask).groupBy("shard", "block").applyInPandas(run, FOUND)
-    return nearest_first(found, k).withColumn("score", F.col("score").cast("long"))
+            kind = np.float64 if in_doubles else np.int64
+            x, asked = matrix(theirs["components"], width, kind), matrix(mine["components"], width, kind)
+            ids = theirs["vec_id"].to_numpy(np.int64)
+            lists = Lists(x, ids) if in_doubles else None
+            for number, own, vector in zip(mine["ask"].tolist(), mine["vec_id"].tolist(), asked):
+                near, scores = lists.top(vector, own, k) if lists else top_of_all(x, ids, vector, own, k)
+                found += [(number, int(i), int(s)) for i, s in zip(near, scores)]
+        return pd.DataFrame(found, columns=FOUND.names, dtype="int64")
+
+    found = have.unionAll(ask).groupBy("shard", "block").applyInPandas(run, "query_id long, vec_id long, score long")
+    return answers(nearest_first(found, k), queries)
 
 
 def scaled(vectors: DataFrame, factor: int = 1024) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -25,9 +23,9 @@ def finite(vector: str) -> Column:
     return F.coalesce((F.size(vector) > 0) & F.forall(vector, good), F.lit(False))
 
 
-def matrix(vectors: pd.Series, width: int) -> np.ndarray:
+def matrix(vectors: pd.Series, width: int, kind: type = np.float64) -> np.ndarray:
     """Rows of equal width; shorter vectors are filled up with zeros."""
-    out = np.zeros((len(vectors), width))
+    out = np.zeros((len(vectors), width), kind)
     for i, v in enumerate(vectors):
         out[i, : len(v)] = v
     return out
@@ -42,6 +40,12 @@ def nearest_first(found: DataFrame, k: int) -> DataFrame:
     )
 
 
+def answers(found: DataFrame, asked: DataFrame) -> DataFrame:
+    """``found`` with the ids of the queries in place of the numbers that they were asked under."""
+    ids = asked.select(F.col("ask").alias("query_id"), F.col("vec_id").alias("of"))
+    return found.join(ids, "query_id").select(F.col("of").alias("query_id"), "rank", "vec_id", "score")
+
+
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Positions of the ``k`` best scores, ties to the smaller id, best first."""
     if len(scores) > 4 * k:
@@ -50,8 +54,3 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     else:
         near = np.arange(len(scores))
     return near[np.lexsort((ids[near], -scores[near]))][:k]
-
-
-def in_parts(groups: Iterator, rows: int) -> Iterator:
-    for start in range(0, len(groups), rows):
-        yield groups[start : start + rows]
