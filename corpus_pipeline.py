@@ -17,27 +17,38 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
 
 
+# above every id that a table has; rows without one get numbers from here downwards
+LAST = 2**63 - 1
+
+
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five words, similarity 0.8.
 
     Rows with equal id and text count as one document, the least of them stays; different
-    texts of a repeated id stay or go on their own links.  Rows with a null id can't be told
-    apart; they stay.
+    texts of a repeated id stay or go on their own links.  Rows with a null id are documents
+    each; of a group they stay only if none of it has an id.
     """
-    found = minhash.keyed_duplicates(docs).where("doc_id is not null").withColumnsRenamed({"doc_id": "__id", "key": "__of"})
-    keyed = docs.withColumn("__key", minhash.text_key("text"))
-    same = (F.col("doc_id") == F.col("__id")) & F.col("__key").eqNullSafe(F.col("__of"))
+    number = F.col("doc_id").cast("long")
+    if docs.where("doc_id is null").isEmpty():
+        rows = docs.withColumn("__id", number)
+    else:
+        # written, so that a row keeps its number
+        rows = stored(docs.withColumn("__id", F.coalesce(number, F.lit(LAST) - F.monotonically_increasing_id())), "numbered")
+    texts = rows.select(F.col("__id").alias("doc_id"), "text")
+    found = minhash.keyed_duplicates(texts).withColumnsRenamed({"doc_id": "__number", "key": "__of"})
+    keyed = rows.withColumn("__key", minhash.text_key("text"))
+    same = (F.col("__id") == F.col("__number")) & F.col("__key").eqNullSafe(F.col("__of"))
     found = stored(
-        found.groupBy("__id", "__of").agg(F.max("kept").alias("kept"), F.count("*").alias("times")).where("not kept or times > 1"),
+        found.groupBy("__number", "__of").agg(F.max("kept").alias("kept"), F.count("*").alias("times")).where("not kept or times > 1"),
         "repeated",
     )
     # of what goes or is there twice; all else is left as it is
     left = keyed.join(found.where("not kept"), same, "left_anti")
-    twice = found.where("kept").select("__id", "__of")
+    twice = found.where("kept").select("__number", "__of")
     if twice.isEmpty():
         return left.select(*docs.columns)
     row = F.struct("text", *[c for c in docs.columns if c != "text"])
-    once = left.join(twice, same, "left_semi").groupBy("doc_id", "__key").agg(F.min(row).alias("__row")).select("__row.*")
+    once = left.join(twice, same, "left_semi").groupBy("__id", "__key").agg(F.min(row).alias("__row")).select("__row.*")
     return left.join(twice, same, "left_anti").select(*docs.columns).unionAll(once.select(*docs.columns))
 
 
