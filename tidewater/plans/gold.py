@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# fixed values: the names of the views
+# fixed values: the names of the first three views
 VIEWS = (
     "gold_driver_earning_month_year",
     "gold_driver_earning_year",
