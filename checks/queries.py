@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -27,6 +28,7 @@ from tidewater.sources.change_records import (
     OP, UPSERT, decode_changes, encode_changes, landed_schema,
 )
 from tidewater.sources.raw_files import land_raw, read_raw
+from tidewater.streaming.earnings_stream import EarningsStream
 from tidewater.streaming.ingest import ingest_stream, new_files
 from tidewater.sources.whole_images import discover_schema, typed
 from tidewater.streaming.landing import change_stream, land_accounted, land_changes, land_images
@@ -538,6 +540,41 @@ def q_earnings_tips_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).snapshot()
 
 
+def q_earnings_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides and tips as two joined streams, in four runs over one checkpoint.
+
+    A tip comes as many days after its ride as its line number says; the first tips of old
+    rides come at the very end, behind the watermark, and are settled.
+    """
+    path = shared_dir(spark, "earnings_streamed")
+    rides = src.rides(spark, sf_dir).withColumn("ride_at", F.col("ride_date").cast("timestamp"))
+    line = F.split("tip_id", "-")[1].cast("int")
+    at = F.date_add("ride_date", line).cast("timestamp")
+    # the last version of a tip is that of the last day, then the greatest amount
+    amount = F.lpad((F.col("tip_amount") * 100).cast("decimal(20,0)").cast("string"), 20, "0")
+    tips = (
+        src.raw_tips(spark, sf_dir).join(rides.select("ride_id", "ride_date"), "ride_id")
+        .withColumn("tipped_at", at)
+        .withColumn("_seq", F.concat(F.date_format("tipped_on", "yyyyMMdd"), amount))
+        .withColumn("_late", (line == 1) & (F.col("tipped_at") < F.lit(CUTS[0])))
+    )
+    feeds = {"rides": _staged(rides, f"{path}/all_rides"), "tips": _staged(tips, f"{path}/all_tips")}
+    stream = EarningsStream(spark, f"{path}/earnings", calendar(spark), within=timedelta(days=10))
+    for index in range(len(CUTS) + 1):
+        for name, time in (("rides", "ride_at"), ("tips", "tipped_at")):
+            rows = between(feeds[name], time, CUTS, index)
+            if name == "tips":
+                late = F.col("_late")
+                rows = rows.where(~late)
+                rows = rows.unionByName(feeds[name].where(late)) if index == len(CUTS) else rows
+            rows.write.mode("append").parquet(f"{path}/feed/{name}")
+        query = stream.start(*(new_files(spark, f"{path}/feed/{n}", f.schema) for n, f in feeds.items()))
+        query.awaitTermination()
+    stored = [spark.read.schema(f.schema).parquet(f"{path}/feed/{n}") for n, f in feeds.items()]
+    stream.settle(*stored, stream.open_since(query))
+    return stream.fact.snapshot()
+
+
 # ---- gold -----------------------------------------------------------------------------
 
 

@@ -317,6 +317,7 @@ GROUP BY c""",
             _with(_sliced_facts(("1998-01-01", "2000-01-01", "2001-08-02"))) + FACT_COLUMNS
         ),
         "earnings_tips_only": _with(_sliced_facts(("2001-08-02",))) + FACT_COLUMNS,
+        "earnings_streamed": _with(ALL_FACTS) + FACT_COLUMNS,
         "gold_driver_month_year": gold + GOLD_MONTH,
         "gold_driver_year": gold + GOLD_YEAR,
         "gold_tips_by_driver": gold + GOLD_TIPS,
