@@ -176,6 +176,28 @@ def test_account_with_a_card_inside():
     assert pii.redact(text, pii.find(text)) == "pay [IBAN] now"
 
 
+@pytest.mark.parametrize(
+    "text, kinds",
+    [
+        ("ssn phone 123-45-6789 12 34", ["ssn"]),  # one span, not one of each kind
+        ("megaphone" + " " * 31 + "030 1234 5678", []),  # the window begins within a word
+        ("030 1234 5678" + " " * 36 + "phonebook", []),  # or ends in one
+        ("030 1234 5678" + " " * 36 + "phone", ["phone"]),
+        ("phone: meeting 2024-01-15 10.30", []),
+        ("phone: 2024-01-15 10.30", []),
+        ("my phone and the invoice 030 1234 5678", []),
+        ("invoice by phone 030 1234 5678", ["phone"]),
+        ("serial GB82WEST12345698765432", []),  # context decides on accounts too
+        ("serial of the iban GB82WEST12345698765432", ["iban"]),
+        ("here GB82WEST12345698765432", ["iban"]),
+    ],
+)
+def test_the_nearest_whole_word_decides(text, kinds):
+    found = pii.find(text)
+    assert [s.kind for s in found] == kinds
+    assert all(a.end <= b.start for a, b in zip(found, found[1:]))
+
+
 @pytest.mark.parametrize("run", ["1" * 200_000, "a" * 200_000, "a@" * 50_000, "+1" * 50_000, "1." * 50_000, "AB12" * 40_000])
 def test_long_runs_stay_linear(run):
     assert isinstance(pii.find(run), list)
@@ -393,6 +415,29 @@ def test_language_awkward(clashing, no_documents, documents):
     assert language.fit(clashing)("some text")[0] in ("en", "fr")
 
 
+def test_a_repeated_id_counts_once(spark):
+    """What comes to the driver is bounded by ids, however often one is repeated."""
+    from tidewater.llm import language as module
+
+    seen = []
+    rows = [(1, f"the cat number {i}", "en") for i in range(3000)] + [(i, f"le chat {i}", "fr") for i in range(2, 40)]
+    docs = spark.createDataFrame(rows + [(None, "no id", "en")], "doc_id long, text string, lang string")
+    model, module.Model = module.Model, lambda x, langs: seen.append((len(x), sorted(set(langs))))
+    try:
+        module.fit(docs, per_language=20)
+    finally:
+        module.Model = model
+    assert seen == [(21, ["en", "fr"])]
+
+    marks = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int")
+    trained, quality.trained = quality.trained, lambda texts, labels, max_lines: (texts, labels)
+    try:
+        texts, labels = quality.fit(docs, marks)
+    finally:
+        quality.trained = trained
+    assert texts == ["the cat number 0", "le chat 2", "le chat 3"] and labels == [1, 0, 0]
+
+
 def test_families_then_pairs():
     texts = {"de": "der und die", "en": "the and of", "fr": "le et les", "xx": "qqq zzz"}
     langs = [k for k in texts for _ in range(3)]

@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 BUCKETS = 1 << 12
 #: Texts of each language that are learned from, at most.
 PER_LANGUAGE = 500
+#: Parts in which the ids of a language are ranked first.
+PARTS = 64
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 # Families of common languages by their two-letter codes
@@ -109,28 +111,35 @@ class Model:
 
 
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """A model of ``labelled`` (doc_id, text, lang); at most ``per_language`` rows of each
-    language, those with the least hash of their id, come to the driver as counts."""
+    """A model of ``labelled`` (doc_id, text, lang); at most ``per_language`` ids of each
+    language, those with the least hash, come to the driver as counts of one text each: the
+    least, where an id is repeated.  Rows without an id, a text or a language teach nothing."""
     usable = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select(
         F.col("doc_id").cast("long"), F.col("lang").cast("string"), "text"
     )
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # ids first: the window then reads no text
+    order = (F.xxhash64("doc_id"), F.col("doc_id"))
+    # ids first: the windows then read no text; a frequent language is ranked in parts, so the
+    # last window sees per_language ids of each part, however many rows and tasks there are
+    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(PARTS)).alias("part")
+    in_part, in_all = Window.partitionBy("lang", "part").orderBy(*order), Window.partitionBy("lang").orderBy(*order)
     chosen = (
-        usable.select("doc_id", "lang").withColumn("at", F.row_number().over(order)).where(F.col("at") <= per_language)
-        .select("doc_id", "lang").distinct()
+        usable.where("doc_id is not null").select("doc_id", "lang").distinct().select("*", part)
+        .withColumn("at", F.row_number().over(in_part)).where(F.col("at") <= per_language)
+        .withColumn("at", F.row_number().over(in_all)).where(F.col("at") <= per_language)
+        .select("doc_id", "lang")
     )
 
-    schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("counts", T.ArrayType(T.FloatType()))])
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang", T.StringType()), T.StructField("counts", T.ArrayType(T.FloatType()))])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             batch = batch[[bool(LETTER.search(t)) for t in batch["text"]]]
-            yield pd.DataFrame({"lang": batch["lang"], "counts": [counts(t) for t in batch["text"]]})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "lang": batch["lang"], "counts": [counts(t) for t in batch["text"]]})
 
-    # at most per_language ids of each language are broadcast
-    sample = usable.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").mapInPandas(run, schema).toPandas()
-    sample = sample.sort_values("lang", kind="stable", ignore_index=True)
+    # at most per_language ids of each language are broadcast, and as many texts come back
+    texts = usable.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    sample = texts.mapInPandas(run, schema).toPandas()
+    sample = sample.sort_values(["lang", "doc_id"], ignore_index=True)
     x = np.vstack(sample["counts"].to_numpy()).astype(np.float32) if len(sample) else np.zeros((0, BUCKETS), np.float32)
     return Model(x, sample["lang"].tolist())
 

@@ -9,8 +9,13 @@ added by the method, each with a score that must reach ``threshold``:
 
 * iban: mod-97 must leave 1; two letters, two digits, 11 to 30 more, as many as the country
   prescribes or, if it is not known, up to the end of a group; a card may lie inside;
-* phone without a plus sign: 9 to 15 digits with separators, only near a word that names a
-  telephone; ssn: three, two and four digits, only near a word that names it.
+* phone without a plus sign: 9 to 15 digits with separators that don't begin with a date, only
+  near a word that names a telephone; ssn: three, two and four digits, only near a word that
+  names it.
+
+Of the whole words within 40 characters that speak for or against a kind the nearest one
+counts, the one before on a tie: it adds 0.4 or takes 0.4 away.  Added spans don't overlap
+each other, nor base ones, but for cards inside accounts.
 
 Searches are linear in the text: each candidate run is looked at once, however long.
 """
@@ -53,7 +58,14 @@ CONTEXT = {
     "iban": re.compile(r"\b(?:iban|account|bank|konto|cuenta|compte)\b", re.I),
     "ssn": re.compile(r"\b(?:ssn|social security)\b", re.I),
 }
-NEAR = 40
+# Words near a candidate that speak against it
+AGAINST = {
+    "phone": re.compile(r"\b(?:order|invoice|date|meeting|serial|tracking|version|bestellung|rechnung|datum|pedido|factura|fecha|commande|facture)\b", re.I),
+    "iban": re.compile(r"\b(?:serial|tracking|checksum|sku)\b", re.I),
+    "ssn": re.compile(r"\b(?:order|invoice|serial|tracking|sku)\b", re.I),
+}
+NEAR, LONGEST_WORD = 40, 20
+DAY = re.compile(r"\(?(?:[12][0-9]{3}([-./ ])[0-9]{2}\1[0-9]{2}|[0-9]{2}([-./ ])[0-9]{2}\2[12][0-9]{3})(?![0-9])")
 
 SPANS = T.ArrayType(
     T.StructType(
@@ -144,6 +156,18 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
+def _nearest(words: re.Pattern, text: str, start: int, end: int) -> tuple[float, int]:
+    """How far the nearest of the words is from a span, and on which side of it; words that
+    begin or end outside of the window are seen whole."""
+    best: tuple[float, int] = (float("inf"), 0)
+    low, high = max(0, start - NEAR), end + NEAR
+    for m in words.finditer(text, low, high + LONGEST_WORD):
+        if m.start() >= high:
+            break
+        best = min(best, (start - m.end(), 0) if m.end() <= start else (max(0, m.start() - end), 1))
+    return best
+
+
 def added_spans(text: str, base: list[Span], threshold: float) -> list[Span]:
     """Candidates beyond the base patterns that checksum and context carry to the threshold."""
     out: list[Span] = []
@@ -155,11 +179,11 @@ def added_spans(text: str, base: list[Span], threshold: float) -> list[Span]:
         return [s.start for s in spans], ends
 
     def consider(kind: str, start: int, end: int, score: float, starts: list[int], ends: list[int]) -> None:
-        if CONTEXT[kind].search(text[max(0, start - NEAR) : end + NEAR]):
-            score += 0.4
+        speaks = _nearest(CONTEXT[kind], text, start, end), _nearest(AGAINST[kind], text, start, end)
+        if speaks[0] != speaks[1]:
+            score += 0.4 if speaks[0] < speaks[1] else -0.4
         i = bisect_right(starts, end - 1)
-        free = i == 0 or ends[i - 1] <= start
-        if score >= threshold and free and not any(s.end > start and s.start < end for s in out[-2:]):
+        if score >= threshold and (i == 0 or ends[i - 1] <= start):
             out.append(Span(start, KINDS.index(kind), end, min(1.0, score)))
 
     # digits of an account may happen to make a card; the account covers them
@@ -169,8 +193,9 @@ def added_spans(text: str, base: list[Span], threshold: float) -> list[Span]:
     known = taken(sorted(base + out))
     for m in SSN.finditer(text):
         consider("ssn", m.start(), m.end(), 0.4, *known)
+    known = taken(sorted(base + out))
     for m in BARE_PHONE.finditer(text):
-        if 9 <= len(_digits(m[0])) <= 15:
+        if 9 <= len(_digits(m[0])) <= 15 and not DAY.match(m[0]):
             consider("phone", m.start(), m.end(), 0.4, *known)
     return out
 

@@ -183,11 +183,11 @@ def _odds(mean):
     return np.log(mean / (1 - mean))
 
 
-def trained(texts: list[str], labels: list[int]) -> Field:
+def trained(texts: list[str], labels: list[int], max_lines: int = MAX_LINES) -> Field:
     """A field fitted to documents and their labels, 1 for good; untrained without any."""
     found = [(lines(t), q) for t, q in zip(texts, labels)]
     # the chains are held side by side, so documents of very many lines are not learned from
-    found = [(f, q) for f, q in found if 0 < len(f[1]) <= MAX_LINES]
+    found = [(f, q) for f, q in found if 0 < len(f[1]) <= max_lines]
     field = Field()
     if not found:
         return field
@@ -210,12 +210,13 @@ def trained(texts: list[str], labels: list[int]) -> Field:
     return field
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, per_label: int = PER_LABEL, max_chars: int = MAX_CHARS) -> Field:
+def fit(docs: DataFrame, labels: DataFrame, *, per_label: int = PER_LABEL, max_chars: int = MAX_CHARS, max_lines: int = MAX_LINES) -> Field:
     """A field of the documents that ``labels`` (doc_id, quality) marks.
 
     Learned from a bounded sample: of each label the ``per_label`` ids with the least hash,
-    texts of at most ``max_chars`` characters and 60 lines.  Labels that are
-    null or neither 0 nor 1, and ids that the documents lack, are left out.
+    texts of at most ``max_chars`` characters and ``max_lines`` lines, of a repeated id the
+    least one.  Labels that are null or neither 0 nor 1, and ids that the documents lack,
+    are left out.
     """
     marked = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int")).where("doc_id is not null and quality in (0, 1)").distinct()
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
@@ -223,9 +224,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, per_label: int = PER_LABEL, max_c
     chosen = marked.where("quality = 0").orderBy(*order).limit(per_label).unionAll(marked.where("quality = 1").orderBy(*order).limit(per_label))
     sample = (
         docs.select(F.col("doc_id").cast("long"), "text").where(F.length("text") <= max_chars)
-        .join(F.broadcast(chosen), "doc_id").toPandas().sort_values(["doc_id", "text"], ignore_index=True)
+        .join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+        .toPandas().sort_values(["doc_id", "quality"], ignore_index=True)
     )
-    return trained(sample["text"].tolist(), sample["quality"].tolist())
+    return trained(sample["text"].tolist(), sample["quality"].tolist(), max_lines)
 
 
 def score(docs: DataFrame, field: Field) -> DataFrame:
