@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidewater.functions import cleaning, dates
 from tidewater.functions.dates import day_parts
-from tidewater.operators import maintenance
+from tidewater.operators import catalog, maintenance
 from tidewater.operators.checkpoint import Checkpoint, next_increment
 from tidewater.operators.keyed_table import KeyedTable
 from tidewater.operators.latest import latest_per_key
@@ -466,13 +466,28 @@ def q_catalog_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     rides = _staged(_with_day_parts(src.rides(spark, sf_dir)), path)
     table.upsert(between(rides, "ride_date", CUTS[1:2], 0))
     database = f"silver_{uuid.uuid4().hex}"
-    name = maintenance.register(table, database, "rides", f"{path}/database")
+    name = catalog.register(table, database, "rides", f"{path}/database")
     table.upsert(between(rides, "ride_date", CUTS[1:2], 1))
     maintenance.compact(table)
     maintenance.vacuum(table, keep=1)
     return spark.sql(f"SELECT * FROM {name}")
 
 
+def q_catalog_view_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog name right after commits that update, add and delete, none of them compacted."""
+    path = shared_dir(spark, "catalog_view_pending")
+    table = _rides_table(spark, f"{path}/rides")
+    rides = _staged(_with_day_parts(src.rides(spark, sf_dir)), path)
+    first, second = (between(rides, "ride_date", CUTS[1:2], i) for i in range(2))
+    table.upsert(first.withColumn("pick_up_state", F.lit("old")))
+    database = f"silver_{uuid.uuid4().hex}"
+    name = catalog.register(table, database, "rides", f"{path}/database")
+    table.upsert(first)
+    table.upsert(second)
+    table.delete("pick_up_state", "5-LOW")
+    return spark.sql(f"SELECT * FROM {name}")
+
+
 # ---- the earnings fact ----------------------------------------------------------------
 
 
@@ -662,7 +677,7 @@ def q_gold_catalog_views(spark: SparkSession, sf_dir: str) -> DataFrame:
         rides.upsert(slice_)
         fact.upsert(earn.earnings(slice_, tips, calendar(spark)), unique=True)
         if index == 0:
-            names = {k: maintenance.register(t, database, k, f"{path}/database") for k, t in tables.items()}
+            names = {k: catalog.register(t, database, k, f"{path}/database") for k, t in tables.items()}
             names["dim"] = f"`{database}`.`date_dim`"
             calendar(spark).write.option("path", f"{path}/date_dim").saveAsTable(names["dim"])
             gold.create_catalog_views(spark, database, **names)

@@ -307,6 +307,7 @@ GROUP BY c""",
         "clustered_snapshot": _stored_rides(),
         "vacuumed_snapshot": _stored_rides(),
         "catalog_view": _stored_rides(),
+        "catalog_view_pending": _stored_rides("pick_up_state <> '5-LOW'"),
         "earnings_batch": _with(ALL_FACTS) + FACT_COLUMNS,
         "earnings_sum_tips": _with(RIDES, TIPS, _facts("tip_sum")) + FACT_COLUMNS,
         "earnings_default_calendar": (

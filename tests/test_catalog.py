@@ -1,0 +1,112 @@
+import pytest
+
+from tests.conftest import plan, rows
+from tidewater import paths
+from tidewater.operators import catalog, maintenance
+from tidewater.operators.keyed_table import KeyedTable
+
+DDL = "k string, state string, v int, seq int"
+WEIRD = "a=b/c 'd' %20 \\ é"
+
+
+@pytest.fixture
+def make(spark, folder):
+    def build(**options):
+        return KeyedTable.create(spark, f"{folder}/it's", spark.createDataFrame([], DDL).schema, "k", "seq", **options)
+
+    return build
+
+
+@pytest.fixture
+def database(spark):
+    yield "shown"
+    spark.sql("DROP DATABASE IF EXISTS shown CASCADE")
+
+
+def batch(spark, *values, schema=DDL):
+    return spark.createDataFrame(list(values), schema)
+
+
+@pytest.mark.parametrize(
+    "options",
+    [
+        {},
+        {"partition_fields": "state"},
+        {"partition_fields": "state,v", "scope": "partition"},
+        {"buckets": 4},
+        {"ordered": True},
+        {"partition_fields": "state", "ordered": True},
+    ],
+    ids=str,
+)
+def test_a_name_shows_every_commit(spark, make, folder, database, options):
+    t = make(**options)
+    t.upsert(batch(spark, ("a", WEIRD, 1, 1), ("b", None, 2, 1), ("c", "CA", 3, 1), ("d", "", 4, 1)))
+    name = catalog.register(t, database, "t", f"{folder}/db")
+
+    def same():
+        assert rows(spark.sql(f"SELECT k, state, v, seq FROM {name}")) == rows(t.snapshot())
+
+    same()
+    t.upsert(batch(spark, ("a", "TX", 10, 2), ("b", None, 2, 2), ("e", WEIRD, 5, 1)))
+    same()
+    t.delete("k", "c")
+    same()
+    t.upsert(batch(spark, ("c", "NY", 30, 3), ("d", "CA", None, 3)))
+    same()
+    assert t.upsert(batch(spark)) is None
+    same()
+    maintenance.compact(t)
+    same()
+    t.upsert(batch(spark, ("a", WEIRD, 11, 4)))
+    maintenance.cluster(t, "v")
+    maintenance.vacuum(t, keep=1)
+    t.delete("k", "a")
+    same()
+    catalog.unregister(t, database, "t")
+    assert not spark.catalog.listTables(database) and t.registered() == {}
+    t.upsert(batch(spark, ("z", "CA", 1, 9)))
+
+
+def test_unfinished_and_unseen_commits(spark, make, folder, database):
+    t = make(partition_fields="state")
+    t.upsert(batch(spark, ("a", "CA", 1, 1)))
+    name = catalog.register(t, database, "t", f"{folder}/db")
+    count = f"SELECT count(*) AS n FROM {name}"
+    # a writer that broke off half way, and one that broke off before it told the catalog
+    half = t._with(("_op", t.schema["k"].dataType))
+    spark.createDataFrame([("x", "CA", 1, 1, "U")], half).write.partitionBy("state").parquet(t.commit_path(2))
+    paths.delete(spark, f"{t.commit_path(2)}/_SUCCESS")
+    spark.createDataFrame([("b", "CA", 1, 1, "U")], half).write.partitionBy("state").parquet(t.commit_path(3))
+    assert spark.sql(count).first().n == 1
+    t.upsert(batch(spark, ("c", "CA", 1, 1)))
+    assert rows(spark.sql(f"SELECT k FROM {name}")) == [("a",), ("b",), ("c",)]
+
+
+def test_retention_leaves_the_log_that_a_name_shows(spark, make, folder, database):
+    t = make()
+    t.upsert(batch(spark, ("a", "CA", 1, 1)))
+    name = catalog.register(t, database, "t", f"{folder}/db")
+    before = t.registered()
+    t.upsert(batch(spark, ("b", "CA", 1, 1)))
+    t.upsert(batch(spark, ("c", "CA", 1, 1)))
+    shown = t.registered()
+    # compacted by a writer that broke off before the names moved
+    paths.write_json(spark, f"{t.path}/registered.json", {})
+    maintenance.compact(t)
+    paths.write_json(spark, f"{t.path}/registered.json", shown)
+    maintenance.vacuum(t, keep=1)
+    assert t.commits() == [2, 3] and before[name]["seen"] == 1
+    assert spark.sql(f"SELECT * FROM {name}").count() == 3
+
+
+def test_a_small_log_does_not_shuffle_the_base(spark, make, folder, database):
+    t = make(partition_fields="state")
+    t.upsert(batch(spark, *((f"k{i}", "CA" if i % 2 else "TX", i, 1) for i in range(100))))
+    name = catalog.register(t, database, "t", f"{folder}/db")
+    t.upsert(batch(spark, ("k1", "CA", -1, 2)))
+    found = spark.sql(f"SELECT k, v FROM {name} WHERE state = 'CA'")
+    kept = plan(found).split("Window", 1)[0]
+    assert "BroadcastHashJoin" in kept and "hashpartitioning" not in kept
+    assert "state#" in plan(found).split("PartitionFilters", 1)[1]
+    assert found.count() == 50

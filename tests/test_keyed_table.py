@@ -4,7 +4,7 @@ from pyspark.sql import functions as F, types as T
 
 from tests.conftest import plan, rows
 from tidewater import paths
-from tidewater.operators import maintenance
+from tidewater.operators import catalog, maintenance
 from tidewater.operators.keyed_table import HistoryLost, KeyedTable
 from tidewater.operators.latest import latest_per_key, newest_first
 
@@ -301,12 +301,12 @@ def test_table_definition_is_checked(spark, make):
 def test_register_in_catalog(spark, make, folder):
     t = make(partition_fields="state")
     t.upsert(batch(spark, ("a", "007", 1, 1), ("b", "TX", 2, 1)))
-    name = maintenance.register(t, "silver_test", "t", f"{folder}/db")
+    name = catalog.register(t, "silver_test", "t", f"{folder}/db")
     assert rows(spark.sql(f"SELECT k, state, v FROM {name}")) == [("a", "007", 1), ("b", "TX", 2)]
     t.upsert(batch(spark, ("b", "TX", 3, 2)))
-    maintenance.register(t, "silver_test", "t")
+    catalog.register(t, "silver_test", "t")
     assert rows(spark.sql(f"SELECT k, state, v FROM {name}")) == [("a", "007", 1), ("b", "TX", 3)]
-    maintenance.unregister(t, "silver_test", "t")
+    catalog.unregister(t, "silver_test", "t")
     assert not spark.catalog.tableExists(name) and t.snapshot().count() == 2
     spark.sql("DROP DATABASE silver_test CASCADE")
 
@@ -315,7 +315,7 @@ def test_register_in_catalog(spark, make, folder):
 def test_catalog_name_follows_compaction_and_retention(spark, make, folder, options):
     t = make(name="it's", **options)
     t.upsert(batch(spark, ("a", "CA", 1, 1)))
-    name = maintenance.register(t, "silver_follow", "t", f"{folder}/db")
+    name = catalog.register(t, "silver_follow", "t", f"{folder}/db")
     spark.sql("CREATE OR REPLACE VIEW silver_follow.total AS SELECT sum(v) AS v FROM silver_follow.t")
     for i in range(2, 6):
         t.upsert(batch(spark, (f"k{i}", "TX", i, 1)))
@@ -505,7 +505,7 @@ def test_snapshot_shuffles_touched_buckets_only(spark, make, folder):
     # a caller's keys of another type may hash otherwise: all buckets are read
     assert t.buckets_of(spark.createDataFrame([(1,)], "k int")) is None
     assert t.buckets_of(spark.createDataFrame([(1,)], "v int")) is None
-    name = maintenance.register(t, "bucket_test", "t", f"{folder}/db")
+    name = catalog.register(t, "bucket_test", "t", f"{folder}/db")
     assert rows(spark.sql(f"SELECT * FROM {name}")) == got
     spark.sql("DROP DATABASE bucket_test CASCADE")
 
@@ -514,7 +514,7 @@ def test_added_columns_are_null_in_stored_rows(spark, make, folder):
     wide = f"{DDL}, note string, fare decimal(9,2)"
     t = make(partition_fields="state")
     t.upsert(batch(spark, ("a", "CA", 1, 1), ("b", "CA", 2, 1)))
-    name = maintenance.register(t, "evolve_test", "t", f"{folder}/db")
+    name = catalog.register(t, "evolve_test", "t", f"{folder}/db")
     with pytest.raises(ValueError, match="another definition"):
         make(schema=wide, partition_fields="state")
     t = make(schema=wide, partition_fields="state", cluster_columns="v", codec="zstd", evolve=True)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import types as T
 
 from tests.conftest import plan, rows
-from tidewater.operators import maintenance
+from tidewater.operators import catalog, maintenance
 from tidewater.operators.keyed_table import KeyedTable
 
 SCHEMA = T.StructType().add("k", "string").add("state", "string").add("v", "integer")
@@ -97,7 +97,7 @@ def test_other_reads_of_an_ordered_table(spark, make, folder):
     assert rows(t.snapshot(1).select("k")) == [("a",), ("b",)]
     maintenance.cluster(t, "v")
     assert rows(t.snapshot(with_commit=True).select("k", "v", "_commit")) == [("a", 1, 1), ("c", 2, 2)]
-    name = maintenance.register(t, "ordered_lake", "t", f"{folder}/lake")
+    name = catalog.register(t, "ordered_lake", "t", f"{folder}/lake")
     assert rows(spark.sql(f"SELECT k, v FROM {name}")) == [("a", 1), ("c", 2)]
     assert KeyedTable(spark, t.path).ordered
 

@@ -8,7 +8,7 @@ A table is a folder::
     sources/<stream>.json        last batch of a stream, its commit, whether it is done
     savepoints.json              name -> commit
     retention.json               commit after which the log is whole
-    registered.json              catalog names and the base each of them shows
+    registered.json              catalog names, the base and the last commit each of them shows
 
 A bucketed table has a folder ``_bucket=<b>`` for each hash value of its keys below every
 commit and base.  Each commit holds a key once.  A directory counts only when it has its
@@ -227,7 +227,7 @@ class KeyedTable:
         return int(state["floor"])
 
     def registered(self) -> dict[str, dict]:
-        """Catalog names that show this table, see :func:`maintenance.register`."""
+        """Catalog names that show this table, see :func:`catalog.register`."""
         return paths.read_json(self.spark, f"{self.path}/registered.json") or {}
 
     def check_readable(self, commit: int) -> None:
@@ -493,10 +493,13 @@ class KeyedTable:
         paths.write_json(self.spark, self._source_file(stream), state)
 
     def _append(self, rows: DataFrame, commit: int) -> int | None:
+        from tidewater.operators.catalog import follow
+
         self._write(rows, self.commit_path(commit), rebalance=True)
         if self.read_log([commit]).isEmpty():
             paths.delete(self.spark, self.commit_path(commit))
             return None
+        follow(self)
         return commit
 
     def _write(self, rows: DataFrame, path: str, rebalance: bool) -> None:

@@ -1,4 +1,4 @@
-"""Jobs on a keyed table: compaction, clustering, savepoints, retention, catalog."""
+"""Jobs on a keyed table: compaction, clustering, savepoints, retention."""
 
 from __future__ import annotations
 
@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidewater import paths
 from tidewater.functions.cleaning import split_names
-from tidewater.operators.keyed_table import BUCKET, COMMIT, Base, KeyedTable
+from tidewater.operators.catalog import shown
+from tidewater.operators.keyed_table import COMMIT, Base, KeyedTable
 from tidewater.sources.change_records import DELETE, OP, UPSERT
 
 # fixed values: default sizing and retention
@@ -42,7 +43,7 @@ def compact(
     needed = max(tasks, *(p.folders for p in parts))
     if files > 2 * needed and stored / files < small_file_bytes:
         rows = _in_files(table.with_layout(rows), tasks, (*table.layout, *table.key))
-    return _shown(table, table.write_base(rows, log[-1]))
+    return shown(table, table.write_base(rows, log[-1]))
 
 
 def cluster(
@@ -63,7 +64,7 @@ def cluster(
     )
     rows = table.with_layout(table.state())
     files = math.ceil(stored / target_file_bytes)
-    return _shown(table, table.write_base(_in_files(rows, files, order), upto))
+    return shown(table, table.write_base(_in_files(rows, files, order), upto))
 
 
 def _in_files(rows: DataFrame, files: int, order: Sequence[str]) -> DataFrame:
@@ -131,8 +132,10 @@ def vacuum(table: KeyedTable, keep: int = KEPT_VERSIONS) -> list[str]:
         if base:
             kept.add(base)
         kept_commits.update(log)
-    shown = [tuple(entry["base"]) for entry in table.registered().values()]
-    kept.update(b for b in bases if (b.upto, b.rev) in shown)
+    # names show a base and the log after it
+    in_catalog = [tuple(entry["base"]) for entry in table.registered().values()]
+    kept.update(b for b in bases if (b.upto, b.rev) in in_catalog)
+    kept_commits.update(c for c in commits if any(c > upto for upto, _ in in_catalog))
     gone = [b.path for b in bases if b not in kept]
     done = {(b.upto, b.rev) for b in bases}
     gone += [b.path for b in table.started_bases() if (b.upto, b.rev) not in done and b < bases[-1]]
@@ -148,77 +151,3 @@ def vacuum(table: KeyedTable, keep: int = KEPT_VERSIONS) -> list[str]:
     for path in gone:
         paths.delete(table.spark, path)
     return gone
-
-
-def register(table: KeyedTable, database: str, name: str, location: str | None = None) -> str:
-    """Show the table in the catalog under a name that stays readable.
-
-    The name is a view of an external Parquet table over the newest base; pending commits
-    are compacted first.  Every later :func:`compact` or :func:`cluster` moves the view
-    on in one step, and :func:`vacuum` spares the base that it shows.
-    """
-    compact(table)
-    bases = table.bases()
-    if not bases:
-        raise ValueError(f"{table.path} has no commit to register")
-    full = f"`{database}`.`{name}`"
-    known = table.registered().get(full, {"database": database, "name": name, "location": location})
-    _show(table, full, known, bases[-1])
-    return full
-
-
-def unregister(table: KeyedTable, database: str, name: str) -> None:
-    """Take the name out of the catalog; the table stays."""
-    full = f"`{database}`.`{name}`"
-    entries = table.registered()
-    entry = entries.pop(full)
-    table.spark.sql(f"DROP VIEW IF EXISTS {full}")
-    table.spark.sql(f"DROP TABLE IF EXISTS {_version(entry)}")
-    paths.write_json(table.spark, f"{table.path}/registered.json", entries)
-
-
-def _shown(table: KeyedTable, base: Base) -> Base:
-    """The new base, with all catalog names moved on to it."""
-    for full, entry in table.registered().items():
-        _show(table, full, entry, base)
-    return base
-
-
-def _version(entry: dict) -> str:
-    """Catalog name of the table behind a registered name."""
-    upto, rev = entry["base"]
-    return f"`{entry['database']}`.`{entry['name']}_upto_{upto}_rev_{rev}`"
-
-
-def _text(value: str) -> str:
-    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{escaped}'"
-
-
-def _show(table: KeyedTable, full: str, entry: dict, base: Base) -> None:
-    spark = table.spark
-    new = {**entry, "base": [base.upto, base.rev]}
-    at = f" LOCATION {_text(entry['location'])}" if entry["location"] else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{entry['database']}`{at}")
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
-    fields = ", ".join(f"`{c}`" for c in table.layout)
-    if table.buckets:
-        columns += f", `{BUCKET}` int"
-    live = ""
-    if table.ordered:
-        columns, live = columns + f", `{OP}` string", f" WHERE `{OP}` = '{UPSERT}'"
-    partitioned = f" PARTITIONED BY ({fields})" if fields else ""
-    version = _version(new)
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {version} ({columns}, `{COMMIT}` bigint) USING parquet"
-        f"{partitioned} LOCATION {_text(base.path)}"
-    )
-    if fields:
-        spark.catalog.recoverPartitions(version)
-    names = ", ".join(f"`{c}`" for c in table.columns)
-    spark.sql(f"CREATE OR REPLACE VIEW {full} AS SELECT {names} FROM {version}{live}")
-    paths.write_json(
-        spark, f"{table.path}/registered.json", {**table.registered(), full: new}
-    )
-    if "base" in entry and entry["base"] != new["base"]:
-        spark.sql(f"DROP TABLE IF EXISTS {_version(entry)}")
