@@ -501,6 +501,24 @@ def q_earnings_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_earnings(spark, sf_dir)
 
 
+def q_earnings_join_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides and tips kept in the same buckets: compacted halves, the others in the logs."""
+    path = shared_dir(spark, "earnings_join_buckets")
+    rides = KeyedTable.create(spark, f"{path}/rides", src.RIDE_SCHEMA, "ride_id", "ride_date", join_buckets=16)
+    tips = KeyedTable.create(
+        spark, f"{path}/tips", src.TIP_SCHEMA, "ride_id,tip_id", "tipped_on", join_buckets=16, bucket_by="ride_id"
+    )
+    for table, rows, day in (
+        (rides, _staged(src.rides(spark, sf_dir), f"{path}/r"), "ride_date"),
+        (tips, _staged(src.tips(spark, sf_dir), f"{path}/t"), "tipped_on"),
+    ):
+        for index in range(3):
+            table.upsert(between(rows, day, CUTS[:2], index))
+            if index < 2:
+                maintenance.compact(table)
+    return earn.earnings(rides.snapshot(), tips.snapshot(), calendar(spark))
+
+
 def q_earnings_sum_tips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_earnings(spark, sf_dir, "sum")
 

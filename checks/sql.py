@@ -309,6 +309,7 @@ GROUP BY c""",
         "catalog_view": _stored_rides(),
         "catalog_view_pending": _stored_rides("pick_up_state <> '5-LOW'"),
         "earnings_batch": _with(ALL_FACTS) + FACT_COLUMNS,
+        "earnings_join_buckets": _with(ALL_FACTS) + FACT_COLUMNS,
         "earnings_sum_tips": _with(RIDES, TIPS, _facts("tip_sum")) + FACT_COLUMNS,
         "earnings_default_calendar": (
             _with(RIDES, TIPS, _facts("last_tip", "2000-01-01")) + FACT_COLUMNS

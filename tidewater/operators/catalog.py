@@ -12,6 +12,7 @@ from itertools import batched
 from urllib.parse import unquote
 
 from tidewater import paths
+from tidewater.operators import bucketed
 from tidewater.operators.keyed_table import BUCKET, COMMIT, Base, KeyedTable
 from tidewater.sources.change_records import OP, UPSERT
 
@@ -74,24 +75,23 @@ def _versions(entry: dict) -> tuple[str, str]:
     return f"{stem}_upto_{upto}_rev_{rev}`", f"{stem}_after_{upto}_rev_{rev}`"
 
 
-def _text(value: str) -> str:
-    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{escaped}'"
-
-
 def _external(table: KeyedTable, name: str, extra: dict[str, str], layout: tuple[str, ...], path: str) -> None:
     """An external Parquet table with the columns of the keyed table and ``extra`` ones."""
     types = {f.name: f.dataType.simpleString() for f in table.schema}
     types |= ({BUCKET: "int"} if table.buckets else {}) | extra
     columns = ", ".join(f"`{c}` {kind}" for c, kind in types.items())
     partitioned = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in layout)})" if layout else ""
-    table.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{partitioned} LOCATION {_text(path)}")
+    # a base in join buckets is one under its catalog name too
+    buckets = bucketed.clause(table) if COMMIT not in layout else ""
+    table.spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{partitioned}{buckets} LOCATION {paths.sql_text(path)}"
+    )
 
 
 def _show(table: KeyedTable, full: str, entry: dict, base: Base) -> None:
     spark = table.spark
     new = {**entry, "base": [base.upto, base.rev], "seen": base.upto}
-    at = f" LOCATION {_text(entry['location'])}" if entry["location"] else ""
+    at = f" LOCATION {paths.sql_text(entry['location'])}" if entry["location"] else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{entry['database']}`{at}")
     stored, log = _versions(new)
     marks = {OP: "string"} if table.ordered else {}
@@ -144,15 +144,15 @@ def _partitions(table: KeyedTable, commit: int) -> Iterator[str]:
     """The folders of a commit as SQL partitions; their names only are read."""
     path = table.commit_path(commit)
     if not table.layout:
-        yield f"PARTITION (`{COMMIT}` = {commit}) LOCATION {_text(path)}"
+        yield f"PARTITION (`{COMMIT}` = {commit}) LOCATION {paths.sql_text(path)}"
         return
     depth = len(table.layout)
     for folder in paths.glob(table.spark, "/".join([path, *(f"{c}=*" for c in table.layout)])):
         values = [part.partition("=")[2] for part in folder.split("/")[-depth:]]
         spec = ", ".join(
-            f"`{c}` = {'null' if v == NULL_FOLDER else _text(unquote(v))}" for c, v in zip(table.layout, values)
+            f"`{c}` = {'null' if v == NULL_FOLDER else paths.sql_text(unquote(v))}" for c, v in zip(table.layout, values)
         )
-        yield f"PARTITION (`{COMMIT}` = {commit}, {spec}) LOCATION {_text(folder)}"
+        yield f"PARTITION (`{COMMIT}` = {commit}, {spec}) LOCATION {paths.sql_text(folder)}"
 
 
 def _note(table: KeyedTable, full: str, entry: dict) -> None:

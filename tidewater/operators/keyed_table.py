@@ -24,10 +24,11 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F, types as T
 
 from tidewater import paths
 from tidewater.functions.cleaning import split_names
+from tidewater.operators import bucketed
 from tidewater.operators.latest import latest_per_key, newest_first, place
 from tidewater.session import no_rows
 from tidewater.sources.change_records import DELETE, OP, SEQ, UPSERT
@@ -70,6 +71,7 @@ class KeyedTable:
         self.max_records_per_file = int(spec["max_records_per_file"])
         self.buckets = int(spec.get("buckets", 0))
         self.bucket_by = tuple(spec.get("bucket_by", ()))
+        self.join_buckets = int(spec.get("join_buckets", 0))
         self.ordered = bool(spec.get("ordered", False))
 
     @classmethod
@@ -89,6 +91,7 @@ class KeyedTable:
         bucket_by: str | Sequence[str] = (),
         ordered: bool = False,
         evolve: bool = False,
+        join_buckets: int = 0,
     ) -> KeyedTable:
         """Make an empty table, or open it if it is there already.
 
@@ -100,6 +103,13 @@ class KeyedTable:
         columns of its record key (all of them by default).  A key stays in its bucket, so
         reads leave alone the buckets that a change can't be in.
 
+        ``join_buckets`` keeps every base as a Spark table in that many buckets of ``bucket_by``,
+        sorted by the record key.  Joins of compacted tables on these columns need no exchange;
+        aggregates by them leave the base where it is, also with a log over it.  So do compaction
+        and the upsert match, this if ``bucket_by`` is the whole record key or the log can be
+        broadcast.  A join exchanges a table with a pending log: Spark loses track of how the
+        union is partitioned once a filter or an alias stands below it.
+
         ``ordered`` keeps the ``_seq`` of every row and of every deleted key, and a change
         that comes after a later one of its key, in whatever batch, is left out.  Deleted keys
         stay in storage for that, in bases too.
@@ -126,6 +136,13 @@ class KeyedTable:
                 raise ValueError(f"buckets are 1 to {MOST_BUCKETS}, on a table without partition fields")
             if set(spec["bucket_by"]) - set(spec["record_key"]):
                 raise ValueError("a table is bucketed by columns of its record key")
+        if join_buckets:
+            by = split_names(bucket_by) or spec["record_key"]
+            spec |= {"join_buckets": join_buckets, "bucket_by": by}
+            if buckets or scope != "global" or join_buckets < 0 or set(spec["record_key"]) & set(spec["partition_fields"]):
+                raise ValueError("join buckets are for a global scope, without other buckets or a partition by key")
+            if set(by) - set(spec["record_key"]):
+                raise ValueError("a table is bucketed by columns of its record key")
         if ordered:
             spec |= {"ordered": True}
         names = set(schema.fieldNames())
@@ -266,8 +283,12 @@ class KeyedTable:
     def read_log(self, commits: Sequence[int], buckets: set[int] | None = None) -> DataFrame:
         return _within(self.log_scan(commits), buckets).select(*self.columns, *self._order, OP, COMMIT)
 
-    def _latest(self, commits: Sequence[int], buckets: set[int] | None = None) -> DataFrame:
+    def _latest(
+        self, commits: Sequence[int], buckets: set[int] | None = None, joined: bool = False
+    ) -> DataFrame:
         rows = self.read_log(commits, buckets)
+        if joined:  # to the base's buckets, so that Spark knows both to be partitioned alike
+            rows = rows.repartition(self.join_buckets, *self.bucket_by)
         if len(commits) < 2:  # a commit holds each key once
             return rows
         return latest_per_key(rows, self.key, [F.desc(COMMIT)])
@@ -275,8 +296,11 @@ class KeyedTable:
     def _read_base(self, base: Base, buckets: set[int] | None = None, but: set[int] | None = None) -> DataFrame:
         """Rows of a base: of all buckets or the named ones, less those of ``but``."""
         marks = [(OP, T.StringType())] if self.ordered else []
-        reader = self.spark.read.schema(self._with((COMMIT, T.LongType()), *self._hidden(), *marks))
-        rows = _within(reader.parquet(base.path), buckets)
+        if self.join_buckets:
+            rows = self.spark.table(bucketed.table_over(self, base))
+        else:
+            reader = self.spark.read.schema(self._with((COMMIT, T.LongType()), *self._hidden(), *marks))
+            rows = _within(reader.parquet(base.path), buckets)
         if but is not None:
             rows = rows.where(~F.col(BUCKET).isin(sorted(but)))
         return rows.select(*self.columns, *self._order, *(name for name, _ in marks), COMMIT)
@@ -315,7 +339,7 @@ class KeyedTable:
         if as_of is not None:
             self.check_readable(as_of)
         base, log = self.files_at(as_of)
-        fresh = self._latest(log, buckets)
+        fresh = self._latest(log, buckets, joined=bool(base and log and self.join_buckets))
         if not self.ordered:
             fresh = fresh.where(F.col(OP) == UPSERT).drop(OP)
         if base is None:
@@ -512,6 +536,10 @@ class KeyedTable:
         elif rebalance and fields:
             # AQE splits a hot partition over several tasks and merges tiny ones
             rows = rows.hint("rebalance", *fields)
+        self.writer(rows).parquet(path)
+
+    def writer(self, rows: DataFrame) -> DataFrameWriter:
+        """How the table's files are written: codec, file length, folders."""
         writer = (
             rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
@@ -519,17 +547,18 @@ class KeyedTable:
         )
         if self.max_records_per_file:
             writer = writer.option("maxRecordsPerFile", self.max_records_per_file)
-        if fields:
-            writer = writer.partitionBy(*fields)
-        writer.parquet(path)
+        return writer.partitionBy(*self.layout) if self.layout else writer
 
     def write_base(self, rows: DataFrame, upto: int, rebalance: bool = False) -> Base:
         """Store rows with ``_commit`` as a new compacted version."""
         started = paths.glob(self.spark, f"{self.path}/base/upto={upto}/rev=*")
         rev = max([int(p.rsplit("=", 1)[1]) for p in started], default=0) + 1
-        path = f"{self.path}/base/upto={upto}/rev={rev}"
-        self._write(rows, path, rebalance)
-        return Base(upto, rev, path)
+        base = Base(upto, rev, f"{self.path}/base/upto={upto}/rev={rev}")
+        if self.join_buckets:
+            bucketed.write(self, rows, base)
+        else:
+            self._write(rows, base.path, rebalance)
+        return base
 
     def delete(self, field: str, value) -> int | None:
         """Delete the rows whose ``field`` equals ``value``; None if there are none."""

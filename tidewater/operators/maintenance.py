@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidewater import paths
 from tidewater.functions.cleaning import split_names
+from tidewater.operators import bucketed
 from tidewater.operators.catalog import shown
 from tidewater.operators.keyed_table import COMMIT, Base, KeyedTable
 from tidewater.sources.change_records import DELETE, OP, UPSERT
@@ -41,7 +42,7 @@ def compact(
     tasks = math.ceil(stored / max_file_bytes)
     # every partition folder has a file of its own in any case
     needed = max(tasks, *(p.folders for p in parts))
-    if files > 2 * needed and stored / files < small_file_bytes:
+    if not table.join_buckets and files > 2 * needed and stored / files < small_file_bytes:
         rows = _in_files(table.with_layout(rows), tasks, (*table.layout, *table.key))
     return shown(table, table.write_base(rows, log[-1]))
 
@@ -52,6 +53,8 @@ def cluster(
     target_file_bytes: int = CLUSTER_FILE_BYTES,
 ) -> Base | None:
     """Rewrite the table as a base sorted by ``columns`` in files of a target size."""
+    if table.join_buckets:
+        raise ValueError(f"{table.path} is kept in join buckets, sorted by its key")
     upto = table.last_commit()
     if upto is None:
         return None
@@ -148,6 +151,8 @@ def vacuum(table: KeyedTable, keep: int = KEPT_VERSIONS) -> list[str]:
     paths.write_json(
         table.spark, f"{table.path}/retention.json", {"floor": max(floor, int(last["floor"]))}
     )
+    for base in set(bases) - kept:
+        bucketed.forget(table, base)
     for path in gone:
         paths.delete(table.spark, path)
     return gone

@@ -100,6 +100,12 @@ def _put(fs, target, text: bytearray) -> None:
         out.close()
 
 
+def sql_text(value: str) -> str:
+    """The value as a SQL literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def make_dir(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.mkdirs(p)

@@ -72,11 +72,13 @@ def reprice(fact: DataFrame, tips: DataFrame, policy: str = "latest") -> DataFra
     )
 
 
-def create_fact(spark: SparkSession, path: str, buckets: int = 0) -> KeyedTable:
+def create_fact(spark: SparkSession, path: str, buckets: int = 0, join_buckets: int = 0) -> KeyedTable:
     """An empty fact, or the one there; with ``buckets`` it is laid out by ride, so that a
-    refresh reads the buckets of the touched rides only."""
+    refresh reads the buckets of the touched rides only, with ``join_buckets`` so that joins
+    by ride leave it where it is."""
     return KeyedTable.create(
-        spark, path, DRIVER_EARNINGS, "driver_id,ride_id", "ride_id", buckets=buckets, bucket_by="ride_id"
+        spark, path, DRIVER_EARNINGS, "driver_id,ride_id", "ride_id",
+        buckets=buckets, bucket_by="ride_id", join_buckets=join_buckets,
     )
 
 
