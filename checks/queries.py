@@ -30,6 +30,7 @@ from tidewater.sources.change_records import (
 from tidewater.sources.raw_files import land_raw, read_raw
 from tidewater.streaming.earnings_stream import EarningsStream
 from tidewater.streaming.ingest import ingest_stream, new_files
+from tidewater.streaming.position import start_position
 from tidewater.sources.whole_images import discover_schema, typed
 from tidewater.streaming.landing import change_stream, land_accounted, land_changes, land_images
 
@@ -258,6 +259,23 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.snapshot()
 
 
+def q_stream_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw ride files from the oldest on, and from the first that comes after those there at
+    the start; both streams are started twice, in batches of bounded bytes."""
+    path = shared_dir(spark, "stream_start")
+    starts = ("oldest", "next")
+    tables = {start: _rides_table(spark, f"{path}/rides_{start}") for start in starts}
+    raw = src.raw_rides(spark, sf_dir)
+    for index in range(2):
+        between(raw, "ride_date", CUTS[1:2], index).write.mode("append").parquet(f"{path}/raw")
+        for start, table in tables.items():
+            since = start_position(spark, f"{path}/raw", f"{path}/start_{start}.json", start)
+            files = new_files(spark, f"{path}/raw", src.RIDE_SCHEMA, max_bytes=512 * 1024 * 1024, since=since)
+            ingest_stream(files, table, f"{path}/state_{start}", silver.RIDE_PARTITIONS_SQL).awaitTermination()
+    shown = [table.snapshot().withColumn("start", F.lit(start)) for start, table in tables.items()]
+    return shown[0].unionByName(shown[1])
+
+
 # ---- silver functions -----------------------------------------------------------------
 
 

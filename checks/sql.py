@@ -260,6 +260,9 @@ FROM events""",
         "raw_land_and_scan": f"SELECT {CHANGE_COLUMNS} FROM events",
         "stream_land": f"SELECT {CHANGE_COLUMNS} FROM events",
         "stream_ingest": _stored_rides(),
+        "stream_start": _with(RIDES) + f"""
+SELECT {STORED_COLUMNS}, 'oldest' AS start FROM rides
+UNION ALL SELECT {STORED_COLUMNS}, 'next' FROM rides WHERE ride_date >= DATE '2000-01-01'""",
         "silver_null_fill": _with(RIDES) + f" SELECT {RIDE_COLUMNS} FROM rides",
         "silver_clean": """
 SELECT CAST(d.doc_id AS VARCHAR) AS doc_id,
