@@ -189,6 +189,25 @@ def test_clustering_splits_a_hot_value(spark, make):
     assert hot_files >= 3
 
 
+@pytest.mark.parametrize("job", ["compact", "cluster"])
+def test_one_task_sorts_a_bounded_part(spark, make, monkeypatch, job):
+    t = make()
+    t.upsert(spark.range(6000).repartition(8).select(
+        F.col("id").cast("string").alias("k"), F.concat(F.lit("s"), F.col("id") % 7).alias("state"),
+        F.col("id").cast("int").alias("v"), F.lit(1).alias("seq")))
+    before = rows(t.snapshot())
+    for i in range(12):  # a commit each, so many small files
+        t.upsert(batch(spark, (str(i), "CA", -i, 2)))
+    stored = sum(part.bytes for part in t.usage(t.commits()))
+    # the files may be larger than what one task sorts
+    monkeypatch.setattr(maintenance, "SORTED_BYTES", stored // 4)
+    base = maintenance.cluster(t, "state") if job == "cluster" else maintenance.compact(t)
+    per_file = [r["count"] for r in spark.read.parquet(base.path).groupBy(F.input_file_name()).count().collect()]
+    assert 4 <= len(per_file) <= 5 and max(per_file) < 6000 / 2
+    changed = {str(i): (str(i), "CA", -i, 2) for i in range(12)}
+    assert rows(t.snapshot()) == sorted((changed.get(r[0], r) for r in before), key=repr)
+
+
 def test_commit_listing(spark, make):
     t = make()
     assert maintenance.show_commits(t).isEmpty()

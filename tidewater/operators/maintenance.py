@@ -18,6 +18,8 @@ from tidewater.sources.change_records import DELETE, OP, UPSERT
 MAX_FILE_BYTES = 512 * 1024 * 1024
 SMALL_FILE_BYTES = 100 * 1024 * 1024
 CLUSTER_FILE_BYTES = 1024 * 1024 * 1024
+# so many stored bytes are sorted by one task; in memory narrow rows take about 12 times that
+SORTED_BYTES = 32 * 1024 * 1024
 KEPT_VERSIONS = 3
 LISTED_COMMITS = 5
 
@@ -31,7 +33,8 @@ def compact(
     """Fold the log into a new base once it has ``min_commits``; None if it has not.
 
     The base is written as it is read, without a shuffle, unless it would come in
-    many small files; then they are merged up to ``max_file_bytes``.
+    many small files; then they are merged up to ``max_file_bytes``, or to what one
+    task sorts if that is less.
     """
     base, log = table.files_at(None)
     if not log or len(log) < min_commits:
@@ -39,7 +42,7 @@ def compact(
     rows = table.state()
     parts = table.usage(log, base)
     stored, files = sum(p.bytes for p in parts), sum(p.files for p in parts)
-    tasks = math.ceil(stored / max_file_bytes)
+    tasks = _tasks(stored, max_file_bytes)
     # every partition folder has a file of its own in any case
     needed = max(tasks, *(p.folders for p in parts))
     if not table.join_buckets and files > 2 * needed and stored / files < small_file_bytes:
@@ -52,7 +55,8 @@ def cluster(
     columns: str | Sequence[str] = (),
     target_file_bytes: int = CLUSTER_FILE_BYTES,
 ) -> Base | None:
-    """Rewrite the table as a base sorted by ``columns`` in files of a target size."""
+    """Rewrite the table as a base sorted by ``columns`` in files of a target size, or of
+    what one task sorts if that is less."""
     if table.join_buckets:
         raise ValueError(f"{table.path} is kept in join buckets, sorted by its key")
     upto = table.last_commit()
@@ -66,8 +70,12 @@ def cluster(
         *table.key,
     )
     rows = table.with_layout(table.state())
-    files = math.ceil(stored / target_file_bytes)
-    return shown(table, table.write_base(_in_files(rows, files, order), upto))
+    return shown(table, table.write_base(_in_files(rows, _tasks(stored, target_file_bytes), order), upto))
+
+
+def _tasks(stored: int, file_bytes: int) -> int:
+    """How many tasks write so many bytes: a sort in memory doesn't grow with the table."""
+    return math.ceil(stored / min(file_bytes, SORTED_BYTES))
 
 
 def _in_files(rows: DataFrame, files: int, order: Sequence[str]) -> DataFrame:
