@@ -208,6 +208,21 @@ def test_one_task_sorts_a_bounded_part(spark, make, monkeypatch, job):
     assert rows(t.snapshot()) == sorted((changed.get(r[0], r) for r in before), key=repr)
 
 
+def test_commits_are_ranked_without_a_sort_before_the_exchange(spark, make):
+    t = make()
+    t.upsert(batch(spark, ("a", "CA", 1, 1), ("b", "CA", 1, 1), ("c", "CA", 1, 1)))
+    t.upsert(batch(spark, ("a", "CA", 2, 0), ("d", "CA", 2, 1)))
+    t.delete("k", "b")
+    assert rows(t.snapshot()) == [("a", "CA", 2, 0), ("c", "CA", 1, 1), ("d", "CA", 2, 1)]
+    assert rows(t.incremental(1)) == [("a", "CA", 2, 0), ("d", "CA", 2, 1)]
+    # a key has a row in each commit at most, so a sort on the way there takes none away
+    assert "WindowGroupLimit" not in plan(t.snapshot())
+    # rows that nobody has counted by key are cut down first
+    some = batch(spark, *[("a", "CA", v, v) for v in range(9)])
+    ranked = latest_per_key(some, ["k"], newest_first(some, ["k"], ["seq"]))
+    assert "WindowGroupLimit" in plan(ranked) and rows(ranked) == [("a", "CA", 8, 8)]
+
+
 def test_commit_listing(spark, make):
     t = make()
     assert maintenance.show_commits(t).isEmpty()

@@ -291,7 +291,7 @@ class KeyedTable:
             rows = rows.repartition(self.join_buckets, *self.bucket_by)
         if len(commits) < 2:  # a commit holds each key once
             return rows
-        return latest_per_key(rows, self.key, [F.desc(COMMIT)])
+        return latest_per_key(rows, self.key, [F.desc(COMMIT)], few=True)
 
     def _read_base(self, base: Base, buckets: set[int] | None = None, but: set[int] | None = None) -> DataFrame:
         """Rows of a base: of all buckets or the named ones, less those of ``but``."""
