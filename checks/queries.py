@@ -553,9 +553,10 @@ def incremental_earnings(
     mode: str,
     cuts: Sequence[str],
     all_tips: DataFrame | None = None,
-    after: Callable[[int, KeyedTable, KeyedTable], None] | None = None,
+    after: Callable[[int, KeyedTable, KeyedTable, DataFrame], None] | None = None,
 ) -> KeyedTable:
-    """Rides and tips in increments, the fact refreshed after each, then ``after`` called."""
+    """Rides and tips in increments, the fact refreshed after each, then ``after`` called, also
+    with the rides of all increments."""
     path = shared_dir(spark, name)
     rides = KeyedTable.create(spark, f"{path}/rides", src.RIDE_SCHEMA, "ride_id", "ride_date")
     tips = KeyedTable.create(
@@ -570,7 +571,7 @@ def incremental_earnings(
         tips.upsert(between(all_tips, "tipped_on", cuts, index))
         earn.refresh_earnings(rides, tips, fact, calendar(spark), checkpoint, mode)
         if after:
-            after(index, rides, fact)
+            after(index, rides, fact, all_rides)
     return fact
 
 
@@ -668,12 +669,12 @@ def q_gold_by_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     Old rides of low priority are removed half way, late tips change prices.
     """
     sums = GoldSums(spark, shared_dir(spark, "gold_by_differences"))
-    old = src.rides(spark, sf_dir).where((F.col("pick_up_state") == "5-LOW") & (F.col("ride_date") < CUTS[0]))
+    old = (F.col("pick_up_state") == "5-LOW") & (F.col("ride_date") < CUTS[0])
 
-    def after(index: int, rides: KeyedTable, fact: KeyedTable) -> None:
+    def after(index: int, rides: KeyedTable, fact: KeyedTable, all_rides: DataFrame) -> None:
         sums.refresh(fact, rides, calendar(spark))
         if index == 1:
-            rides.delete_keys(old.select("ride_id"))
+            rides.delete_keys(all_rides.where(old).select("ride_id"))
 
     incremental_earnings(spark, sf_dir, "gold_by_differences", "complete", CUTS, after=after)
     drivers = src.drivers(spark, sf_dir)

@@ -600,3 +600,37 @@ def test_empty_and_null_partition_values_are_one(spark, folder):
     table = KeyedTable.create(spark, f"{folder}/t", schema, "k", "at", partition_fields="state", scope="partition")
     table.upsert(spark.createDataFrame([("a", 1, ""), ("a", 2, None), ("b", 1, "CA")], schema))
     assert sorted((r.k, r.at, r.state) for r in table.snapshot().collect()) == [("a", 2, None), ("b", 1, "CA")]
+
+
+@pytest.mark.parametrize("options", [
+    {}, {"scope": "partition", "partition_fields": "state"}, {"buckets": 4}, {"join_buckets": 3}, {"ordered": True},
+])
+def test_rows_of_some_keys_only(spark, make, options, monkeypatch):
+    """In the log and in the base, also of a table whose log is spared most partitions."""
+    t = make(**options)
+    for i in range(3):
+        t.upsert(batch(spark, *((f"k{j}", None if j == 4 else "CA", 10 * i + j, i) for j in range(2 * i, 8))))
+        t.delete("k", f"k{i + 1}")
+    wanted = spark.createDataFrame([("k0",), ("k1",), ("k4",), ("k4",), ("k7",), ("none",)], "k string")
+    expected = [r for r in rows(t.snapshot()) if r[0] in ("k0", "k1", "k4", "k7")]
+    assert rows(t.snapshot(only=wanted)) == expected and len(expected) == 3
+    for _ in range(2):
+        maintenance.compact(t)
+        assert rows(t.snapshot(only=wanted)) == expected
+        t.upsert(batch(spark, ("k5", "CA", 5, 9), ("k7", "CA", 77, 9)))
+        expected = [*(r for r in expected if r[0] != "k7"), ("k7", "CA", 77, 9)]
+        assert rows(t.snapshot(only=wanted)) == expected
+        with monkeypatch.context() as patch:
+            patch.setattr(t, "_broadcast_bytes", lambda: 0)
+            assert rows(t.snapshot(only=wanted)) == expected
+    with pytest.raises(ValueError, match="not all in the key"):
+        t.snapshot(only=t.snapshot().select("v"))
+
+
+def test_only_looked_up_keys_are_ranked(spark, make):
+    t = make()
+    for i in range(3):
+        t.upsert(batch(spark, *((f"k{j}", "CA", i, i) for j in range(i, i + 4))))
+    shown = plan(t.before_images(2))  # printed from the top down
+    assert 0 <= shown.index("Window") < shown.index("LeftSemi")
+    assert rows(t.before_images(2).select("k", "v")) == [("k2", 1), ("k3", 1), ("k4", 1)]

@@ -284,9 +284,9 @@ class KeyedTable:
         return _within(self.log_scan(commits), buckets).select(*self.columns, *self._order, OP, COMMIT)
 
     def _latest(
-        self, commits: Sequence[int], buckets: set[int] | None = None, joined: bool = False
+        self, commits: Sequence[int], buckets: set[int] | None = None, joined: bool = False, only: DataFrame | None = None
     ) -> DataFrame:
-        rows = self.read_log(commits, buckets)
+        rows = self._only(self.read_log(commits, buckets), only)
         if joined:  # to the base's buckets, so that Spark knows both to be partitioned alike
             rows = rows.repartition(self.join_buckets, *self.bucket_by)
         if len(commits) < 2:  # a commit holds each key once
@@ -316,11 +316,19 @@ class KeyedTable:
         ]
         return rows.join(right, functools.reduce(Column.__and__, same), how)
 
+    def _only(self, rows: DataFrame, only: DataFrame | None) -> DataFrame:
+        return rows if only is None else self._match(rows, only, only.columns, "left_semi")
+
     def snapshot(
-        self, as_of: int | None = None, with_commit: bool = False, buckets: set[int] | None = None
+        self,
+        as_of: int | None = None,
+        with_commit: bool = False,
+        buckets: set[int] | None = None,
+        only: DataFrame | None = None,
     ) -> DataFrame:
         """The table now, or as it was after commit ``as_of``; of a bucketed table only the
-        rows in ``buckets``, if given.
+        rows in ``buckets``, if given.  ``only`` holds some or all of the key's columns: rows that
+        match none of its rows are left out before anything is ranked.
 
         Only keys touched since the last compaction are ranked.  The base side
         meets them in an anti join against the key columns of the log, which
@@ -328,37 +336,44 @@ class KeyedTable:
         A larger log of a partition-scoped table is joined to the partitions it
         touches, one of a bucketed table to the buckets it touches; the others pass by.
         """
-        rows = self.state(as_of, buckets)
+        rows = self.state(as_of, buckets, only)
         if self.ordered:
             rows = rows.where(F.col(OP) == UPSERT).drop(OP, SEQ)
         return rows if with_commit else rows.drop(COMMIT)
 
-    def state(self, as_of: int | None = None, buckets: set[int] | None = None) -> DataFrame:
+    def state(
+        self, as_of: int | None = None, buckets: set[int] | None = None, only: DataFrame | None = None
+    ) -> DataFrame:
         """What a base holds: rows with ``_commit``, of an ordered table also deleted keys,
         with ``_op`` and ``_seq``."""
+        # all versions of a key match or none does, so the newest of those that match is the newest
+        if only is not None and not set(only.columns) <= set(self.key):
+            raise ValueError(f"{only.columns} are not all in the key {self.key}")
         if as_of is not None:
             self.check_readable(as_of)
         base, log = self.files_at(as_of)
-        fresh = self._latest(log, buckets, joined=bool(base and log and self.join_buckets))
+        fresh = self._latest(log, buckets, joined=bool(base and log and self.join_buckets), only=only)
         if not self.ordered:
             fresh = fresh.where(F.col(OP) == UPSERT).drop(OP)
         if base is None:
             return fresh
         if not log:
-            return self._read_base(base, buckets)
-        return self._untouched(base, log, buckets).unionByName(fresh)
+            return self._only(self._read_base(base, buckets), only)
+        return self._untouched(base, log, buckets, only).unionByName(fresh)
 
-    def _untouched(self, base: Base, log: Sequence[int], buckets: set[int] | None) -> DataFrame:
-        """Base rows whose key is not in the log."""
+    def _untouched(
+        self, base: Base, log: Sequence[int], buckets: set[int] | None, only: DataFrame | None = None
+    ) -> DataFrame:
+        """Base rows whose key is not in the log, and among ``only``."""
         if self.buckets:
             # known from the folders, so both scans are pruned when they are planned
             touched = self._buckets_in(log)
             here = self._read_base(base, touched if buckets is None else touched & buckets)
             kept = self._match(here, self.read_log(log, buckets), self.key, "left_anti")
-            return self._read_base(base, buckets, but=touched).unionByName(kept)
+            return self._only(self._read_base(base, buckets, but=touched).unionByName(kept), only)
         stored, changed = self._read_base(base), self.read_log(log)
         if not self._spares_partitions(log):
-            return self._match(stored, changed, self.key, "left_anti")
+            return self._match(self._only(stored, only), changed, self.key, "left_anti")
         # plain equality and a filter (always true here) let Spark prune partitions
         # at run time; rows with a null partition value are few and join as touched
         fields = [F.col(c).alias(f"_in_{c}") for c in self.partition_fields]
@@ -369,7 +384,7 @@ class KeyedTable:
         null = functools.reduce(Column.__or__, [F.col(c).isNull() for c in self.partition_fields])
         elsewhere = stored.where(~null).join(F.broadcast(touched), same, "left_anti")
         here = stored.join(F.broadcast(touched), same, "left_semi").unionByName(stored.where(null))
-        return elsewhere.unionByName(self._match(here, changed, self.key, "left_anti"))
+        return self._only(elsewhere.unionByName(self._match(here, changed, self.key, "left_anti")), only)
 
     def _spares_partitions(self, log: Sequence[int]) -> bool:
         """A log too large to broadcast, but over a counted, small set of partitions."""
@@ -386,6 +401,10 @@ class KeyedTable:
         folders = [*map(self.commit_path, commits), *([base.path] if base else [])]
         return [paths.usage(self.spark, folder) for folder in folders]
 
+    def broadcasts(self, path: str) -> bool:
+        """Whether what is stored at ``path`` is small enough for Spark to broadcast."""
+        return paths.usage(self.spark, path).bytes <= self._broadcast_bytes()
+
     def _broadcast_bytes(self) -> int:
         threshold = self.spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
         return int(threshold)
@@ -421,8 +440,8 @@ class KeyedTable:
         if begin is None:
             return no_rows(self.spark, self.schema)
         commits = self.commits_between(begin, end)
-        before = self.snapshot(begin, buckets=self._buckets_in(commits))
-        return self._match(before, self.read_log(commits), self.key, "left_semi")
+        keys = self.read_log(commits).select(*self.key)
+        return self.snapshot(begin, buckets=self._buckets_in(commits), only=keys)
 
     # ---- writes ----------------------------------------------------------------------
 
@@ -592,8 +611,8 @@ class KeyedTable:
 
     def delete_keys(self, keys: DataFrame) -> int | None:
         """Delete the rows whose record key occurs in ``keys``."""
-        rows = self.snapshot(buckets=self.buckets_of(keys))
-        return self._delete_rows(self._match(rows, keys, self.record_key, "left_semi"))
+        rows = self.snapshot(buckets=self.buckets_of(keys), only=keys.select(*self.record_key))
+        return self._delete_rows(rows)
 
     def _delete_rows(self, rows: DataFrame) -> int | None:
         # tombstones carry the whole row, so that readers of deletes see what went

@@ -55,10 +55,16 @@ class Rollup:
         sums = [F.when(F.col(_known(m)) > 0, F.col(m)).alias(m) for m in self.measures]
         return self.table.snapshot().where(F.col(GROUP) != MARKER).select(*self.keys, *sums)
 
-    def differences(self, source: KeyedTable, shape: Shape, begin: int | None, end: int) -> DataFrame:
-        """What commits after ``begin`` add to every group: rows, sums, and values that are there."""
+    def differences(
+        self, source: KeyedTable, shape: Shape, begin: int | None, end: int, before: DataFrame | None = None
+    ) -> DataFrame:
+        """What commits after ``begin`` add to every group: rows, sums, and values that are there.
+
+        ``before``: the images that they replace, where the caller has them.
+        """
+        before = source.before_images(begin, end) if before is None else before
         new = shape(source.incremental(begin, end)).withColumn("_sign", F.lit(1))
-        old = shape(source.before_images(begin, end)).withColumn("_sign", F.lit(-1))
+        old = shape(before).withColumn("_sign", F.lit(-1))
         sums = [F.sum("_sign").alias(ROWS)]
         for name, dtype in self.measures.items():
             value = F.coalesce(F.col(name), F.lit(0)).cast(dtype)
@@ -77,8 +83,20 @@ class Rollup:
         begin, end = None if rebuild else self.upto(), source.last_commit()
         if end is None or begin == end:
             return None
+        return self.advance(source, shape, begin, end, rebuild=rebuild)
+
+    def advance(
+        self,
+        source: KeyedTable,
+        shape: Shape,
+        begin: int | None,
+        end: int,
+        before: DataFrame | None = None,
+        rebuild: bool = False,
+    ) -> int | None:
+        """Bring sums that stand for commit ``begin`` up to ``end``, see :meth:`differences`."""
         parts = [ROWS, *(c for name in self.measures for c in (name, _known(name)))]
-        change = self.differences(source, shape, begin, end)
+        change = self.differences(source, shape, begin, end, before)
         group = F.to_json(F.struct(*self.keys))
         change = change.select(group.alias(GROUP), *self.keys, *parts)
         stored = self.table.snapshot().where(F.col(GROUP) != MARKER)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tidewater import paths
 from tidewater.operators.keyed_table import KeyedTable
-from tidewater.operators.rollup import Rollup
+from tidewater.operators.rollup import Rollup, Shape
 from tidewater.plans.gold import TOP_DRIVERS
+from tidewater.session import shared_dir
 
 SUM = T.DecimalType(38, 2)
 
@@ -27,12 +29,35 @@ class GoldSums:
         """Bring all sums up to date; ``rebuild`` when the calendar has changed."""
         days = dim.select(F.col("date_key").alias("earning_date_key"), "month", "year")
         earned = F.col("total_amount").alias("total_earnings")
-        self.earned.refresh(fact, lambda rows: rows.join(days, "earning_date_key").select("driver_id", "month", "year", earned), rebuild)
-        self.tips.refresh(fact, lambda rows: rows.select("driver_id", F.col("tip_amount").alias("total_tips")), rebuild)
+        self._refresh_both(
+            fact,
+            lambda rows: rows.join(days, "earning_date_key").select("driver_id", "month", "year", earned),
+            lambda rows: rows.select("driver_id", F.col("tip_amount").alias("total_tips")),
+            rebuild,
+        )
         counted = F.when(F.col("ride_id").isNotNull(), 1).alias("ride_count")
         months = F.year("ride_date").alias("year"), F.month("ride_date").alias("month")
         self.rides.refresh(rides, lambda rows: rows.select(*months, counted), rebuild)
 
+    def _refresh_both(self, fact: KeyedTable, earned: Shape, tips: Shape, rebuild: bool) -> None:
+        """Both sums over the fact; the rows that its commits replace are looked up once for both."""
+        end = fact.last_commit()
+        begin = None if rebuild else self.earned.upto()
+        if begin in (None, end) or self.tips.upto() != begin:
+            self.earned.refresh(fact, earned, rebuild)
+            self.tips.refresh(fact, tips, rebuild)
+            return
+        spark = self.earned.table.spark
+        work = shared_dir(spark, "replaced_rows")
+        try:
+            found = fact.before_images(begin, end)
+            found.write.parquet(work)
+            before = spark.read.schema(found.schema).parquet(work)
+            self.earned.advance(fact, earned, begin, end, before)
+            self.tips.advance(fact, tips, begin, end, before)
+        finally:
+            paths.delete(spark, work)
+
     def driver_month_year(self, drivers: DataFrame) -> DataFrame:
         by = ["driver_id", "driver_name", "month", "year"]
         return _sum(_named(self.earned.rows(), drivers), by, "total_earnings").orderBy("driver_id", "month", "year", "driver_name")
