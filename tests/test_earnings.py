@@ -313,3 +313,26 @@ def test_latest_tip_goes_by_number(spark):
         [("r1", "9", 1.0), ("r1", "10", 2.0), ("r2", "5-2", 3.0), ("r2", "5-10", 4.0)], "ride_id string, tip_id string, tip_amount double"
     )
     assert {r.ride_id: float(r.tip_amount) for r in earn.tips_per_ride(tips).collect()} == {"r1": 2.0, "r2": 3.0}
+
+
+def test_tips_meet_the_touched_rides_only_while_these_are_few(spark, world, monkeypatch):
+    """A set too large to broadcast would be sorted against all tips for nothing."""
+    changes, plans = earn._changes, []
+
+    def shown(*args):
+        found = changes(*args)
+        plans.append(plan(found))
+        return found
+
+    monkeypatch.setattr(earn, "_changes", shown)
+    w = world()
+    w.ride(("r1", "d1", 10), ("r2", "d2", 20), ("r3", "d3", 30))
+    w.tip(("t1", "r1", 1), ("t2", "r2", 2), refresh=True)
+    w.tip(("t1", "r3", 5), refresh=True)
+    w.check_full()
+    monkeypatch.setattr(w.fact, "_broadcast_bytes", lambda: 0)
+    w.ride(("r4", "d4", 40))
+    w.tip(("t1", "r4", 6), ("t3", "r2", 7), refresh=True)
+    w.check_full()
+    # the other one is that of the stored fact rows
+    assert [p.count("LeftSemi") for p in plans] == [2, 1]

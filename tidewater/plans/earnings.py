@@ -164,8 +164,9 @@ def _refresh_affected(
     """Only rides in the increments are touched; the ride table is not read.
 
     What a ride without a new image needs is in its fact row already.  The fact
-    is scanned once and the tips twice, before and after the increment; each scan meets
-    the touched rides or tips in a semi join.  Of a bucketed fact only the buckets of the
+    is scanned once and the tips twice, before and after the increment; the scans of the fact
+    and of the tips before meet the touched rides or tips in a semi join, ahead of ranking.
+    Of a bucketed fact only the buckets of the
     touched rides are read, of bucketed tips before the increment only those it touches.
     """
     work = shared_dir(fact.spark, "touched_rides")
@@ -182,7 +183,8 @@ def _refresh_affected(
             .distinct()
         )
         touched = _stored(touched, f"{work}/touched")
-        return fact.upsert(_changes(ride_rows, touched, new_tips, fact, dim, policy), unique=True)
+        few = fact.broadcasts(f"{work}/touched")
+        return fact.upsert(_changes(ride_rows, touched, new_tips, fact, dim, policy, few), unique=True)
     finally:
         paths.delete(fact.spark, work)
 
@@ -199,13 +201,16 @@ def _changes(
     fact: KeyedTable,
     dim: DataFrame,
     policy: str,
+    few_touched: bool = True,
 ) -> DataFrame:
-    # the semi join is on the grouping key: Catalyst moves it below the aggregate
-    # while ``touched`` is small enough to broadcast
-    tips = tips_per_ride(new_tips.table.snapshot(new_tips.end), policy).join(
-        touched, "ride_id", "left_semi"
-    )
-    stored = fact.snapshot(buckets=fact.buckets_of(touched)).join(touched, "ride_id", "left_semi")
+    tips = tips_per_ride(new_tips.table.snapshot(new_tips.end), policy)
+    # the semi join is on the grouping key: Catalyst moves it below the aggregate while
+    # ``touched`` is small enough to broadcast; beyond that it would sort both sides to
+    # leave out what no row below asks for anyway
+    if few_touched:
+        tips = tips.join(touched, "ride_id", "left_semi")
+    # before ranking: a fact row's ride is part of its key
+    stored = fact.snapshot(buckets=fact.buckets_of(touched), only=touched)
 
     arrived = ride_rows.select(
         "ride_id", "driver_id", "fare", OP, day_to_key(F.col("ride_date")).alias("earning_date_key")
