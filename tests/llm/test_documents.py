@@ -13,6 +13,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from tests.conftest import plan
 from tests.llm.conftest import LONG, awkward_rows
 from tidewater.llm import language, minhash, mixing, packing, pii, quality, tokens
 
@@ -103,6 +104,36 @@ def test_large_linked_group_in_bounded_tasks(spark, monkeypatch, tmp_path):
     assert sum(n for text, n in rows if text) <= 5 * len(texts)  # not once for each of 25 blocks
 
 
+def broadcast_parts(text: str) -> list[str]:
+    """What stands below each broadcast of a plan."""
+    lines = [(len(line) - len(line.lstrip(" :|+-")), line) for line in text.splitlines()]
+    found = []
+    for at, (depth, line) in enumerate(lines):
+        if "BroadcastExchange" in line:
+            below = [(d, text) for d, text in lines[at + 1 :]]
+            end = next((i for i, (d, _) in enumerate(below) if d <= depth), len(below))
+            found.append("\n".join(text for _, text in below[:end]))
+    return found
+
+
+def copies(spark):
+    """Documents with a near copy each, far below what Spark may broadcast."""
+    rng = random.Random(9)
+    texts = [t for i in range(8) for t in edited(rng, [f"w{i}-{j}" for j in range(60)], 2)]
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), dict(enumerate(texts))
+
+
+def test_nothing_sized_too_low_is_broadcast(spark, monkeypatch):
+    """Neither the tokens, which an explode makes of the classes, nor signatures, whose array counts as one number."""
+    plans, stored = {}, minhash.stored
+    monkeypatch.setattr(minhash, "stored", lambda df, name: plans.setdefault(name, plan(df)) and stored(df, name))
+    docs, texts = copies(spark)
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()}
+    assert found == brute_components(texts, 5, 80) and len(set(found.values())) < len(found)
+    assert "BroadcastExchange" not in plans["posted"] + plans["near_hub"]
+    assert not [part for part in broadcast_parts(plans["left_over"]) if "signature" in part]
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)], "u long, v long")
     found = {r.node: r.component for r in minhash.components(edges).collect()}

@@ -25,6 +25,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def not_broadcast(df: DataFrame) -> DataFrame:
+    """The frame as a side of a join that may grow with the table and is sorted, not broadcast.
+
+    Catalyst sizes a frame by stored bytes and by types: an array counts as one element, an
+    explode as no rows more, compressed columns as what they take in the file.  So it may
+    broadcast many times what it may, and adaptive execution, which learns the true size,
+    keeps a broadcast where any other join takes one more exchange.
+    """
+    return df.hint("merge")
+
+
 def n_words(text: Column | str) -> Column:
     """Number of words; null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))

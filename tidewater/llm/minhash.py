@@ -26,7 +26,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidewater.llm.common import parts, stored
+from tidewater.llm.common import not_broadcast, parts, stored
 from tidewater.paths import delete
 from tidewater.session import shared_dir
 
@@ -273,7 +273,7 @@ def _block_pairs(members: DataFrame) -> DataFrame:
     others = blocks.select("gid", F.col("owner").alias("other_owner"), F.col("at").alias("other"))
     meet = F.coalesce(F.col("owner") != F.col("other_owner"), F.lit(True))
     pairs = blocks.join(others, "gid").where(meet).select(F.col("gid").alias("g"), F.col("owner").alias("o"), "blocks", "block", "at", "other")
-    owned = members.join(met.select("gid", "component", "owner"), ["gid", "component"])
+    owned = members.join(not_broadcast(met.select("gid", "component", "owner")), ["gid", "component"])
     sized = shares.select(F.col("gid").alias("g"), F.col("owner").alias("o"), F.col("blocks").alias("of"))
     same = (F.col("gid") == F.col("g")) & F.col("owner").eqNullSafe(F.col("o"))
     placed = owned.join(sized, same).drop("g", "o").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("of")).cast("int"))
@@ -316,8 +316,8 @@ def _counted(cut: DataFrame, least: int, width: int | None, similarity: float) -
 def _merged(known: DataFrame, more: DataFrame) -> DataFrame:
     """``known`` (node, component) with the components made one that edges ``more`` join."""
     edges = (
-        more.join(known.select(F.col("node").alias("u"), F.col("component").alias("cu")), "u", "left")
-        .join(known.select(F.col("node").alias("v"), F.col("component").alias("cv")), "v", "left")
+        more.join(not_broadcast(known.select(F.col("node").alias("u"), F.col("component").alias("cu"))), "u", "left")
+        .join(not_broadcast(known.select(F.col("node").alias("v"), F.col("component").alias("cv"))), "v", "left")
         .select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v"))
     )
     into = components(edges).select(F.col("node").alias("component"), F.col("component").alias("into"))
@@ -365,14 +365,14 @@ def keyed_duplicates(
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
-    marks = classes.select("node", "signature")
+    marks = not_broadcast(classes.select("node", "signature"))
     tokens = classes.select("node", F.posexplode("signature").alias("at", "value")).select(
         "node", (F.col("at").cast("long") * F.lit(1 << 32) + F.col("value").cast("long")).alias("gid")
     )
     shared = tokens.groupBy("gid").agg(F.count("*").alias("n")).where("n > 1")
     prefix = coords - least + 1
     posted = stored(
-        tokens.join(shared, "gid").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "gid"))).alias("own"))
+        tokens.join(not_broadcast(shared), "gid").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "gid"))).alias("own"))
         # values that nothing else has come first in the order and use up the prefix
         .where(F.size("own") > coords - prefix)
         .select("node", F.explode(F.expr(f"slice(own, 1, size(own) - {coords - prefix})")).alias("own"))
@@ -380,10 +380,10 @@ def keyed_duplicates(
         "posted",
     )
     hubs = posted.groupBy("gid").agg(F.min_by("node", F.xxhash64("node")).alias("hub"), F.count("*").alias("n"))
-    spokes = posted.join(hubs.where("n > 1"), "gid").where("node <> hub").select("node", "hub").distinct()
+    spokes = posted.join(not_broadcast(hubs.where("n > 1")), "gid").where("node <> hub").select("node", "hub").distinct()
     counted = (
         spokes.join(marks, "node")
-        .join(marks.select(F.col("node").alias("hub"), F.col("signature").alias("hub_signature")), "hub")
+        .join(not_broadcast(classes.select(F.col("node").alias("hub"), F.col("signature").alias("hub_signature"))), "hub")
         .where(F.expr(f"size(filter(zip_with(signature, hub_signature, (a, b) -> a = b), x -> x)) >= {least}"))
     )
     near_hub = stored(counted.select(F.col("node").alias("u"), F.col("hub").alias("v")), "near_hub")
@@ -416,14 +416,14 @@ def keyed_duplicates(
         held = members.join(large.select("gid"), "gid", "left_semi")
 
         def second() -> DataFrame:
-            return held.join(known, "node", "left").select(
+            return held.join(not_broadcast(known), "node", "left").select(
                 "gid", "node", F.coalesce("component", "node").alias("component"), "signature", "text"
             )
 
         # hubs join most, so that only members of different components are exchanged
         known = _merged(known, _hub_links(second(), large, least, width, similarity))
         known = _merged(known, count_links(second(), least, width, similarity))
-    nodes = classes.select("node", "digest", "least_id", "least_key").join(known, "node", "left")
+    nodes = classes.select("node", "digest", "least_id", "least_key").join(not_broadcast(known), "node", "left")
     named = nodes.select("digest", "least_id", "least_key", F.coalesce("component", "node").alias("component"))
     ids = named.groupBy("component").agg(F.min(F.struct("least_id", "least_key")).alias("first"))
     of_class = named.join(ids, "component").select(
