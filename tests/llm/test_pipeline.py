@@ -9,9 +9,10 @@ import pytest
 import __spark_entry__ as contract
 import corpus_pipeline
 from checks.compare import database, difference
+from tests.conftest import plan
 from tests.llm.conftest import awkward_rows
-from tests.llm.test_documents import brute_components
-from tidewater.llm import pii, sql
+from tests.llm.test_documents import broadcast_parts, brute_components, copies
+from tidewater.llm import minhash, pii, sql
 
 SF = "/root/testdata/sf0.001"
 
@@ -47,6 +48,17 @@ def test_stage_on_awkward_tables(spark, clashing, labelled, name, stage):
         assert len(rows) == len(awkward_rows()) and any(r.text and "[EMAIL]" in r.text for r in rows)
 
 
+def test_dedup_stage_broadcasts_nothing_sized_too_low(spark, monkeypatch):
+    """In no step of the stage an exploded or a signature side, whatever sizes Spark believes in."""
+    plans, stored = [], minhash.stored
+    monkeypatch.setattr(minhash, "stored", lambda df, name: plans.append(plan(df)) or stored(df, name))
+    docs, texts = copies(spark)
+    left = {r.doc_id for r in corpus_pipeline.dedup_stage(spark, docs, SF).collect()}
+    assert left == set(brute_components(texts, 5, 80).values()) and len(left) < len(texts)
+    parts = [part for text in plans for part in broadcast_parts(text)]
+    assert not [part for part in parts if "Generate" in part or "hub_signature" in part]
+
+
 def test_different_texts_of_a_repeated_id(spark):
     """Each goes on its own links: a copy of another document, the first of a group, a text of its own."""
     a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
